@@ -28,13 +28,13 @@ def temporal_var_nz(px: DataFrame, keys: Sequence[str], value: str = "value", ou
     return px.groupBy(*keys).agg(F.var_pop(nonzero(value)).alias(out))
 
 
-def temporal_mean_skipna(px: DataFrame, keys: Sequence[str], burst: str = "burst", scene: str = "acq",
-                         value: str = "value", min_scenes: int = 2, out: str = "mean") -> DataFrame:
+def temporal_mean_skipna(px: DataFrame, keys: Sequence[str], values: Sequence[str] = ("value",),
+                         burst: str = "burst", scene: str = "acq", min_scenes: int = 2) -> DataFrame:
     """Mean over time skipping NaN, only for bursts with at least ``min_scenes`` scenes."""
     scenes = px.select(burst, scene).distinct().groupBy(burst).agg(F.count(F.lit(1)).alias("_n"))
     enough = scenes.where(F.col("_n") >= min_scenes).select(burst)
-    clean = F.when(~F.isnan(value), F.col(value))
-    means = px.groupBy(burst, *[k for k in keys if k != burst]).agg(F.avg(clean).alias(out))
+    means = px.groupBy(burst, *[k for k in keys if k != burst]).agg(
+        *[F.avg(F.when(~F.isnan(v), F.col(v))).alias(v) for v in values])
     return attach(means, enough, [burst], "left_semi")
 
 
@@ -113,15 +113,19 @@ def pixel_function(df: DataFrame, fn: Callable[..., Column], cols: Sequence[str]
     return df.withColumn(out, fn(*[F.col(c) for c in cols]))
 
 
-def mosaic(px: DataFrame, keys: Sequence[str], priority: str, value: str = "value") -> DataFrame:
-    """Per cell the value of the source with the highest priority that has data there."""
-    valid = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
-    return px.groupBy(*keys).agg(F.max_by(F.when(valid, F.col(value)), F.when(valid, F.col(priority))).alias(value))
+def mosaic(px: DataFrame, keys: Sequence[str], priority: str, values: Sequence[str] = ("value",)) -> DataFrame:
+    """Per cell and band the value of the source with the highest priority that has data there."""
+    def top(v: str) -> Column:
+        valid = F.col(v).isNotNull() & ~F.isnan(F.col(v).cast("double"))
+        return F.max_by(F.when(valid, F.col(v)), F.when(valid, F.col(priority))).alias(v)
 
+    return px.groupBy(*keys).agg(*[top(v) for v in values])
 
-def fill_gaps_prior_year(px: DataFrame, keys: Sequence[str], year: str = "year", value: str = "value") -> DataFrame:
+
+def fill_gaps_prior_year(px: DataFrame, keys: Sequence[str], year: str = "year",
+                         values: Sequence[str] = ("value",)) -> DataFrame:
     """Value of the latest year with data."""
-    return mosaic(px, keys, year, value)
+    return mosaic(px, keys, year, values)
 
 
 def same_grid_check(layers: DataFrame, grid: Sequence[str] = ("epsg", "x0", "y0", "res")) -> DataFrame:
@@ -134,3 +138,14 @@ def alos_layers(dn: DataFrame, year: int) -> DataFrame:
     """Backscatter from digital numbers and day of the year from days since launch."""
     return dn.withColumns({"hh": dn_to_gamma0("hh"), "hv": dn_to_gamma0("hv"),
                            "doy": F.coalesce(day_of_year("days", year), F.lit(-9999).cast("smallint"))})
+
+
+def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles of each column, one row per column."""
+    cells = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols])
+    long = df.select(F.explode(cells).alias("_c")).select("_c.*")
+    stats = long.groupBy("col_name").agg(
+        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    quartiles = grouped_quantiles(long, ["col_name"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+    return stats.join(quartiles, "col_name", "left")

@@ -38,12 +38,9 @@ def burst_tiles(scenes: DataFrame, grid: Grid, target: Grid, cells_per_tile: int
     and ``vh``. The latest processing of an acquisition counts; later bursts win in a mosaic.
     """
     latest = latest_processing(scenes, ["burst", "acq", *PIXEL], "proc")
-    vv = temporal_mean_skipna(latest, ["burst", *PIXEL], value="vv", out="vv")
-    vh = temporal_mean_skipna(latest, ["burst", *PIXEL], value="vh", out="vh")
-    means = vv.join(vh, ["burst", *PIXEL])
+    means = temporal_mean_skipna(latest, ["burst", *PIXEL], ["vv", "vh"])
     tiled = to_tiles(resample(means, grid, target, "nearest"), cells_per_tile)
-    cell = ["h", "v", *PIXEL]
-    flat = mosaic(tiled, cell, "burst", "vv").join(mosaic(tiled, cell, "burst", "vh"), cell)
+    flat = mosaic(tiled, ["h", "v", *PIXEL], "burst", ["vv", "vh"])
     return flat.withColumn("rvi", rvi("vv", "vh"))
 
 

@@ -13,8 +13,9 @@ def file_catalog(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
 
 
-def read_catalog_json(spark: SparkSession, path: str, value_schema: str, key: str = "job_id") -> DataFrame:
-    """Job table from JSON documents that map a job id to its parameters."""
-    docs = spark.read.text(path, wholetext=True)
+def read_catalog_json(spark: SparkSession, path: str, value_schema: str, key: str = "job_id",
+                      by_line: bool = False) -> DataFrame:
+    """Job table from JSON that maps a job id to its parameters: one document per file or per line."""
+    docs = spark.read.text(path, wholetext=not by_line)
     jobs = docs.select(F.explode(F.from_json("value", f"map<string, struct<{value_schema}>>")).alias(key, "_p"))
     return jobs.select(key, "_p.*")
