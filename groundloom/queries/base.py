@@ -108,13 +108,15 @@ class Tables:
         return one.unionByName(two).unionByName(three)
 
 
-def query(name: str, sql: str | None = None, views: tuple[str, ...] = ()):
-    """Register a query; the DuckDB text gets the named views as leading table expressions."""
+def query(name: str, sql: str | None = None, views: tuple[str, ...] = (), ready: bool = False):
+    """Register a query; the DuckDB text gets the named views as leading table expressions unless it is ready."""
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         if name in QUERIES:
             raise ValueError(f"registered twice: {name}")
         QUERIES[name] = lambda spark, folder: fn(Tables(spark, folder))
-        if sql is not None:
+        if ready:
+            ORACLES[name] = sql
+        elif sql is not None:
             heads = [V_VOTES if v == "v_votes"
                      else f"{v} AS (SELECT {', '.join(_expressions(v, False))} FROM {VIEWS[v][0]})" for v in views]
             body = _nudged(sql.strip())

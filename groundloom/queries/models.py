@@ -1 +1,110 @@
-"""Queries."""
+"""Queries: Bayesian logistic regression, intervals and evaluation."""
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from groundloom.functions import indices
+from groundloom.operators import bayes as ops
+from groundloom.operators.grids import Grid
+from groundloom.plans import jobs
+from groundloom.queries.base import Tables, query, rounded
+
+COLS = ["c_vv", "l_hh", "ndvi"]
+DRAWS = np.round(np.random.default_rng(11).normal([0.2, -1.5, 2.0, 0.7], [0.3, 0.4, 0.5, 0.2], (120, 4)), 6).tolist()
+_VALUES = ", ".join(f"({a!r}, {b!r}, {c!r}, {d!r})" for a, b, c, d in DRAWS)
+
+
+def _training(t: Tables):
+    return t.view("v_stack").withColumn("presence", (F.col("cat") >= 5).cast("int"))
+
+
+def _fit(t: Tables):
+    prior = ops.Prior([0.0, 0.5, -0.5, 0.0], [10.0, 2.5, 2.5, 2.5])
+    return ops.bayes_logit_fit(_training(t), COLS, "presence", prior)
+
+
+@query("bayes_logit_fit")
+def _(t: Tables):
+    out = ops.coefficient_table(t.spark, _fit(t))
+    return out.select("term", rounded("estimate", 5).alias("estimate"), rounded("std_error", 5).alias("std_error"))
+
+
+@query("posterior_draws")
+def _(t: Tables):
+    return ops.posterior_draws(t.spark, _fit(t), 2000)
+
+
+@query("posterior_as_prior", " UNION ALL ".join(
+       f"SELECT '{c}' AS term, ROUND(AVG({c}), 9) AS prior_mean, ROUND(STDDEV_SAMP({c}), 9) AS prior_scale FROM v_stack" for c in COLS),
+       ("v_stack",))
+def _(t: Tables):
+    out = ops.posterior_as_prior(t.view("v_stack"), COLS)
+    return out.withColumns({c: rounded(c, 9) for c in ("prior_mean", "prior_scale")})
+
+
+@query("credible_interval", " UNION ALL ".join(
+       f"SELECT '{c}' AS term, ROUND(QUANTILE_CONT({c}, 0.025), 9) AS ci_low, ROUND(QUANTILE_CONT({c}, 0.975), 9) AS ci_high FROM v_stack"
+       for c in COLS), ("v_stack",))
+def _(t: Tables):
+    out = ops.credible_interval(t.view("v_stack"), COLS)
+    return out.withColumns({c: rounded(c, 9) for c in ("ci_low", "ci_high")})
+
+
+@query("predict_interval", f"""
+WITH d(a, b, c, d) AS (VALUES {_VALUES}), s AS (SELECT pixel, 1 / (1 + EXP(-(a + b * c_vv + c * l_hh + d * ndvi))) AS p FROM v_stack, d)
+SELECT pixel, ROUND(QUANTILE_CONT(p, 0.025), 9) AS ci_low, ROUND(QUANTILE_CONT(p, 0.975), 9) AS ci_high FROM s GROUP BY pixel""",
+       ("v_stack",))
+def _(t: Tables):
+    out = ops.predict_interval(t.view("v_stack").select("pixel", *COLS), DRAWS, COLS)
+    return out.select("pixel", rounded("ci_low", 9).alias("ci_low"), rounded("ci_high", 9).alias("ci_high"))
+
+
+_SCORE = "CASE WHEN 1 / (1 + EXP(-(0.4 + 2.0 * c_vv - 3.0 * l_hh))) >= 0.5 THEN 1 ELSE 0 END"
+
+
+@query("evaluate", f"""
+SELECT {_SCORE} AS predicted, COUNT(*) FILTER (WHERE cat < 5) AS actual_0, COUNT(*) FILTER (WHERE cat >= 5) AS actual_1
+FROM v_stack GROUP BY ALL""", ("v_stack",))
+def _(t: Tables):
+    scored = _training(t).withColumn("p", indices.logit_score(0.4, [2.0, -3.0], ["c_vv", "l_hh"]))
+    return ops.evaluate(scored, "p", "presence")[0]
+
+
+@query("evaluate_accuracy", f"SELECT ROUND(AVG(CASE WHEN {_SCORE} = (CASE WHEN cat >= 5 THEN 1 ELSE 0 END) THEN 1.0E0 ELSE 0.0E0 END), 9) "
+       "AS accuracy FROM v_stack", ("v_stack",))
+def _(t: Tables):
+    scored = _training(t).withColumn("p", indices.logit_score(0.4, [2.0, -3.0], ["c_vv", "l_hh"]))
+    return ops.evaluate(scored, "p", "presence")[1].withColumn("accuracy", rounded("accuracy", 9))
+
+
+@query("default_prior_classifier", f"""
+SELECT pixel, ROUND(1 / (1 + EXP(-({indices.DEFAULT_SCORE_INTERCEPT} + ({indices.PRIOR_MEAN[1]!r}) * c_vh + {indices.PRIOR_MEAN[2]!r} * ndvi))), 9)
+AS probability FROM v_stack""", ("v_stack",))
+def _(t: Tables):
+    out = ops.default_prior_classifier(t.view("v_stack"), "c_vh", "ndvi")
+    return out.select("pixel", rounded("probability", 9).alias("probability"))
+
+
+def _point_model(t: Tables):
+    px = t.view("v_px").withColumn("half", F.col("value") * F.col("value"))
+    n_rows = px.agg(F.max("pr")).first()[0] + 1
+    points = t.view("v_gpoints").join(t.view("v_points").select("pid", "cls"), "pid").withColumnsRenamed({"x": "lon", "y": "lat"})
+    return jobs.point_model(points, px, Grid(0.0, 0.0, 1.0, n_rows, 120), ["value", "half"], "cls", "BUILDING",
+                            ops.Prior([0.0, 0.0, 0.0], [10.0, 2.5, 2.5]))
+
+
+@query("point_model")
+def _(t: Tables):
+    _, scored = _point_model(t)
+    return scored.select("pid", "cls", "true_label", "predicted", rounded("probability", 5).alias("probability"))
+
+
+@query("point_intervals")
+def _(t: Tables):
+    model, scored = _point_model(t)
+    return jobs.point_intervals(scored, model, 500).select("pid", "ci_low", "probability", "ci_high")
+
+
+@query("probability_map")
+def _(t: Tables):
+    return jobs.probability_map(t.view("v_stack"), _fit(t)).select("pr", "pc", rounded("probability", 5).alias("probability"))

@@ -1 +1,30 @@
-"""Queries."""
+"""Queries: incremental jobs run to completion over the given tables as a stream."""
+
+from pyspark.sql import functions as F
+
+from groundloom.queries.base import ORACLES, VIEWS, Tables, _expressions, query, rounded
+from groundloom.queries import catalogs, lidar                        # noqa: F401  the texts below come from them
+from groundloom.session import work_path
+from groundloom.streaming import arrivals
+
+
+def _stream(t: Tables, view: str):
+    table = VIEWS[view][0]
+    rows = (t.spark.readStream.schema(t.table(table).schema).option("pathGlobFilter", f"{table}.parquet")
+            .parquet(t.folder))
+    return rows.selectExpr(*_expressions(view, True))
+
+
+@query("stream_shots", ORACLES["process_shots"], ready=True)
+def _(t: Tables):
+    out = work_path(t.spark, "shots")
+    arrivals.stream_shots(_stream(t, "v_shots"), out, work_path(t.spark, "progress"))
+    kept, _ = arrivals.read_shots(t.spark, out)
+    return kept.select("file_no", "shot", "elev1", "rh95", rounded("elev_range", 8).alias("elev_range"))
+
+
+@query("stream_products", ORACLES["latest_processing"], ready=True)
+def _(t: Tables):
+    table = work_path(t.spark, "products")
+    arrivals.stream_products(_stream(t, "v_products"), table, work_path(t.spark, "progress"), ["burst", "acq"], "proc")
+    return t.spark.read.parquet(table).select("burst", F.col("acq").cast("date").alias("acq"), "proc", "kind", "value")
