@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from groundloom.functions.indices import as_col
 from groundloom.functions.names import geo_tile_name
 from groundloom.scale import attach, chunked_lists
+from groundloom.session import checkpointed
 
 RUN_BLOCK = 256
 
@@ -159,6 +160,12 @@ def make_tiles(aoi: DataFrame, size: float, centered: bool = True, x_offset: flo
     return _tile_grid(aoi, left, top, nx, ny, size, ring).withColumn("epsg", F.lit(epsg).cast("int"))
 
 
+def rows_from_area(polys: DataFrame, size: float, keys: Sequence[str], ring: str = "ring") -> DataFrame:
+    """One row per tile of a fixed grid that the bounding box of an area touches."""
+    cells = _cells(polys.select(*keys, ring), ring, size, "b")
+    return cells.select(*keys, F.col("_cx").alias("tx"), F.col("_cy").alias("ty"))
+
+
 def degree_tiles(aoi: DataFrame, ring: str = "ring") -> DataFrame:
     """Names of the 1-degree tiles that meet the area, from their upper-left corner."""
     xmin, ymin, xmax, ymax = _bounds_of(aoi, ring)
@@ -268,7 +275,7 @@ def merge_neighbors(ratios: DataFrame, key: str, threshold: float = 0.95) -> Dat
     distinct neighbour set of two or more becomes one group; a frame in no such set stays alone.
     Sets are compared by an order-free hash, so no list is built.
     """
-    near = ratios.where(F.col("ratio") > threshold)
+    near = checkpointed(ratios.where(F.col("ratio") > threshold).select(key, "other"))
     sets = near.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("other")).alias("_a"),
                                  F.bit_xor(F.xxhash64("other", F.lit("set"))).alias("_b"))
     group = F.concat_ws(":", "_n", F.hex("_a"), F.hex("_b")).alias("group_id")
@@ -328,10 +335,10 @@ def skim_granules(aoi: DataFrame, granules: DataFrame, size: float, scene: str =
     keyed = granules.withColumn("_frame", F.concat_ws("_", *frame_keys))
     frames = keyed.groupBy("_frame").agg(*[F.min(k).alias(k) for k in frame_keys],
                                          F.count(F.lit(1)).alias("num_granules"))
-    runs = dissolve(cover_runs(keyed, size, ["_frame"], ring), ["_frame"])
-    members = merge_neighbors(overlap_ratio(runs, "_frame"), "_frame", threshold)
+    runs = checkpointed(dissolve(cover_runs(keyed, size, ["_frame"], ring), ["_frame"]))
+    members = checkpointed(merge_neighbors(overlap_ratio(runs, "_frame"), "_frame", threshold))
     grouped = dissolve(attach(runs, members, ["_frame"]).drop("_frame"), ["group_id"])
-    areas = exclusive_overlap(grouped, cover_runs(aoi, size, [], ring), "group_id", size)
+    areas = checkpointed(exclusive_overlap(grouped, cover_runs(aoi, size, [], ring), "group_id", size))
     useless = areas.where("overlap_with_aoi = 0").select("group_id")
     dropped = members.join(useless, "group_id", "left_semi").select("_frame").distinct()
     kept = attach(keyed, dropped, ["_frame"], "left_anti").drop("_frame")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from groundloom.operators import vector
 from groundloom.operators.grids import Grid, to_tiles
 from groundloom.queries.base import Tables, query, rounded
+from groundloom.queries.rasters import DENSE
 from groundloom.session import work_path
 from groundloom.sources import features, flatstack, listing, pixels, tabular
 
@@ -48,9 +49,9 @@ def _(t: Tables):
     return t.spark.read.schema("id long, geometry string").option("header", True).csv(path)
 
 
-@query("read_flat_stack", """
-SELECT pr, pc, ROUND(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value, ROUND(CAST(CAST(value / 3 AS FLOAT) AS DOUBLE), 4) AS third
-FROM v_px""", ("v_px",))
+@query("read_flat_stack", f"""
+WITH {DENSE} SELECT pr, pc, ROUND(CAST(CAST(value AS FLOAT) AS DOUBLE), 4) AS value,
+ROUND(CAST(CAST(value / 3 AS FLOAT) AS DOUBLE), 4) AS third FROM d""", ("v_px",))
 def _(t: Tables):
     path = work_path(t.spark, "stack").removeprefix("file:")
     px = t.view("v_px").withColumn("third", F.col("value") / 3)

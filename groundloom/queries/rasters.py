@@ -221,7 +221,7 @@ def _(t: Tables):
 
 # ---- neighbourhoods ------------------------------------------------------------------------
 
-_DENSE = """d AS (SELECT g.pr, g.pc, p.value FROM (SELECT CAST(a.i AS INT) AS pr, CAST(b.j AS INT) AS pc FROM
+DENSE = """d AS (SELECT g.pr, g.pc, p.value FROM (SELECT CAST(a.i AS INT) AS pr, CAST(b.j AS INT) AS pc FROM
  generate_series(0, (SELECT MAX(pr) FROM v_px)) a(i), generate_series(0, (SELECT MAX(pc) FROM v_px)) b(j)) g
  LEFT JOIN v_px p ON g.pr = p.pr AND g.pc = p.pc)"""
 _BOX = """b AS (SELECT a.pr, a.pc, ANY_VALUE(a.value) AS value, COALESCE(SUM(n.value), 0) AS s, COALESCE(SUM(n.value * n.value), 0) AS q,
@@ -233,20 +233,20 @@ def _dense(t: Tables):
     return near.densify(t.view("v_px"))
 
 
-@query("densify", f"WITH {_DENSE} SELECT pr, pc, value FROM d", ("v_px",))
+@query("densify", f"WITH {DENSE} SELECT pr, pc, value FROM d", ("v_px",))
 def _(t: Tables):
     return _dense(t)
 
 
 @query("box_filter", f"""
-WITH {_DENSE}, {_BOX} SELECT pr, pc, ROUND(s, 9) AS box_sum, ROUND(q, 6) AS box_sum_sq, n AS box_count FROM b""", ("v_px",))
+WITH {DENSE}, {_BOX} SELECT pr, pc, ROUND(s, 9) AS box_sum, ROUND(q, 6) AS box_sum_sq, n AS box_count FROM b""", ("v_px",))
 def _(t: Tables):
     df = near.box_filter(_dense(t), 5)
     return df.select(*PX, rounded("box_sum", 9).alias("box_sum"), rounded("box_sum_sq", 6).alias("box_sum_sq"), "box_count")
 
 
 @query("enhanced_lee", f"""
-WITH {_DENSE}, {_BOX}, m AS (SELECT *, s / n AS mu, q / n AS sq FROM b WHERE n > 0),
+WITH {DENSE}, {_BOX}, m AS (SELECT *, s / n AS mu, q / n AS sq FROM b WHERE n > 0),
  c AS (SELECT *, CASE WHEN ABS(sq - mu * mu) > 1e-8 + 1e-5 * mu * mu THEN SQRT(sq - mu * mu) ELSE 0 END / mu AS ci FROM m),
  w AS (SELECT *, CASE WHEN ci <= 0.523 THEN 1 WHEN ci < SQRT(3) THEN EXP(-(ci - 0.523) / (SQRT(3) - ci)) ELSE 0 END AS w FROM c)
 SELECT pr, pc, ROUND(mu * w + COALESCE(value, 0) * (1 - w), 8) AS filtered FROM w""", ("v_px",))
@@ -310,24 +310,41 @@ def _(t: Tables):
     return near.side_edges(_mask(t))
 
 
-@query("peel_sides")
-def _(t: Tables):
-    px = t.view("v_mask").select("status", *PX, "mask")
-    return near.peel_sides(px.drop("status"), 3).groupBy("pr", "pc").agg(F.max("side").alias("side"))
+def _peel_sql(k: int, mask: str) -> str:
+    """One step of side peeling on the table ``mask``; tables of step k end in k."""
+    return f"""z{k} AS MATERIALIZED (SELECT a.pr, a.pc FROM {mask} a WHERE mask = 1 AND EXISTS (SELECT 1 FROM {mask} n WHERE n.mask = 0
+  AND ((n.pr = a.pr AND n.pc = a.pc + 1) OR (n.pr = a.pr AND n.pc = a.pc - 1) OR (n.pr = a.pr + 1 AND n.pc = a.pc)
+  OR (n.pr = a.pr - 1 AND n.pc = a.pc)))),
+ x{k} AS (SELECT MIN(pr) AS top, MAX(pr) AS bottom, MIN(pc) AS lft, MAX(pc) AS rgt FROM z{k}),
+ t{k} AS (SELECT top, bottom, lft, rgt, (SELECT MIN(pc) FROM z{k} WHERE pr = top) AS top0, (SELECT MAX(pc) FROM z{k} WHERE pr = top) AS top1,
+  (SELECT MIN(pc) FROM z{k} WHERE pr = bottom) AS bot0, (SELECT MAX(pc) FROM z{k} WHERE pr = bottom) AS bot1,
+  (SELECT MIN(pr) FROM z{k} WHERE pc = lft) AS lft0, (SELECT MAX(pr) FROM z{k} WHERE pc = lft) AS lft1,
+  (SELECT MIN(pr) FROM z{k} WHERE pc = rgt) AS rgt0, (SELECT MAX(pr) FROM z{k} WHERE pc = rgt) AS rgt1 FROM x{k}),
+ k{k} AS (SELECT CASE WHEN lft0 > rgt0 THEN top ELSE lft0 END AS row_ul, CASE WHEN lft0 > rgt0 THEN top0 ELSE lft END AS col_ul,
+  CASE WHEN lft0 > rgt0 THEN rgt0 ELSE top END AS row_ur, CASE WHEN lft0 > rgt0 THEN rgt ELSE top1 END AS col_ur,
+  CASE WHEN lft0 > rgt0 THEN bottom ELSE rgt1 END AS row_lr, CASE WHEN lft0 > rgt0 THEN bot1 ELSE rgt END AS col_lr,
+  CASE WHEN lft0 > rgt0 THEN lft1 ELSE bottom END AS row_ll, CASE WHEN lft0 > rgt0 THEN lft ELSE bot0 END AS col_ll FROM t{k}),
+ g{k} AS MATERIALIZED (SELECT pr, pc, CASE WHEN (pr, pc) IN ((row_ul, col_ul), (row_ur, col_ur), (row_lr, col_lr), (row_ll, col_ll)) THEN 2 ELSE 1 END
+  AS side FROM z{k}, k{k} WHERE (pr, pc) IN ((row_ul, col_ul), (row_ur, col_ur), (row_lr, col_lr), (row_ll, col_ll))
+  OR (pr > LEAST(row_ur, row_lr) AND pr < GREATEST(row_ur, row_lr) AND pc BETWEEN LEAST(col_ur, col_lr) AND GREATEST(col_ur, col_lr))
+  OR (pr > LEAST(row_ul, row_ll) AND pr < GREATEST(row_ul, row_ll) AND pc BETWEEN LEAST(col_ul, col_ll) AND GREATEST(col_ul, col_ll))),
+ m{k} AS MATERIALIZED (SELECT a.pr, a.pc, CASE WHEN g.side IS NULL THEN a.mask ELSE 0 END AS mask FROM {mask} a LEFT JOIN g{k} g
+  ON a.pr = g.pr AND a.pc = g.pc)"""
 
 
-@query("remove_edges")
+@query("peel_sides", f"""WITH m0 AS MATERIALIZED (SELECT pr, pc, mask FROM v_mask), {_peel_sql(1, 'm0')}, {_peel_sql(2, 'm1')}, {_peel_sql(3, 'm2')}
+SELECT pr, pc, side FROM g1 UNION ALL SELECT pr, pc, side FROM g2 UNION ALL SELECT pr, pc, side FROM g3""", ("v_mask",))
 def _(t: Tables):
-    px = t.view("v_px").withColumn("vh", F.col("value") / 3).withColumnRenamed("value", "vv").withColumn("frame", F.lit(1))
-    return near.remove_edges(px, ["vv", "vh"], 2, "vv")
+    return near.peel_sides(_mask(t), 3)
 
 
-@query("alos_mosaic_job")
+@query("remove_edges", f"""WITH {DENSE}, m0 AS MATERIALIZED (SELECT pr, pc, CASE WHEN value IS NULL THEN 0 ELSE 1 END AS mask FROM d),
+ {_peel_sql(1, 'm0')}, {_peel_sql(2, 'm1')}
+SELECT d.pr, d.pc, CASE WHEN m2.mask = 1 THEN d.value END AS vv, CASE WHEN m2.mask = 1 THEN d.value / 3 END AS vh
+FROM d JOIN m2 ON d.pr = m2.pr AND d.pc = m2.pc""", ("v_px",))
 def _(t: Tables):
-    dn = t.view("v_px").select(F.floor(F.col("pr") / 25.0).cast("int").alias("tile"), *PX,
-                               (F.col("value") * 5000).alias("hh"), (F.col("value") * 2000).alias("hv"),
-                               (F.col("pc") / 3.0).cast("double").alias("inc"), (F.col("pr") % 365).alias("days"))
-    return jobs.alos_mosaic_job(dn, 2019)
+    px = _dense(t).select(F.lit(1).alias("frame"), *PX, F.col("value").alias("vv"), (F.col("value") / 3).alias("vh"))
+    return near.remove_edges(px, ["vv", "vh"], 2, "vv").drop("frame", "mask")
 
 
 # ---- grids ---------------------------------------------------------------------------------
@@ -443,7 +460,53 @@ def _(t: Tables):
     return out.withColumns({c: rounded(c) for c in ("mean", "stddev", "q25", "q50", "q75")})
 
 
-@query("burst_tiles")
+_TILED = """t AS (SELECT *, CAST(FLOOR(pr / 25.0) AS INT) AS tile FROM d)"""
+
+
+def _lee_sql(pol: str, factor: int) -> str:
+    """Speckle filter of one polarization, each tile alone, from the dense grid."""
+    return f"""{pol}0 AS (SELECT tile, pr, pc, value * {factor} * value * {factor} * POW(10, -8.3) AS g FROM t),
+ {pol}1 AS (SELECT a.tile, a.pr, a.pc, ANY_VALUE(a.g) AS g, SUM(n.g) / COUNT(n.g) AS mu, SUM(n.g * n.g) / COUNT(n.g) AS sq FROM {pol}0 a
+  JOIN {pol}0 n ON n.tile = a.tile AND n.pr BETWEEN a.pr - 2 AND a.pr + 2 AND n.pc BETWEEN a.pc - 2 AND a.pc + 2 GROUP BY a.tile, a.pr, a.pc),
+ {pol}2 AS (SELECT *, CASE WHEN ABS(sq - mu * mu) > 1e-8 + 1e-5 * mu * mu THEN SQRT(sq - mu * mu) ELSE 0 END / mu AS ci FROM {pol}1),
+ {pol} AS (SELECT tile, pr, pc, CASE WHEN ci <= 0.523 THEN mu WHEN ci < SQRT(3) THEN mu * EXP(-(ci - 0.523) / (SQRT(3) - ci))
+  + COALESCE(g, 0) * (1 - EXP(-(ci - 0.523) / (SQRT(3) - ci))) ELSE COALESCE(g, 0) END AS v FROM {pol}2)"""
+
+
+@query("alos_mosaic_job", f"""WITH {DENSE}, {_TILED}, {_lee_sql('hh', 5000)}, {_lee_sql('hv', 2000)}
+SELECT hh.tile, hh.pr, hh.pc, ROUND(hh.v, 7) AS hh, ROUND(hv.v, 7) AS hv, ROUND(hh.pc / 3.0E0, 6) AS inc,
+CAST(hh.pr % 365 + date_diff('day', DATE '2019-01-01', DATE '2014-05-24') + 1 AS SMALLINT) AS doy
+FROM hh JOIN hv ON hh.pr = hv.pr AND hh.pc = hv.pc""", ("v_px",))
+def _(t: Tables):
+    dn = _dense(t).select(F.floor(F.col("pr") / 25.0).cast("int").alias("tile"), *PX,
+                          (F.col("value") * 5000).alias("hh"), (F.col("value") * 2000).alias("hv"),
+                          (F.col("pc") / 3.0).cast("double").alias("inc"), (F.col("pr") % 365).alias("days"))
+    out = jobs.alos_mosaic_job(dn, 2019)
+    return out.withColumns({"hh": rounded("hh", 7), "hv": rounded("hv", 7), "inc": rounded("inc", 6)})
+
+
+@query("burst_tiles", f"""
+WITH l AS (SELECT frame, acq, pr, pc, vv, vh FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY frame, acq, pr, pc
+  ORDER BY scene DESC, vv DESC, vh DESC) AS k FROM v_obs) WHERE k = 1),
+ m AS (SELECT frame, pr, pc, AVG(vv) AS vv, AVG(vh) AS vh FROM l GROUP BY ALL),
+ {_AXES.format(y0=-7, x0=5, res=12, nr=40000, nc=400)},
+ w AS (SELECT frame, tr, tc, vv, vh FROM ax JOIN m p ON p.pr = CAST(FLOOR(-ty / 30) AS INT) JOIN ay ON p.pc = CAST(FLOOR(tx / 30) AS INT)),
+ z AS (SELECT tr, tc, arg_max(vv, frame) AS vv, arg_max(vh, frame) AS vh FROM w GROUP BY ALL)
+SELECT CAST(FLOOR(tc / 64.0) AS INT) AS h, CAST(FLOOR(tr / 64.0) AS INT) AS v, tr % 64 AS pr, tc % 64 AS pc, ROUND(vv, 9) AS vv,
+ROUND(vh, 9) AS vh, ROUND(CASE WHEN vv + vh <> 0 THEN 4.0 * vh / (vv + vh) END, 9) AS rvi FROM z""", ("v_obs",))
 def _(t: Tables):
     scenes = t.view("v_obs").select(F.col("frame").alias("burst"), "acq", F.col("scene").alias("proc"), *PX, "vv", "vh")
-    return jobs.burst_tiles(scenes, SRC, FINE, 64)
+    out = jobs.burst_tiles(scenes, SRC, FINE, 64)
+    return out.withColumns({c: rounded(c, 9) for c in ("vv", "vh", "rvi")})
+
+
+@query("resample_reprojected")
+def _(t: Tables):
+    """The orders raster, laid out in zone 18 north, on tiles of zone 17 around its corner."""
+    from groundloom.functions.geodesy import reproject
+    tiles = t.view("v_foot").select(F.lit(0).alias("h"), F.col("id").cast("int").alias("v"), F.lit(-78.02).alias("x"),
+                                    (F.lit(4.0) - F.col("id") * 0.003).alias("y"))
+    tiles = reproject(tiles, "x", "y", 4326, 32617).select(
+        "h", "v", F.col("x").alias("xmin"), (F.col("x") + 3000).alias("xmax"), (F.col("y") - 600).alias("ymin"), F.col("y").alias("ymax"))
+    src = Grid(164000.0, 442900.0, 30.0)
+    return grids.resample_reprojected(t.view("v_px"), src, 32618, tiles, 60.0, 32617)

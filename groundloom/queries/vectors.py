@@ -238,3 +238,28 @@ def _(t: Tables):
     other = geodesy.reproject(there, "x", "y", 32718, 32618)
     back = geodesy.reproject(other, "x", "y", 32618, 4326)
     return back.select("pid", rounded("x", 9).alias("x"), rounded("y", 9).alias("y"))
+
+
+# ---- more forms of the same operators ------------------------------------------------------
+
+@query("burst_footprints", f"""WITH c AS ({_cells_sql('v_scenes', 'LEFT(scene_name, 25) AS burst_id', 20)})
+SELECT burst_id, COUNT(DISTINCT cx * 100000 + cy) * 400.0E0 AS area FROM c GROUP BY burst_id""", ("v_scenes",))
+def _(t: Tables):
+    bursts = _boxes(t, "v_scenes").select(F.substring("scene_name", 1, 25).alias("burst_id"), "ring")
+    return ops.covered_area(ops.dissolve(ops.cover_runs(bursts, 20.0, ["burst_id"]), ["burst_id"]), 20.0, ["burst_id"])
+
+
+@query("reduce_union", f"""WITH c AS ({_cells_sql('v_burst', 'CAST(SUBSTRING(burst_id, 2) AS BIGINT) % 11 AS part', 5)})
+SELECT part, COUNT(DISTINCT cx * 100000 + cy) AS cells FROM c GROUP BY part""", ("v_burst",))
+def _(t: Tables):
+    parts = _boxes(t, "v_burst").select((F.substring("burst_id", 2, 9).cast("bigint") % 11).alias("part"), "ring")
+    united = ops.dissolve(ops.cover_runs(parts, 5.0, ["part"]), ["part"])
+    return united.groupBy("part").agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("cells"))
+
+
+@query("rows_from_area", """
+SELECT burst_id, CAST(i AS BIGINT) AS tx, CAST(j AS BIGINT) AS ty FROM v_burst,
+UNNEST(generate_series(CAST(FLOOR(xmin / 20) AS BIGINT), CAST(FLOOR(xmax / 20) AS BIGINT))) a(i),
+UNNEST(generate_series(CAST(FLOOR(ymin / 20) AS BIGINT), CAST(FLOOR(ymax / 20) AS BIGINT))) b(j)""", ("v_burst",))
+def _(t: Tables):
+    return ops.rows_from_area(_boxes(t, "v_burst").select("burst_id", "ring"), 20.0, ["burst_id"])

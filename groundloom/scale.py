@@ -155,9 +155,10 @@ def chunked_lists(df: DataFrame, keys: Sequence[str], item: str, out: str, size:
     grows with the data.
     """
     keys = list(keys)
-    sizes = df.groupBy(*keys).agg(F.count(item).alias("_n"))
+    items = checkpointed(df.select(*keys, item))
+    sizes = items.groupBy(*keys).agg(F.count(item).alias("_n"))
     parts = sizes.select(*keys, F.ceil(F.col("_n") / F.lit(float(size))).cast("int").alias("_parts"))
-    rows = attach(df.select(*keys, item), parts, keys)
+    rows = attach(items, parts, keys)
     part = F.pmod(F.xxhash64(item), F.greatest(F.col("_parts"), F.lit(1))).cast("int")
     return (rows.withColumn("part", part).groupBy(*keys, "part")
             .agg(F.sort_array(F.collect_list(item)).alias(out)))
