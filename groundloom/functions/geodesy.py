@@ -8,6 +8,7 @@ expressions as literals.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,53 +67,63 @@ def _is_utm(epsg: int) -> bool:
     return 32601 <= epsg <= 32660 or 32701 <= epsg <= 32760
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    Plain nesting would repeat the value wherever it is used, and a filter on the result would
+    multiply the expression with every step.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pair(a: Column, b: Column) -> Column:
+    return F.struct(a.alias("a"), b.alias("b"))
+
+
 def _conformal(tau: Column) -> Column:
     """Tangent of the conformal latitude from the tangent of the geographic latitude."""
     root = F.sqrt(1 + tau * tau)
-    sigma = F.sinh(_E * F.atanh(_E * tau / root))
-    return tau * F.sqrt(1 + sigma * sigma) - sigma * root
+    return _let(F.sinh(_E * F.atanh(_E * tau / root)), lambda s: tau * F.sqrt(1 + s * s) - s * root)
 
 
-def _to_utm(df: DataFrame, x: str, y: str, epsg: int) -> DataFrame:
-    lam = F.radians(F.col(x).cast("double") - _central_meridian(epsg))
-    df = df.withColumn("_t", _conformal(F.tan(F.radians(F.col(y).cast("double"))))).withColumn("_l", lam)
-    t, lon = F.col("_t"), F.col("_l")
-    df = (df.withColumn("_xi", F.atan2(t, F.cos(lon)))
-          .withColumn("_eta", F.asinh(F.sin(lon) / F.sqrt(t * t + F.cos(lon) * F.cos(lon)))))
-    xi, eta = F.col("_xi"), F.col("_eta")
+def _series(xi: Column, eta: Column, coefficients: list[float], sign: int) -> Column:
     north, east = xi, eta
-    for k, a in enumerate(ALPHA, start=1):
-        north = north + a * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        east = east + a * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
-    shift = 0.0 if epsg < 32700 else FALSE_NORTHING_SOUTH
-    scale = UTM_SCALE * _RECT
-    return (df.withColumn(x, FALSE_EASTING + scale * east).withColumn(y, shift + scale * north)
-            .drop("_t", "_l", "_xi", "_eta"))
-
-
-def _from_utm(df: DataFrame, x: str, y: str, epsg: int) -> DataFrame:
-    shift = 0.0 if epsg < 32700 else FALSE_NORTHING_SOUTH
-    scale = UTM_SCALE * _RECT
-    df = (df.withColumn("_xi", (F.col(y) - shift) / scale)
-          .withColumn("_eta", (F.col(x) - FALSE_EASTING) / scale))
-    xi, eta = F.col("_xi"), F.col("_eta")
-    north, east = xi, eta
-    for k, b in enumerate(BETA, start=1):
-        north = north - b * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
-        east = east - b * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
-    df = df.withColumn("_n", north).withColumn("_e", east)
-    n, e = F.col("_n"), F.col("_e")
-    df = (df.withColumn("_lon", F.atan2(F.sinh(e), F.cos(n)))
-          .withColumn("_goal", F.sin(n) / F.sqrt(F.sinh(e) * F.sinh(e) + F.cos(n) * F.cos(n))))
-    df = df.withColumn("_tau", F.col("_goal") / (1 - _E * _E))
-    for _ in range(3):                       # Newton steps for the geographic latitude
-        tau, got = F.col("_tau"), _conformal(F.col("_tau"))
-        step = ((F.col("_goal") - got) / F.sqrt(1 + got * got)
+    for k, c in enumerate(coefficients, start=1):
+        north = north + sign * c * F.sin(2 * k * xi) * F.cosh(2 * k * eta)
+        east = east + sign * c * F.cos(2 * k * xi) * F.sinh(2 * k * eta)
+    return _pair(north, east)
+
+
+def _to_utm(x: Column, y: Column, epsg: int) -> Column:
+    """Pair of northing and easting in the order (a, b)."""
+    shift, scale = (0.0 if epsg < 32700 else FALSE_NORTHING_SOUTH), UTM_SCALE * _RECT
+    lam = F.radians(x - _central_meridian(epsg))
+    sphere = _let(F.tan(F.radians(y)), lambda tau: _let(_pair(_conformal(tau), lam), lambda p: _pair(
+        F.atan2(p["a"], F.cos(p["b"])),
+        F.asinh(F.sin(p["b"]) / F.sqrt(p["a"] * p["a"] + F.cos(p["b"]) * F.cos(p["b"]))))))
+    plane = _let(sphere, lambda p: _series(p["a"], p["b"], ALPHA, 1))
+    return _let(plane, lambda p: _pair(shift + scale * p["a"], FALSE_EASTING + scale * p["b"]))
+
+
+def _newton(goal: Column, tau: Column) -> Column:
+    """One step towards the geographic latitude whose conformal latitude is the goal."""
+    return _let(_conformal(tau), lambda got: tau + (goal - got) / F.sqrt(1 + got * got)
                 * (1 + (1 - _E * _E) * tau * tau) / ((1 - _E * _E) * F.sqrt(1 + tau * tau)))
-        df = df.withColumn("_tau", tau + step)
-    return (df.withColumn(x, F.degrees(F.col("_lon")) + _central_meridian(epsg))
-            .withColumn(y, F.degrees(F.atan(F.col("_tau"))))
-            .drop("_xi", "_eta", "_n", "_e", "_lon", "_goal", "_tau"))
+
+
+def _from_utm(x: Column, y: Column, epsg: int) -> Column:
+    """Pair of latitude and longitude in the order (a, b)."""
+    shift, scale = (0.0 if epsg < 32700 else FALSE_NORTHING_SOUTH), UTM_SCALE * _RECT
+    sphere = _let(_pair((y - shift) / scale, (x - FALSE_EASTING) / scale),
+                  lambda p: _series(p["a"], p["b"], BETA, -1))
+
+    def latitude(goal: Column) -> Column:
+        return _let(goal / (1 - _E * _E), lambda t: _let(_newton(goal, t), lambda u: _let(
+            _newton(goal, u), lambda v: F.degrees(F.atan(_newton(goal, v))))))
+
+    return _let(sphere, lambda p: _pair(
+        _let(F.sin(p["a"]) / F.sqrt(F.sinh(p["b"]) * F.sinh(p["b"]) + F.cos(p["a"]) * F.cos(p["a"])), latitude),
+        F.degrees(F.atan2(F.sinh(p["b"]), F.cos(p["a"]))) + _central_meridian(epsg)))
 
 
 def reproject(df: DataFrame, x: str, y: str, from_epsg: int, to_epsg: int) -> DataFrame:
@@ -122,6 +133,10 @@ def reproject(df: DataFrame, x: str, y: str, from_epsg: int, to_epsg: int) -> Da
             raise ValueError(f"unsupported coordinate system: {epsg}")
     if from_epsg == to_epsg:
         return df
+    place = _pair(F.col(y).cast("double"), F.col(x).cast("double"))
     if from_epsg != 4326:
-        df = _from_utm(df, x, y, from_epsg)
-    return df if to_epsg == 4326 else _to_utm(df, x, y, to_epsg)
+        place = _let(place, lambda p: _from_utm(p["b"], p["a"], from_epsg))
+    if to_epsg != 4326:
+        place = _let(place, lambda p: _to_utm(p["b"], p["a"], to_epsg))
+    moved = df.select(*df.columns, F.inline(F.array(place)).alias("_a", "_b"))     # both axes in one evaluation
+    return moved.withColumns({x: F.col("_b"), y: F.col("_a")}).drop("_a", "_b")
