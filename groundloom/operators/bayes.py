@@ -6,6 +6,7 @@ deviance); the driver solves a system as small as the number of coefficients.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -142,7 +143,8 @@ def credible_interval(draws: DataFrame, cols: Sequence[str], low: float = 0.025,
 
 def draw_scores(cols: Sequence[str], draws: Sequence[Sequence[float]]) -> Column:
     """Array with the probability of the row under every draw."""
-    coefficients = F.array(*[F.array(*[F.lit(float(v)) for v in d]) for d in draws])
+    text = json.dumps([[float(v) for v in d] for d in draws])
+    coefficients = F.from_json(F.lit(text), "array<array<double>>")          # folded to one literal
 
     def score(d: Column) -> Column:
         z = d[0]

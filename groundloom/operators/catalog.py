@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundloom.functions.names import TILE_ID, frame_id
-from groundloom.scale import attach, salted_join
+from groundloom.scale import attach
 
 
 def majority_orbit(df: DataFrame, direction: str = "flightDirection") -> DataFrame:
@@ -75,8 +75,8 @@ def all_found(status: DataFrame, layers: Sequence[str] = ("VV", "VH", "RVI")) ->
 
 
 def attach_metadata(jobs: DataFrame, scenes: DataFrame, key: str = "sceneName") -> DataFrame:
-    """Jobs with the metadata of their scene; a scene named by very many jobs is salted."""
-    return attach(jobs, scenes, [key])
+    """Jobs with the metadata of their scene; a scene named by very many jobs is spread out."""
+    return attach(jobs, scenes, [key], derived=False)
 
 
 def pair_polarizations(files: DataFrame, co: str = "VV", cross: str = "VH",
@@ -142,7 +142,7 @@ def products_by_frame(df: DataFrame, prefix: str, frames: Sequence[str] | None =
 
 def granules_of_frames(granules: DataFrame, frames: DataFrame,
                        keys: Sequence[str] = ("pathNumber", "frameNumber")) -> DataFrame:
-    return salted_join(granules, frames.select(*keys), keys, "left_semi")
+    return attach(granules, frames.select(*keys), keys, "left_semi")
 
 
 def tiles_in_use(tiles: DataFrame) -> DataFrame:

@@ -231,15 +231,18 @@ def peel_sides(px: DataFrame, depth: int, left_right: bool = True, mask: str = "
     band = checkpointed(near.where((F.col("mask") != 0) & F.col("distance").isNotNull()).select(*cell, "distance"))
     edge = band.where("distance = 1").select(*cell)
     gone = None
-    for _ in range(depth):
+    for k in range(1, depth + 1):
         marked = checkpointed(_mark_sides(edge, left_right, by))
         step = marked.where("side > 0")
         gone = step if gone is None else gone.unionByName(step)
+        if k % 25 == 0:
+            gone = checkpointed(gone)
         stay = marked.where("side = 0").select(*cell)
         around = step.select(*by, F.explode(F.array(*[
             F.struct((F.col("pr") + dr).alias("pr"), (F.col("pc") + dc).alias("pc"))
             for dr, dc in ((0, 1), (0, -1), (1, 0), (-1, 0))])).alias("_n")).select(*by, "_n.*").distinct()
-        fresh = band.select(*cell).join(around, cell, "left_semi")
+        reachable = band.where(F.col("distance") <= k + 1).select(*cell)
+        fresh = attach(reachable, around, cell, "left_semi")
         old = gone.select(*cell).unionByName(stay)
         edge = fresh.join(old, cell, "left_anti").unionByName(stay)
     return gone
@@ -260,7 +263,7 @@ def remove_edges(px: DataFrame, layers: Sequence[str], depth: int, deciding: str
         gone = near.where((F.col("mask") != 0) & F.col("distance").isNotNull()).select(*cell)
     else:
         gone = peel_sides(masked, depth, side == "lr", "mask", by).select(*cell)
-    flagged = px.join(gone.withColumn("_gone", F.lit(1)), cell, "left")
+    flagged = attach(px, gone.withColumn("_gone", F.lit(1)), cell, "left")
     keep = F.col("_gone").isNull() & valid
     values = {l: F.when(keep, F.degrees(l) if l == angle else F.col(l)) for l in layers if l != deciding}
     values[deciding] = F.when(keep, F.col(deciding))

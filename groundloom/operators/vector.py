@@ -100,7 +100,7 @@ def spatial_join(a: DataFrame, b: DataFrame, cell: float, a_ring: str = "ring",
     the cell of the lower-left corner of the common box, so it needs no duplicate removal.
     """
     left, right = _cells(a, a_ring, cell, "a"), _cells(b, b_ring, cell, "b")
-    pairs = attach(left, right, ["_cx", "_cy"])
+    pairs = attach(left, right, ["_cx", "_cy"], derived=False)
     overlap = ((F.col("_axmin") <= F.col("_bxmax")) & (F.col("_bxmin") <= F.col("_axmax"))
                & (F.col("_aymin") <= F.col("_bymax")) & (F.col("_bymin") <= F.col("_aymax")))
     once = ((F.col("_cx") == F.floor(F.greatest("_axmin", "_bxmin") / cell))
@@ -286,6 +286,18 @@ def merge_neighbors(ratios: DataFrame, key: str, threshold: float = 0.95) -> Dat
     return merged.unionByName(alone)
 
 
+def equal_coverings(runs: DataFrame, key: str) -> DataFrame:
+    """Per frame the smallest frame with the same covering, as ``shape``.
+
+    Frames that are copies of each other need not be compared in pairs. Coverings are compared
+    by an order-free hash of their disjoint runs.
+    """
+    sums = runs.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("y", "x0", "x1")).alias("_a"),
+                                 F.bit_xor(F.xxhash64("y", "x0", "x1", F.lit("set"))).alias("_b"))
+    first = sums.groupBy("_n", "_a", "_b").agg(F.min(key).alias("shape"))
+    return attach(sums, first, ["_n", "_a", "_b"]).select(key, "shape")
+
+
 def merged_frames(members: DataFrame, frames: DataFrame, key: str, number: str = "frameNumber") -> DataFrame:
     """Merged frames: joined frame numbers, summed granule counts and the number of members.
 
@@ -336,8 +348,12 @@ def skim_granules(aoi: DataFrame, granules: DataFrame, size: float, scene: str =
     frames = keyed.groupBy("_frame").agg(*[F.min(k).alias(k) for k in frame_keys],
                                          F.count(F.lit(1)).alias("num_granules"))
     runs = checkpointed(dissolve(cover_runs(keyed, size, ["_frame"], ring), ["_frame"]))
-    members = checkpointed(merge_neighbors(overlap_ratio(runs, "_frame"), "_frame", threshold))
-    grouped = dissolve(attach(runs, members, ["_frame"]).drop("_frame"), ["group_id"])
+    shapes = checkpointed(equal_coverings(runs, "_frame"))
+    shape_runs = attach(runs, shapes.where("shape = _frame").select("_frame"), ["_frame"], "left_semi")
+    shape_runs = shape_runs.withColumnRenamed("_frame", "shape")
+    groups = checkpointed(merge_neighbors(overlap_ratio(shape_runs, "shape"), "shape", threshold))
+    members = attach(shapes, groups, ["shape"]).select("group_id", "_frame")
+    grouped = dissolve(attach(shape_runs, groups, ["shape"]).drop("shape"), ["group_id"])
     areas = checkpointed(exclusive_overlap(grouped, cover_runs(aoi, size, [], ring), "group_id", size))
     useless = areas.where("overlap_with_aoi = 0").select("group_id")
     dropped = members.join(useless, "group_id", "left_semi").select("_frame").distinct()

@@ -11,12 +11,13 @@ from groundloom.session import checkpointed
 
 BROADCAST_ROWS = 200_000
 MAX_GROUP_ROWS = 2_000_000
+HOT_KEY_ROWS = 5_000_000
 SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows."""
+    return df.count() <= max_rows
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
@@ -33,17 +34,36 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def skew_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
+              hot_rows: int = HOT_KEY_ROWS, salts: int = SALTS) -> DataFrame:
+    """Equi join of two large tables in which only the keys with many rows in ``big`` are salted.
+
+    A key counts as hot above ``hot_rows`` rows, so there are few of them. Without any it is an
+    ordinary shuffle join. Valid for inner, left, left_semi and left_anti.
+    """
+    on = list(on)
+    hot = checkpointed(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*on))
+    if hot.isEmpty():
+        return big.join(other, on, how)
+    hot = F.broadcast(hot)                                  # at most rows of big / hot_rows
+    usual = big.join(hot, on, "left_anti").join(other, on, how)
+    return usual.unionByName(salted_join(big.join(hot, on, "left_semi"), other.join(hot, on, "left_semi"),
+                                         on, how, salts))
+
+
 def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-           max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a derived lookup (per class, frame, tile or point) onto a large table.
+           max_rows: int = BROADCAST_ROWS, derived: bool = True) -> DataFrame:
+    """Join a lookup (per class, frame, tile or point) onto a large table.
 
-    The lookup is written once and counted. Within ``max_rows`` it is broadcast, so ``big`` is
-    not shuffled; above that the join is salted.
+    The lookup is counted. Within ``max_rows`` it is broadcast, so ``big`` is not shuffled; above
+    that both sides are shuffled and hot keys salted. A ``derived`` lookup is written once
+    before, so that counting it does not compute it twice.
     """
-    small = checkpointed(small)
+    if derived:
+        small = checkpointed(small)
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
-    return salted_join(big, small, on, how)
+    return skew_join(big, small, on, how)
 
 
 def shuffle_key(seed: int, *cols: str) -> Column:

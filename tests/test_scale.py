@@ -22,6 +22,10 @@ def test_joins_agree_with_a_plain_join(skewed, spark, how):
     want = sorted(skewed.join(small, "key", how).collect())
     assert sorted(scale.attach(skewed, small, ["key"], how, max_rows=2).select(*skewed.join(small, "key", how).columns).collect()) == want
     assert sorted(scale.attach(skewed, small, ["key"], how).collect()) == want
+    split = scale.skew_join(skewed, small, ["key"], how, hot_rows=500, salts=4)
+    assert sorted(split.select(*skewed.join(small, "key", how).columns).collect()) == want
+    salted = scale.salted_join(skewed, small, ["key"], how, salts=4)
+    assert sorted(salted.select(*skewed.join(small, "key", how).columns).collect()) == want
 
 
 def test_broadcast_only_within_the_bound(skewed, spark):
@@ -74,6 +78,6 @@ def test_chunked_lists_keep_every_item(skewed):
     assert all(r.ids == sorted(r.ids) for r in out)
 
 
-def test_is_small_reads_no_further_than_needed(skewed):
+def test_is_small(skewed):
     assert scale.is_small(skewed, 3000) and not scale.is_small(skewed, 2999)
     assert skewed.where(F.lit(False)).isEmpty()
