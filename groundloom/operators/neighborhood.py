@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from groundloom.scale import attach
 from groundloom.session import checkpointed
@@ -126,15 +127,16 @@ def inner_edges(px: DataFrame, mask: str = "mask", by: Sequence[str] = ()) -> Da
 def zero_distance(px: DataFrame, depth: int, mask: str = "mask", by: Sequence[str] = ()) -> DataFrame:
     """L1 distance of each pixel to the nearest no-data pixel; exact up to ``depth``, else NULL."""
     blocked, block = _blocks(px, depth, by)
-    row = Window.partitionBy(*block, "pr").orderBy("pc")
-    col = Window.partitionBy(*block, "pc").orderBy("pr")
-    past, ahead = (Window.unboundedPreceding, 0), (0, Window.unboundedFollowing)
+    def upto(line: str, order: Column) -> WindowSpec:
+        # running frames only, once in each direction: a frame to the end of the line would be read again for every row
+        return Window.partitionBy(*block, line).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
     zero_at = F.when(F.col(mask) == 0, F.col("pc"))
-    near = (blocked.withColumns({"_l": F.last(zero_at, ignorenulls=True).over(row.rowsBetween(*past)),
-                                 "_r": F.first(zero_at, ignorenulls=True).over(row.rowsBetween(*ahead))})
+    near = (blocked.withColumn("_l", F.last(zero_at, ignorenulls=True).over(upto("pr", F.asc("pc"))))
+            .withColumn("_r", F.last(zero_at, ignorenulls=True).over(upto("pr", F.desc("pc"))))
             .withColumn("_g", F.least(F.col("pc") - F.col("_l"), F.col("_r") - F.col("pc"))))
-    dist = F.least(F.min(F.col("_g") - F.col("pr")).over(col.rowsBetween(*past)) + F.col("pr"),
-                   F.min(F.col("_g") + F.col("pr")).over(col.rowsBetween(*ahead)) - F.col("pr"))
+    dist = F.least(F.min(F.col("_g") - F.col("pr")).over(upto("pc", F.asc("pr"))) + F.col("pr"),
+                   F.min(F.col("_g") + F.col("pr")).over(upto("pc", F.desc("pr"))) - F.col("pr"))
     far = near.withColumn("distance", dist)
     return (_home(far).drop("_l", "_r", "_g")
             .withColumn("distance", F.when(F.col("distance") <= depth, F.col("distance"))))

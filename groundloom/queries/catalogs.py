@@ -72,13 +72,13 @@ def _(t: Tables):
 
 
 @query("expected_vs_found", "WITH " + _PARTS + """,
- tiles AS (SELECT DISTINCT pr AS h, pc AS v, mask FROM v_mask WHERE pc < 12)
+ tiles AS (SELECT DISTINCT pr AS h, pc AS v, mask FROM v_mask)
 SELECT t.h, t.v, CAST(CASE WHEN mask <> 0 THEN COUNT(*) FILTER (WHERE f.layer = 'VV') > 0 END AS VARCHAR) AS vv,
 CAST(CASE WHEN mask <> 0 THEN COUNT(*) FILTER (WHERE f.layer = 'VH') > 0 END AS VARCHAR) AS vh,
 CAST(CASE WHEN mask <> 0 THEN COUNT(*) FILTER (WHERE f.layer = 'RVI') > 0 END AS VARCHAR) AS rvi
 FROM tiles t LEFT JOIN tiles_found f ON t.h = f.h AND t.v = f.v GROUP BY t.h, t.v, mask""", ("v_scenes", "v_mask"))
 def _(t: Tables):
-    tiles = t.view("v_mask").where("pc < 12").select(F.col("pr").alias("h"), F.col("pc").alias("v"), "mask").distinct()
+    tiles = t.view("v_mask").select(F.col("pr").alias("h"), F.col("pc").alias("v"), "mask").distinct()
     status = ops.expected_vs_found(tiles, _files(t))
     return status.select("h", "v", *[F.col(l).cast("string").alias(l.lower()) for l in ("VV", "VH", "RVI")])
 

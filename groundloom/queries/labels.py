@@ -15,13 +15,12 @@ _MODE = """n AS (SELECT doc_id, vote, COUNT(vote) AS n FROM v_votes GROUP BY ALL
 
 @query("merge_labelers", f"""
 SELECT a.doc_id, CAST(a.vote AS DOUBLE) AS "{P}1", CAST(b.vote AS DOUBLE) AS "{P}2", CAST(c.vote AS DOUBLE) AS "{P}3"
-FROM (SELECT * FROM v_votes WHERE labeler = 'user1' AND doc_id % 4 <> 0) a
-LEFT JOIN (SELECT * FROM v_votes WHERE labeler = 'user2') b ON a.doc_id = b.doc_id
+FROM (SELECT * FROM v_votes WHERE labeler = 'user2' AND vote IS NOT NULL) a
+LEFT JOIN (SELECT * FROM v_votes WHERE labeler = 'user1') b ON a.doc_id = b.doc_id
 LEFT JOIN (SELECT * FROM v_votes WHERE labeler = 'user3') c ON a.doc_id = c.doc_id""", ("v_votes",))
 def _(t: Tables):
-    # the first labeler has not seen every fourth point, which leaves it out of the result
-    votes = t.view("v_votes").where("labeler <> 'user1' OR doc_id % 4 <> 0")
-    out = ops.merge_labelers(votes, ["doc_id"], LABELERS)
+    # points that the first labeler did not answer are left out
+    out = ops.merge_labelers(t.view("v_votes").dropna(), ["doc_id"], ["user2", "user1", "user3"])
     return out.select("doc_id", *[F.col(f"`{P}{i}`").cast("double").alias(f"{P}{i}") for i in (1, 2, 3)])
 
 

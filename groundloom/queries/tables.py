@@ -110,8 +110,9 @@ def _(t: Tables):
 
 @query("union_beams", "SELECT file_no, shot, elev1 FROM v_shots", ("v_shots",))
 def _(t: Tables):
-    shots = t.view("v_shots").select("file_no", "shot", "elev1")
-    return ops.union_beams(*[shots.where(F.pmod("file_no", F.lit(2)) == k) for k in (0, 1)])
+    shots = t.view("v_shots")
+    beams = [shots.where(c).select("file_no", "shot", "elev1") for c in ("sensitivity >= 0.95", "sensitivity < 0.95")]
+    return ops.union_beams(*beams)
 
 
 @query("upsert_products", """

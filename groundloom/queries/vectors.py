@@ -143,15 +143,15 @@ def _(t: Tables):
 
 
 def _twins(t: Tables):
-    """Every fourth footprint twice, the second time shifted a little."""
+    """Every footprint twice, the second time shifted a little."""
     feet = t.view("v_foot")
     first = feet.select((F.col("id") * 2).alias("frame"), "xmin", "ymin", "xmax", "ymax")
-    second = feet.where("id % 4 = 0").select((F.col("id") * 2 + 1).alias("frame"), F.col("xmin") + 2, "ymin", F.col("xmax") + 2, "ymax")
+    second = feet.select((F.col("id") * 2 + 1).alias("frame"), F.col("xmin") + 2, "ymin", F.col("xmax") + 2, "ymax")
     both = first.union(second).withColumn("ring", ops.box_ring("xmin", "ymin", "xmax", "ymax"))
     return both, ops.dissolve(ops.cover_runs(both, 2.0, ["frame"]), ["frame"])
 
 
-@query("merge_neighbors", "SELECT id * 2 AS leader, CASE WHEN id % 4 = 0 THEN 2 ELSE 1 END * CAST(1 AS BIGINT) AS members FROM v_foot", ("v_foot",))
+@query("merge_neighbors", "SELECT id * 2 AS leader, CAST(2 AS BIGINT) AS members FROM v_foot", ("v_foot",))
 def _(t: Tables):
     _, runs = _twins(t)
     groups = ops.merge_neighbors(ops.overlap_ratio(runs, "frame"), "frame")
@@ -159,9 +159,9 @@ def _(t: Tables):
 
 
 @query("merged_frames", """
-SELECT CAST(id % 7 AS INT) AS pathNumber, 0 AS part, CASE WHEN id % 4 = 0 THEN concat(id * 2, '-', id * 2 + 1) ELSE CAST(id * 2 AS VARCHAR)
-END AS frameNumber, CASE WHEN id % 4 = 0 THEN 2 ELSE 1 END * CAST(1 AS BIGINT) AS members,
-CASE WHEN id % 4 = 0 THEN 2 ELSE 1 END * CAST(3 AS BIGINT) AS num_granules FROM v_foot""", ("v_foot",))
+SELECT CAST(id % 7 AS INT) AS pathNumber, 0 AS part, concat(LEAST(CAST(id * 2 AS VARCHAR), CAST(id * 2 + 1 AS VARCHAR)), '-',
+GREATEST(CAST(id * 2 AS VARCHAR), CAST(id * 2 + 1 AS VARCHAR))) AS frameNumber, CAST(2 AS BIGINT) AS members,
+CAST(6 AS BIGINT) AS num_granules FROM v_foot""", ("v_foot",))
 def _(t: Tables):
     both, runs = _twins(t)
     groups = ops.merge_neighbors(ops.overlap_ratio(runs, "frame"), "frame")
