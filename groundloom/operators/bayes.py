@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from groundloom.functions.indices import (DEFAULT_SCORE_INTERCEPT, PRIOR_MEAN, linear_score, logistic, logit_score,
                                           threshold_class)
 from groundloom.operators.votes import confusion_matrix, overall_accuracy
+from groundloom.scale import grouped_quantiles
 
 
 @dataclass(frozen=True)
@@ -134,11 +135,18 @@ def posterior_as_prior(draws: DataFrame, cols: Sequence[str]) -> DataFrame:
             .agg(F.avg("value").alias("prior_mean"), F.stddev_samp("value").alias("prior_scale")))
 
 
+def next_prior(model: LogitModel, draws: DataFrame, df: float = 1.0) -> Prior:
+    """Prior of the next run: the fitted coefficients with the deviation of their draws as scale."""
+    terms = ["intercept", *model.cols]
+    scale = draws.agg(*[F.stddev_samp(c).alias(c) for c in terms]).first()
+    return Prior([float(b) for b in model.coefficients], [float(scale[c]) for c in terms], df)
+
+
 def credible_interval(draws: DataFrame, cols: Sequence[str], low: float = 0.025, high: float = 0.975) -> DataFrame:
     """Quantiles of the draws per coefficient, linearly interpolated."""
     cells = F.array(*[F.struct(F.lit(c).alias("term"), F.col(c).alias("value")) for c in cols])
-    return (draws.select(F.explode(cells).alias("_c")).select("_c.*").groupBy("term")
-            .agg(F.percentile("value", low).alias("ci_low"), F.percentile("value", high).alias("ci_high")))
+    long = draws.select(F.explode(cells).alias("_c")).select("_c.*")
+    return grouped_quantiles(long, ["term"], "value", [low, high], ["ci_low", "ci_high"])
 
 
 def draw_scores(cols: Sequence[str], draws: Sequence[Sequence[float]]) -> Column:

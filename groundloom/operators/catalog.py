@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundloom.functions.names import TILE_ID, frame_id
-from groundloom.scale import attach
+from groundloom.scale import attach, chunked_lists
 
 
 def majority_orbit(df: DataFrame, direction: str = "flightDirection") -> DataFrame:
@@ -131,8 +131,8 @@ def file_key_parts(files: DataFrame, name: str = "name") -> DataFrame:
 def products_by_frame(df: DataFrame, prefix: str, frames: Sequence[str] | None = None) -> DataFrame:
     """Product paths per ``<path>_<frame>``, optionally only of the listed frames.
 
-    One row per product, keyed and sorted by frame, so that a frame with very many products
-    stays spread over partitions; see :func:`product_lists` for the list form.
+    One row per product, so that a frame with very many products stays spread over partitions;
+    :func:`product_lists` gives the list form.
     """
     keyed = df.withColumn("frame_id", frame_id("pathNumber", "frameNumber"))
     if frames is not None:
@@ -140,6 +140,11 @@ def products_by_frame(df: DataFrame, prefix: str, frames: Sequence[str] | None =
     return keyed.select("frame_id", F.concat_ws("/", F.lit(prefix), F.col("frame_id"), F.col("filename")).alias("product"))
 
 
+def product_lists(df: DataFrame, prefix: str, frames: Sequence[str] | None = None) -> DataFrame:
+    """Sorted product paths per frame as lists, in parts if a frame has very many."""
+    return chunked_lists(products_by_frame(df, prefix, frames), ["frame_id"], "product", "products")
+
+
 def granules_of_frames(granules: DataFrame, frames: DataFrame,
                        keys: Sequence[str] = ("pathNumber", "frameNumber")) -> DataFrame:
     return attach(granules, frames.select(*keys), keys, "left_semi")

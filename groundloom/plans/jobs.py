@@ -18,6 +18,7 @@ from groundloom.operators.strata import (class_histogram, consolidate, distribut
                                          scale_for_training, shuffle_and_number, size_stehman_foody,
                                          stratified_sample, train_val_test_split)
 from groundloom.operators.votes import class_mean_impute, consensus, long_votes, merge_labelers
+from groundloom.scale import attach
 
 
 def vegetation_map(scenes: DataFrame, co: str, cross: str, intercept: float, weight: float,
@@ -35,10 +36,12 @@ def burst_tiles(scenes: DataFrame, grid: Grid, target: Grid, cells_per_tile: int
     """Burst time series to co- and cross-polarized tiles with their vegetation index.
 
     ``scenes`` has one row per burst, acquisition, processing time and pixel with bands ``vv``
-    and ``vh``. The latest processing of an acquisition counts; later bursts win in a mosaic.
+    and ``vh``. The latest processing of an acquisition counts, which is decided on the scenes and
+    not on their pixels; later bursts win in a mosaic.
     """
-    latest = latest_processing(scenes, ["burst", "acq", *PIXEL], "proc")
-    means = temporal_mean_skipna(latest, ["burst", *PIXEL], ["vv", "vh"])
+    latest = latest_processing(scenes.select("burst", "acq", "proc").distinct(), ["burst", "acq"], "proc")
+    current = attach(scenes, latest, ["burst", "acq", "proc"], "left_semi")
+    means = temporal_mean_skipna(current, ["burst", *PIXEL], ["vv", "vh"])
     tiled = to_tiles(resample(means, grid, target, "nearest"), cells_per_tile)
     flat = mosaic(tiled, ["h", "v", *PIXEL], "burst", ["vv", "vh"])
     return flat.withColumn("rvi", rvi("vv", "vh"))

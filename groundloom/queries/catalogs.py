@@ -143,6 +143,13 @@ def _(t: Tables):
     return ops.products_by_frame(t.view("v_scenes"), "/data", ["0_0", "3_15", "11_29", "7_7"])
 
 
+@query("product_lists", """
+SELECT concat(pathNumber, '_', frameNumber) AS frame_id, 0 AS part, string_agg(concat('/data/', pathNumber, '_', frameNumber, '/',
+filename), ',' ORDER BY filename) AS products FROM v_scenes GROUP BY pathNumber, frameNumber""", ("v_scenes",))
+def _(t: Tables):
+    return ops.product_lists(t.view("v_scenes"), "/data").withColumn("products", F.array_join("products", ","))
+
+
 @query("granules_of_frames", """
 SELECT scene_no, pathNumber, frameNumber FROM v_scenes WHERE (pathNumber, frameNumber) IN
 (SELECT pathNumber, frameNumber FROM v_scenes GROUP BY ALL HAVING COUNT(*) >= 250)""", ("v_scenes",))

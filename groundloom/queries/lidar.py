@@ -20,21 +20,25 @@ def _stats_then_range(t: Tables):
     return joined.withColumn("elev_range", robust_range(ops.ELEVATIONS, "elev_mean", "elev_sd"))
 
 
-@query("flatten_shots", """
-SELECT l_orderkey AS file_no, concat('BEAM', l_orderkey % 8) AS beam, l_linenumber AS shot, l_quantity AS elev1,
-TIMESTAMP '2018-01-01 00:00:00' + to_microseconds(CAST(l_extendedprice * 100 AS BIGINT) * 10000) AS date,
-l_tax AS rh0, l_discount AS rh1, l_quantity AS rh2 FROM lineitem WHERE l_returnflag <> 'R'""")
+_SHOT = """SELECT l_orderkey AS file_no, l_linenumber AS line, concat('BEAM', l_suppkey % 8) AS beam, {k} AS shot, {elev} AS elev1,
+TIMESTAMP '2018-01-01 00:00:00' + to_microseconds((CAST(l_extendedprice * 100 AS BIGINT) + {k}) * 10000) AS date,
+{rh} FROM lineitem {where}"""
+
+
+@query("flatten_shots", _SHOT.format(k=1, elev="l_quantity", rh="l_tax AS rh0, l_discount AS rh1, l_quantity AS rh2", where="")
+       + " UNION ALL " + _SHOT.format(k=2, elev="l_tax", rh="l_discount AS rh0, l_tax AS rh1, l_quantity AS rh2",
+                                      where="WHERE l_returnflag <> 'R'"))
 def _(t: Tables):
-    # one beam per order: short arrays, as many beams as orders
-    shot = F.struct(F.col("l_linenumber").alias("shot"), F.col("l_extendedprice").alias("delta_time"),
-                    F.when(F.col("l_returnflag") != "R", F.col("l_quantity")).alias("elev1"),
-                    F.array("l_tax", "l_discount", "l_quantity").alias("rh"))
-    beams = (t.table("lineitem").groupBy(F.col("l_orderkey").alias("file_no"))
-             .agg(F.collect_list(shot).alias("_a"))
-             .select("file_no", F.concat(F.lit("BEAM"), F.pmod("file_no", F.lit(8)).cast("string")).alias("beam"),
-                     *[F.col(f"_a.{c}").alias(c) for c in ("shot", "delta_time", "elev1", "rh")]))
-    other = beams.withColumn("beam", F.lit("METADATA"))
-    out = ops.flatten_shots(beams.unionByName(other), ["shot", "delta_time", "elev1"], 3, keys=("file_no", "beam"))
+    # one short beam per line, its second shot incomplete for returned lines, and a group that is no beam
+    item = t.table("lineitem")
+    beams = item.select(
+        F.col("l_orderkey").alias("file_no"), F.col("l_linenumber").alias("line"),
+        F.explode(F.array(F.concat(F.lit("BEAM"), F.pmod("l_suppkey", F.lit(8)).cast("string")), F.lit("METADATA"))).alias("beam"),
+        F.array(F.lit(1), F.lit(2)).alias("shot"),
+        F.array(F.col("l_extendedprice") + 0.01, F.col("l_extendedprice") + 0.02).alias("delta_time"),
+        F.array("l_quantity", F.when(F.col("l_returnflag") != "R", F.col("l_tax"))).alias("elev1"),
+        F.array(F.array("l_tax", "l_discount", "l_quantity"), F.array("l_discount", "l_tax", "l_quantity")).alias("rh"))
+    out = ops.flatten_shots(beams, ["shot", "delta_time", "elev1"], 3, keys=("file_no", "line", "beam"))
     return out.drop("delta_time")
 
 

@@ -108,3 +108,29 @@ def _(t: Tables):
 @query("probability_map")
 def _(t: Tables):
     return jobs.probability_map(t.view("v_stack"), _fit(t)).select("pr", "pc", rounded("probability", 5).alias("probability"))
+
+
+def _fit_sql(steps: int) -> str:
+    """The fit with one predictor, its steps written out; t priors with means (0, 0.5) and scales (10, 2.5)."""
+    sums = "SUM(w) AS a, SUM(w * x) AS b, SUM(w * x * x) AS c, SUM(w * (eta + (y - mu) / w)) AS d, SUM(w * x * (eta + (y - mu) / w)) AS e"
+    tables = ["""t AS MATERIALIZED (SELECT c_vv AS x, CASE WHEN cat >= 5 THEN 1.0E0 ELSE 0.0E0 END AS y FROM v_stack)""",
+              """r0 AS MATERIALIZED (SELECT *, LN(mu / (1 - mu)) AS eta, mu * (1 - mu) AS w FROM (SELECT x, y, (y + 0.5) / 2 AS mu FROM t))""",
+              f"q0 AS MATERIALIZED (SELECT {sums}, 1 / 100.0E0 AS p0, 1 / 6.25E0 AS p1 FROM r0)"]
+    for k in range(1, steps + 1):
+        tables += [
+            f"""s{k} AS MATERIALIZED (SELECT ((c + p1) * d - b * (e + p1 * 0.5)) / det AS b0, ((a + p0) * (e + p1 * 0.5) - b * d) / det AS b1,
+ (c + p1) / det AS v0, (a + p0) / det AS v1 FROM (SELECT *, (a + p0) * (c + p1) - b * b AS det FROM q{k - 1}))""",
+            f"""r{k} AS MATERIALIZED (SELECT *, mu * (1 - mu) AS w FROM (SELECT x, y, b0 + b1 * x AS eta, 1 / (1 + EXP(-(b0 + b1 * x))) AS mu
+ FROM t, s{k}))""",
+            f"""q{k} AS MATERIALIZED (SELECT m.*, 2 / (b0 * b0 + v0 + 100) AS p0, 2 / ((b1 - 0.5) * (b1 - 0.5) + v1 + 6.25) AS p1
+ FROM (SELECT {sums} FROM r{k}) m, s{k})"""]
+    return "WITH " + ", ".join(tables) + f"""
+SELECT '(Intercept)' AS term, ROUND(b0, 6) AS estimate, ROUND(SQRT(v0), 6) AS std_error FROM s{steps}
+UNION ALL SELECT 'c_vv', ROUND(b1, 6), ROUND(SQRT(v1), 6) FROM s{steps}"""
+
+
+@query("bayes_logit_line", _fit_sql(25), ("v_stack",))
+def _(t: Tables):
+    model = ops.bayes_logit_fit(_training(t), ["c_vv"], "presence", ops.Prior([0.0, 0.5], [10.0, 2.5]), epsilon=1e-15)
+    out = ops.coefficient_table(t.spark, model)
+    return out.select("term", rounded("estimate", 6).alias("estimate"), rounded("std_error", 6).alias("std_error"))

@@ -486,8 +486,8 @@ def _(t: Tables):
 
 
 @query("burst_tiles", f"""
-WITH l AS (SELECT frame, acq, pr, pc, vv, vh FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY frame, acq, pr, pc
-  ORDER BY scene DESC, vv DESC, vh DESC) AS k FROM v_obs) WHERE k = 1),
+WITH l AS (SELECT frame, acq, pr, pc, vv, vh FROM (SELECT *, RANK() OVER (PARTITION BY frame, acq ORDER BY line DESC) AS k
+  FROM v_obs) WHERE k = 1),
  m AS (SELECT frame, pr, pc, AVG(vv) AS vv, AVG(vh) AS vh FROM l GROUP BY ALL),
  {_AXES.format(y0=-7, x0=5, res=12, nr=40000, nc=400)},
  w AS (SELECT frame, tr, tc, vv, vh FROM ax JOIN m p ON p.pr = CAST(FLOOR(-ty / 30) AS INT) JOIN ay ON p.pc = CAST(FLOOR(tx / 30) AS INT)),
@@ -495,7 +495,7 @@ WITH l AS (SELECT frame, acq, pr, pc, vv, vh FROM (SELECT *, ROW_NUMBER() OVER (
 SELECT CAST(FLOOR(tc / 64.0) AS INT) AS h, CAST(FLOOR(tr / 64.0) AS INT) AS v, tr % 64 AS pr, tc % 64 AS pc, ROUND(vv, 9) AS vv,
 ROUND(vh, 9) AS vh, ROUND(CASE WHEN vv + vh <> 0 THEN 4.0 * vh / (vv + vh) END, 9) AS rvi FROM z""", ("v_obs",))
 def _(t: Tables):
-    scenes = t.view("v_obs").select(F.col("frame").alias("burst"), "acq", F.col("scene").alias("proc"), *PX, "vv", "vh")
+    scenes = t.view("v_obs").select(F.col("frame").alias("burst"), "acq", F.col("line").alias("proc"), *PX, "vv", "vh")
     out = jobs.burst_tiles(scenes, SRC, FINE, 64)
     return out.withColumns({c: rounded(c, 9) for c in ("vv", "vh", "rvi")})
 

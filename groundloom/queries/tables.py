@@ -333,11 +333,8 @@ def _(t: Tables):
     return t.view("v_points").select("pid", cells.true_label("cls", "BUILDING").alias("true_label"))
 
 
-@query("join_list", """
-SELECT scene, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) AS lines FROM (SELECT DISTINCT scene, line FROM v_obs) GROUP BY scene""",
-       ("v_obs",))
+@query("join_list", "SELECT scene, line, concat(scene, ',', line, ',', frame) AS parts FROM v_obs", ("v_obs",))
 def _(t: Tables):
-    # the list of a scene is short: it has at most seven lines
-    lists = t.view("v_obs").groupBy("scene").agg(F.sort_array(F.collect_set("line")).alias("items"))
-    text = lists.select("scene", names.join_list(F.transform("items", lambda i: i.cast("string"))).alias("lines"))
-    return text.select("scene", names.join_list(names.split_list("lines")).alias("lines"))
+    items = F.array(F.col("scene").cast("string"), F.col("line").cast("string"), F.col("frame"))
+    text = t.view("v_obs").select("scene", "line", names.join_list(items).alias("parts"))
+    return text.withColumn("parts", names.join_list(names.split_list("parts")))

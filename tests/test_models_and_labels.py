@@ -207,3 +207,17 @@ def test_check_exclusive_counts_missing_as_zero(spark):
     df = spark.createDataFrame([(100, None), (50, None)], "a int, b int")
     out = df.select(*[c.alias(n) for n, c in cells.check_exclusive(["a", "b"]).items()])
     assert out.collect() == [(100, None), (None, None)]
+
+
+def test_next_prior_takes_coefficients_and_spread(spark, training):
+    model = bayes.bayes_logit_fit(training, ["a", "b"], "y")
+    prior = bayes.next_prior(model, bayes.posterior_draws(spark, model, 3000, 2))
+    np.testing.assert_allclose(prior.mean, model.coefficients)
+    np.testing.assert_allclose(prior.scale, np.sqrt(np.diag(model.covariance)), rtol=0.08)
+    again = bayes.bayes_logit_fit(training, ["a", "b"], "y", prior)
+    assert (np.diag(again.covariance) < np.diag(model.covariance)).all()
+
+
+def test_impossible_priors_are_refused(training):
+    with pytest.raises(ValueError):
+        bayes.bayes_logit_fit(training, ["a", "b"], "y", bayes.Prior([0.0], [1.0]))
