@@ -126,17 +126,34 @@ def _from_utm(x: Column, y: Column, epsg: int) -> Column:
         F.degrees(F.atan2(F.sinh(p["b"]), F.cos(p["a"]))) + _central_meridian(epsg)))
 
 
-def reproject(df: DataFrame, x: str, y: str, from_epsg: int, to_epsg: int) -> DataFrame:
-    """Replace the coordinate columns ``x`` and ``y``; systems are 4326 and the UTM zones."""
+def _moved(x: Column, y: Column, from_epsg: int, to_epsg: int) -> Column:
+    """Pair of the new y and x in the order (a, b)."""
     for epsg in (from_epsg, to_epsg):
         if epsg != 4326 and not _is_utm(epsg):
             raise ValueError(f"unsupported coordinate system: {epsg}")
+    place = _pair(y.cast("double"), x.cast("double"))
     if from_epsg == to_epsg:
-        return df
-    place = _pair(F.col(y).cast("double"), F.col(x).cast("double"))
+        return place
     if from_epsg != 4326:
         place = _let(place, lambda p: _from_utm(p["b"], p["a"], from_epsg))
     if to_epsg != 4326:
         place = _let(place, lambda p: _to_utm(p["b"], p["a"], to_epsg))
+    return place
+
+
+def reproject(df: DataFrame, x: str, y: str, from_epsg: int, to_epsg: int) -> DataFrame:
+    """Replace the coordinate columns ``x`` and ``y``; systems are 4326 and the UTM zones."""
+    place = _moved(F.col(x), F.col(y), from_epsg, to_epsg)
     moved = df.select(*df.columns, F.inline(F.array(place)).alias("_a", "_b"))     # both axes in one evaluation
     return moved.withColumns({x: F.col("_b"), y: F.col("_a")}).drop("_a", "_b")
+
+
+def reproject_ring(ring: Column | str, from_epsg: int, to_epsg: int) -> Column:
+    """Vertex array in another coordinate system."""
+    return F.transform(as_col(ring), lambda p: _let(
+        _moved(p["x"], p["y"], from_epsg, to_epsg), lambda q: F.struct(q["b"].alias("x"), q["a"].alias("y"))))
+
+
+def epsg_of(lat: float, lon: float) -> int:
+    """UTM system of a position, for the driver."""
+    return (32600 if lat >= 0 else 32700) + math.floor((lon + 180) / 6) % 60 + 1

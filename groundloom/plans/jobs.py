@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundloom.functions.geodesy import epsg_of, reproject_ring
 from groundloom.functions.indices import logit_score, rvi, threshold_class
 from groundloom.operators.bayes import LogitModel, Prior, bayes_logit_fit, draw_matrix, predict_interval
 from groundloom.operators.catalog import latest_processing
@@ -17,6 +18,7 @@ from groundloom.operators.neighborhood import enhanced_lee
 from groundloom.operators.strata import (class_histogram, consolidate, distribute_sample, fill_categories,
                                          scale_for_training, shuffle_and_number, size_stehman_foody,
                                          stratified_sample, train_val_test_split)
+from groundloom.operators.vector import make_tiles, ring_bounds
 from groundloom.operators.votes import class_mean_impute, consensus, long_votes, merge_labelers
 from groundloom.scale import attach
 
@@ -32,6 +34,15 @@ def vegetation_map(scenes: DataFrame, co: str, cross: str, intercept: float, wei
     return indexed.withColumn("probability", logit_score(intercept, [weight], ["rvi"]))
 
 
+def utm_tiles(aoi: DataFrame, size: float, centered: bool = True, x_offset: float = 0, y_offset: float = 0) -> DataFrame:
+    """Reference tiles for an area in longitude and latitude, in the UTM zone of its middle."""
+    box = aoi.select(*[v.alias(k) for k, v in ring_bounds(F.col("ring")).items()])
+    xmin, ymin, xmax, ymax = box.agg(F.min("xmin"), F.min("ymin"), F.max("xmax"), F.max("ymax")).first()
+    epsg = epsg_of((ymin + ymax) / 2, (xmin + xmax) / 2)
+    plane = aoi.withColumn("ring", reproject_ring("ring", 4326, epsg))
+    return make_tiles(plane, size, centered, x_offset, y_offset, epsg)
+
+
 def burst_tiles(scenes: DataFrame, grid: Grid, target: Grid, cells_per_tile: int) -> DataFrame:
     """Burst time series to co- and cross-polarized tiles with their vegetation index.
 

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from groundloom.functions import geodesy
 from groundloom.operators import vector as ops
+from groundloom.plans import jobs
 from groundloom.queries.base import Tables, query, rounded
 
 TRIANGLE = [(0.0, 0.0), (800.0, 0.0), (0.0, 500.0)]
@@ -263,3 +264,9 @@ UNNEST(generate_series(CAST(FLOOR(xmin / 20) AS BIGINT), CAST(FLOOR(xmax / 20) A
 UNNEST(generate_series(CAST(FLOOR(ymin / 20) AS BIGINT), CAST(FLOOR(ymax / 20) AS BIGINT))) b(j)""", ("v_burst",))
 def _(t: Tables):
     return ops.rows_from_area(_boxes(t, "v_burst").select("burst_id", "ring"), 20.0, ["burst_id"])
+
+
+@query("utm_tiles")
+def _(t: Tables):
+    ring = ops.box_ring("lon", "lat", F.col("lon") + 0.01, F.col("lat") + 0.01)
+    return jobs.utm_tiles(t.view("v_points").select(ring.alias("ring")), 25_000.0).drop("ring")

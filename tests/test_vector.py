@@ -6,8 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from groundloom.functions.geodesy import reproject
+from groundloom.functions.geodesy import reproject, reproject_ring
 from groundloom.operators import vector
+from groundloom.plans import jobs
 
 SCHEMA = "id long, ring array<struct<x: double, y: double>>"
 
@@ -149,3 +150,15 @@ def test_projection_round_trip_and_known_points(spark):
     assert south.y == pytest.approx(10_000_000 - north.y, abs=1e-6)
     with pytest.raises(ValueError):
         reproject(df, "x", "y", 4326, 3857)
+
+
+def test_utm_tiles_cover_the_area(spark):
+    corners = [(-75.3, -8.2), (-75.3, -7.6), (-74.6, -7.6), (-74.6, -8.2)]
+    tiles = jobs.utm_tiles(spark.createDataFrame([(1, corners)], SCHEMA), 20_000.0).collect()
+    assert {t.epsg for t in tiles} == {32718} and all(t.mask == 1 for t in tiles)
+    assert all(t.xmin % 100 == 0 and t.ymax % 100 == 0 and t.xmax - t.xmin == 20_000 for t in tiles)
+    pts = reproject(spark.createDataFrame(corners, "x double, y double"), "x", "y", 4326, 32718).collect()
+    for p in pts:
+        assert any(t.xmin <= p.x <= t.xmax and t.ymin <= p.y <= t.ymax for t in tiles)
+    ring = spark.createDataFrame([(1, corners)], SCHEMA).select(reproject_ring("ring", 4326, 32718).alias("r")).first().r
+    assert [(v.x, v.y) for v in ring] == [(p.x, p.y) for p in pts]
