@@ -4,8 +4,16 @@ from __future__ import annotations
 
 from groundloom.llm.bpe import op9_bpe
 from groundloom.llm.decontam import OP6_SQL, op6_decontamination
+from groundloom.llm.language import op1_language
+from groundloom.llm.neardup import op2_near_duplicates
+from groundloom.llm.quality import op3_quality
+from groundloom.llm.secrets import op5_secrets
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_near_duplicates": op2_near_duplicates,
+    "op3_quality": op3_quality,
+    "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
     "op9_bpe": op9_bpe,
 }

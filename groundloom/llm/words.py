@@ -87,8 +87,18 @@ class Words:
         up, down = _power_table(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start])
-        self.low = low
+        self.low, self._sums, self._down = low, sums, down
+        self.hash = self.span_hash(self.start, self.end)
+
+    def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hash of the lower-cased bytes of each span."""
+        return mix((self._sums[end] - self._sums[start]) * self._down[start])
+
+    def prefix_end(self, characters: int) -> np.ndarray:
+        """End byte of each word's first characters (its own end if it has fewer)."""
+        begins = np.append(np.flatnonzero((self.low & 0xC0) != 0x80), len(self.low))
+        at = np.searchsorted(begins, self.start) + characters
+        return np.minimum(begins[np.minimum(at, len(begins) - 1)], self.end)
 
     def text(self, i: int) -> str:
         return self.low[self.start[i]:self.end[i]].tobytes().decode("utf-8")
