@@ -2,21 +2,30 @@
 
 from __future__ import annotations
 
+from groundloom.llm.blocks import op4_main_text
 from groundloom.llm.bpe import op9_bpe
 from groundloom.llm.decontam import OP6_SQL, op6_decontamination
+from groundloom.llm.fingerprint import op10_fingerprints
 from groundloom.llm.language import op1_language
 from groundloom.llm.neardup import op2_near_duplicates
 from groundloom.llm.quality import op3_quality
 from groundloom.llm.secrets import op5_secrets
+from groundloom.llm.sharding import OP8_SQL, op8_shards
+from groundloom.llm.urls import op7_url_filter
 
 QUERIES = {
     "op1_language": op1_language,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_quality": op3_quality,
+    "op4_main_text": op4_main_text,
     "op5_secrets": op5_secrets,
     "op6_decontamination": op6_decontamination,
+    "op7_url_filter": op7_url_filter,
+    "op8_shards": op8_shards,
     "op9_bpe": op9_bpe,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLES = {
     "op6_decontamination": OP6_SQL,
+    "op8_shards": OP8_SQL,
 }
