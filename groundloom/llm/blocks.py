@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -380,11 +379,10 @@ def extract(pages: DataFrame, model: Labeller, html_col: str = "html", out: str
     """
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(main_texts(shared.value, [h or "" for h in batch]), dtype=object)
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array(main_texts(shared.value, [h or "" for h in column.to_pylist()]), pa.string())
 
-    return pages.withColumn(out, F.pandas_udf(run, "string", "scalar_iter")(F.col(html_col).cast("string")))
+    return pages.withColumn(out, F.arrow_udf(run, "string")(F.col(html_col).cast("string")))
 
 
 def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
