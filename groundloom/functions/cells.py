@@ -46,9 +46,9 @@ def check_exclusive(classes: Sequence[str], total: int = 100) -> dict[str, Colum
 def robust_range(elevations: Sequence[str], mean: Column | str, sd: Column | str) -> Column:
     """Max minus min of the elevations within two deviations of the mean; 99 if none is."""
     mean, sd = as_col(mean), as_col(sd)
-    kept = F.filter(F.array(*[F.col(c).cast("double") for c in elevations]),
-                    lambda e: (e <= mean + 2 * sd) & (e >= mean - 2 * sd))
-    return F.coalesce(F.array_max(kept) - F.array_min(kept), F.lit(float(NO_RANGE)))
+    values = [F.col(c).cast("double") for c in elevations]
+    kept = [F.when((e <= mean + 2 * sd) & (e >= mean - 2 * sd), e) for e in values]
+    return F.coalesce(F.greatest(*kept) - F.least(*kept), F.lit(float(NO_RANGE)))
 
 
 def bits_clear(flags: Column | str, bits: Sequence[int] = (3, 5)) -> Column:

@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
 
-def scene_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Apply a pandas function to every Arrow batch of a pixel or scene table.
+def scene_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str, scene: Sequence[str]) -> DataFrame:
+    """Apply a pandas function to every whole scene, the rows that share the columns ``scene``.
 
-    Prefer ``df.transform`` with column expressions; this is for code that has none.
+    A scene is handed over as one frame and has to fit into a task's memory. Prefer ``df.transform`` with column
+    expressions; this is for code that has none. See :func:`row_apply` for functions of single rows.
     """
-    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            yield fn(part)
-
-    return df.mapInPandas(batches, schema)
+    return df.groupBy(*scene).applyInPandas(fn, schema)
 
 
 def row_apply(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from groundloom.functions.names import TILE_ID, frame_id
-from groundloom.scale import attach, chunked_lists
+from groundloom.scale import attach
 
 
 def majority_orbit(df: DataFrame, direction: str = "flightDirection") -> DataFrame:
@@ -37,8 +37,14 @@ def pending_work(requested: DataFrame, histories: Sequence[DataFrame], key: Sequ
     return requested
 
 
-def count_by_frame(df: DataFrame, keys: Sequence[str] = ("pathNumber", "frameNumber")) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_granules"))
+def count_by_frame(df: DataFrame, keys: Sequence[str] = ("pathNumber", "frameNumber"),
+                   frames: DataFrame | None = None) -> DataFrame:
+    """Granules per frame; with ``frames`` also those of its frames that have none, as 0."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_granules"))
+    if frames is None:
+        return counts
+    every = frames.select(*keys).distinct()
+    return every.join(counts, list(keys), "left").withColumn("num_granules", F.coalesce("num_granules", F.lit(0).cast("bigint")))
 
 
 def first_n_quota(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -131,8 +137,7 @@ def file_key_parts(files: DataFrame, name: str = "name") -> DataFrame:
 def products_by_frame(df: DataFrame, prefix: str, frames: Sequence[str] | None = None) -> DataFrame:
     """Product paths per ``<path>_<frame>``, optionally only of the listed frames.
 
-    One row per product, so that a frame with very many products stays spread over partitions;
-    :func:`product_lists` gives the list form.
+    One row per product, so that a frame with very many products stays spread over partitions.
     """
     keyed = df.withColumn("frame_id", frame_id("pathNumber", "frameNumber"))
     if frames is not None:
@@ -141,8 +146,9 @@ def products_by_frame(df: DataFrame, prefix: str, frames: Sequence[str] | None =
 
 
 def product_lists(df: DataFrame, prefix: str, frames: Sequence[str] | None = None) -> DataFrame:
-    """Sorted product paths per frame as lists, in parts if a frame has very many."""
-    return chunked_lists(products_by_frame(df, prefix, frames), ["frame_id"], "product", "products")
+    """Product paths with the number of products of their frame, one row per product."""
+    rows = products_by_frame(df, prefix, frames)
+    return attach(rows, rows.groupBy("frame_id").agg(F.count(F.lit(1)).alias("n_products")), ["frame_id"])
 
 
 def granules_of_frames(granules: DataFrame, frames: DataFrame,

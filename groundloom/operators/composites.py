@@ -29,13 +29,16 @@ def temporal_var_nz(px: DataFrame, keys: Sequence[str], value: str = "value", ou
 
 
 def temporal_mean_skipna(px: DataFrame, keys: Sequence[str], values: Sequence[str] = ("value",),
-                         burst: str = "burst", scene: str = "acq", min_scenes: int = 2) -> DataFrame:
-    """Mean over time skipping NaN, only for bursts with at least ``min_scenes`` scenes."""
-    scenes = px.select(burst, scene).distinct().groupBy(burst).agg(F.count(F.lit(1)).alias("_n"))
-    enough = scenes.where(F.col("_n") >= min_scenes).select(burst)
-    means = px.groupBy(burst, *[k for k in keys if k != burst]).agg(
+                         burst: str = "burst", scene: str = "acq", min_scenes: int = 2,
+                         scenes: DataFrame | None = None) -> DataFrame:
+    """Mean over time skipping NaN, only for bursts with at least ``min_scenes`` scenes.
+
+    ``scenes`` (burst, scene), if there is such a table, saves a scan of the pixels.
+    """
+    counts = (px if scenes is None else scenes).select(burst, scene).distinct().groupBy(burst).agg(F.count(F.lit(1)).alias("_n"))
+    enough = counts.where(F.col("_n") >= min_scenes).select(burst)
+    return attach(px, enough, [burst], "left_semi").groupBy(burst, *[k for k in keys if k != burst]).agg(
         *[F.avg(F.when(~F.isnan(v), F.col(v))).alias(v) for v in values])
-    return attach(means, enough, [burst], "left_semi")
 
 
 def composite(px: DataFrame, keys: Sequence[str], how: str, value: str = "value", time: str = "acq",
@@ -44,7 +47,7 @@ def composite(px: DataFrame, keys: Sequence[str], how: str, value: str = "value"
     if how == "mean":
         return px.groupBy(*keys).agg(F.avg(value).alias(out))
     if how == "median":
-        return grouped_quantiles(px, keys, value, [0.5], [out])
+        return px.groupBy(*keys).agg(F.percentile(value, 0.5).alias(out))       # a pixel's time series is short
     if how == "first":
         first = F.min(F.when(F.col(value).isNotNull(), F.struct(time, value)))
         return px.groupBy(*keys).agg(first.getField(value).alias(out))

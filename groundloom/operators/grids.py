@@ -189,7 +189,8 @@ def sample_at_points(points: DataFrame, stack: DataFrame, grid: Grid, bands: Seq
                      x: str = "lon", y: str = "lat") -> DataFrame:
     """Band values of the pixel under each point; NULL outside the grid."""
     cells = point_cells(points, grid, x, y)
-    hits = attach(stack.select("pr", "pc", *bands), cells.select(key, "pr", "pc"), ["pr", "pc"], derived=False)
+    hits = attach(stack.select("pr", "pc", *bands), cells.select(key, "pr", "pc"), ["pr", "pc"], derived=False,
+                  few_rows_each=True)
     return points.join(hits.select(key, *bands), key, "left")
 
 
@@ -209,7 +210,7 @@ def window_at_points(points: DataFrame, stack: DataFrame, grid: Grid, bands: Seq
               .withColumn("pr", F.explode(F.sequence(F.col("_r"), F.col("_r") + (size - 1))))
               .withColumn("pc", F.explode(F.sequence(F.col("_c"), F.col("_c") + (size - 1))))
               .select(key, "pr", "pc"))
-    means = (attach(stack.select("pr", "pc", *bands), wanted, ["pr", "pc"], derived=False)
+    means = (attach(stack.select("pr", "pc", *bands), wanted, ["pr", "pc"], derived=False, few_rows_each=True)
              .groupBy(key).agg(*[F.avg(b).alias(b) for b in bands]))
     return points.join(means, key, "left")
 

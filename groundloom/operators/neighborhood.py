@@ -244,7 +244,7 @@ def peel_sides(px: DataFrame, depth: int, left_right: bool = True, mask: str = "
             F.struct((F.col("pr") + dr).alias("pr"), (F.col("pc") + dc).alias("pc"))
             for dr, dc in ((0, 1), (0, -1), (1, 0), (-1, 0))])).alias("_n")).select(*by, "_n.*").distinct()
         reachable = band.where(F.col("distance") <= k + 1).select(*cell)
-        fresh = attach(reachable, around, cell, "left_semi")
+        fresh = attach(reachable, around, cell, "left_semi", few_rows_each=True)
         old = gone.select(*cell).unionByName(stay)
         edge = fresh.join(old, cell, "left_anti").unionByName(stay)
     return gone
@@ -265,7 +265,7 @@ def remove_edges(px: DataFrame, layers: Sequence[str], depth: int, deciding: str
         gone = near.where((F.col("mask") != 0) & F.col("distance").isNotNull()).select(*cell)
     else:
         gone = peel_sides(masked, depth, side == "lr", "mask", by).select(*cell)
-    flagged = attach(px, gone.withColumn("_gone", F.lit(1)), cell, "left")
+    flagged = attach(px, gone.withColumn("_gone", F.lit(1)), cell, "left", few_rows_each=True)
     keep = F.col("_gone").isNull() & valid
     values = {l: F.when(keep, F.degrees(l) if l == angle else F.col(l)) for l in layers if l != deciding}
     values[deciding] = F.when(keep, F.col(deciding))

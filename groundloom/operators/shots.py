@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundloom.functions.calendar import LIDAR_EPOCH, epoch_seconds
 from groundloom.functions.cells import robust_range
-from groundloom.scale import attach, chunked_lists
+from groundloom.scale import attach
 
 ELEVATIONS = ["elev1", "elev2", "elev3", "elev4", "elev5", "elev6"]
 
@@ -52,9 +52,22 @@ def shot_quality(df: DataFrame, min_sensitivity: float | None = 0.9, max_range:
 
 
 def pooled_elev_stats(df: DataFrame, by: Sequence[str], cols: Sequence[str] = ELEVATIONS) -> DataFrame:
-    """Mean and sample deviation of all elevation columns taken together, per file."""
-    long = df.select(*by, F.explode(F.array(*[F.col(c).cast("double") for c in cols])).alias("_e"))
-    return long.groupBy(*by).agg(F.avg("_e").alias("elev_mean"), F.stddev_samp("_e").alias("elev_sd"))
+    """Mean and sample deviation of all elevation columns taken together, per file.
+
+    Number, mean and variance of each column are combined, so no row is multiplied.
+    """
+    aggs = []
+    for i, c in enumerate(cols):
+        value = F.col(c).cast("double")
+        aggs += [F.count(value).alias(f"_n{i}"), F.avg(value).alias(f"_m{i}"), F.var_pop(value).alias(f"_v{i}")]
+    each = df.groupBy(*by).agg(*aggs)
+    number = sum((F.col(f"_n{i}") for i in range(len(cols))), F.lit(0))
+    total = sum((F.coalesce(F.col(f"_n{i}") * F.col(f"_m{i}"), F.lit(0.0)) for i in range(len(cols))), F.lit(0.0))
+    pooled = each.withColumns({"_n": number, "elev_mean": F.try_divide(total, number)})
+    squares = sum((F.coalesce(F.col(f"_n{i}") * (F.col(f"_v{i}") + (F.col(f"_m{i}") - F.col("elev_mean")) ** 2), F.lit(0.0))
+                   for i in range(len(cols))), F.lit(0.0))
+    spread = F.when(F.col("_n") > 1, F.sqrt(squares / (F.col("_n") - 1)))
+    return pooled.select(*by, "elev_mean", spread.alias("elev_sd"))
 
 
 def process_shots(shots: DataFrame, by: Sequence[str] = ("file_no",), min_sensitivity: float = 0.9,
@@ -67,7 +80,7 @@ def process_shots(shots: DataFrame, by: Sequence[str] = ("file_no",), min_sensit
 
 
 def success_report(files: DataFrame, name: str = "file", ok: str = "processed") -> DataFrame:
-    """Number and list of the files processed and of those that failed."""
+    """Each file with whether it was processed or failed, and how many files have that status."""
     status = files.withColumn("status", F.when(F.col(ok), "processed").otherwise("failed"))
     counts = status.groupBy("status").agg(F.count(F.lit(1)).alias("n_files"))
-    return counts.join(chunked_lists(status, ["status"], name, "files"), "status")
+    return attach(status.select("status", F.col(name).alias("file")), counts, ["status"])

@@ -1,6 +1,8 @@
 """Polygons as vertex arrays: predicates, tilings, coverings and footprint algebra.
 
-A polygon is ``ring``, an array of ``struct<x, y>``. Predicates are exact and run per row.
+A polygon is ``ring``, an array of ``struct<x, y>``. A polygon with holes has its outer ring and its holes in one
+array, each closed by its first vertex and followed by a NULL; a point is inside if an odd number of edges lies to its
+right, so holes need no treatment of their own. Predicates are exact and run per row.
 Areas, unions and differences use coverings: for each row of a common cell grid the runs of
 cells whose centre lies inside, as (y, x0, x1).
 """
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from groundloom.functions.indices import as_col
 from groundloom.functions.names import geo_tile_name
-from groundloom.scale import attach, chunked_lists
+from groundloom.scale import attach, running_totals
 from groundloom.session import checkpointed
 
 RUN_BLOCK = 256
@@ -39,12 +41,19 @@ def ring_of(points: Sequence[tuple[float, float]]) -> Column:
 
 
 def edges(ring: Column) -> Column:
+    """Edges of a polygon; those to and from a NULL between rings have NULL ends and meet no condition."""
     n = F.size(ring)
     return F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         F.element_at(ring, i)["x"].alias("x1"), F.element_at(ring, i)["y"].alias("y1"),
         F.element_at(ring, F.pmod(i, n) + 1)["x"].alias("x2"), F.element_at(ring, F.pmod(i, n) + 1)["y"].alias("y2")))
 
 
+def ring_area(ring: Column) -> Column:
+    """Area by the cross products of the edges; holes run against their outer ring and count less."""
+    products = F.transform(edges(ring), lambda e: F.coalesce(e["x1"] * e["y2"] - e["x2"] * e["y1"], F.lit(0.0)))
+    return F.abs(F.aggregate(products, F.lit(0.0), lambda s, p: s + p)) / 2
+
+
 def ring_bounds(ring: Column) -> dict[str, Column]:
     xs, ys = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
     return {"xmin": F.array_min(xs), "ymin": F.array_min(ys), "xmax": F.array_max(xs), "ymax": F.array_max(ys)}
@@ -81,7 +90,8 @@ def intersects(a: Column | str, b: Column | str) -> Column:
     a, b = as_col(a), as_col(b)
     ea, eb = edges(a), edges(b)
     touch = F.exists(ea, lambda s: F.exists(eb, lambda t: _segments_meet(s, t)))
-    return (touch | point_in_ring(a[0]["x"], a[0]["y"], b) | point_in_ring(b[0]["x"], b[0]["y"], a))
+    return (F.coalesce(touch, F.lit(False)) | point_in_ring(a[0]["x"], a[0]["y"], b)
+            | point_in_ring(b[0]["x"], b[0]["y"], a))
 
 
 def _cells(df: DataFrame, ring: str, cell: float, tag: str) -> DataFrame:
@@ -175,17 +185,13 @@ def degree_tiles(aoi: DataFrame, ring: str = "ring") -> DataFrame:
 
 
 def tile_burst_map(tiles: DataFrame, bursts: DataFrame, burst: str = "burst_id", cell: float | None = None) -> DataFrame:
-    """Every tile with the bursts that meet it as a sorted list; NULL where none does.
-
-    A tile with more bursts than a list should hold gets several rows, numbered by ``part``.
-    """
+    """Every tile with each burst that meets it, one row per pair; a tile that none meets has one row with NULL."""
     if cell is None:
         first = tiles.select(F.col("xmax") - F.col("xmin")).first()
         cell = float(first[0])
     pairs = spatial_join(bursts.select(burst, F.col("ring").alias("other_ring")), tiles.select("h", "v", "ring"),
                          cell, "other_ring", "ring")
-    lists = chunked_lists(pairs, ["h", "v"], burst, "overlapping_bursts")
-    return tiles.select("h", "v", "mask").join(lists, ["h", "v"], "left")
+    return tiles.select("h", "v", "mask").join(pairs.select("h", "v", burst).distinct(), ["h", "v"], "left")
 
 
 # ---- coverings -----------------------------------------------------------------------------
@@ -299,18 +305,17 @@ def equal_coverings(runs: DataFrame, key: str) -> DataFrame:
 
 
 def merged_frames(members: DataFrame, frames: DataFrame, key: str, number: str = "frameNumber") -> DataFrame:
-    """Merged frames: joined frame numbers, summed granule counts and the number of members.
-
-    The joined numbers of a group with very many members continue in further ``part`` rows.
+    """Merged frames, one row per member: its place by path and frame number, and the group's first path, number of
+    members and granules in all.
     """
-    rows = members.join(frames.select("pathNumber", key, F.col(number).cast("string").alias("_number"),
-                                      "num_granules"), key)
-    totals = rows.groupBy("group_id").agg(F.min("pathNumber").alias("pathNumber"), F.count(F.lit(1)).alias("members"),
+    rows = members.join(frames.select(F.col("pathNumber").alias("_path"), key, F.col(number).alias("_number"),
+                                      "num_granules"), key).withColumn("_one", F.lit(1))
+    totals = rows.groupBy("group_id").agg(F.min("_path").alias("pathNumber"), F.count(F.lit(1)).alias("members"),
                                           F.sum("num_granules").alias("num_granules"))
-    names = chunked_lists(rows, ["group_id"], "_number", "_names")
-    return (totals.join(names, "group_id")
-            .select("group_id", "part", "pathNumber", F.array_join("_names", "-").alias("frameNumber"),
-                    "members", "num_granules"))
+    placed = running_totals(rows.select("group_id", "_path", "_number", key, "_one"), ["group_id"], ["_path", "_number", key], "_one")
+    return attach(placed, totals, ["group_id"]).select(
+        "group_id", F.col("upto").alias("position"), "pathNumber", F.col("_number").alias("frameNumber"), "members",
+        "num_granules")
 
 
 def exclusive_overlap(runs: DataFrame, aoi_runs: DataFrame, key: str, size: float) -> DataFrame:
@@ -364,9 +369,12 @@ def skim_granules(aoi: DataFrame, granules: DataFrame, size: float, scene: str =
 
 def group_granules(granules: DataFrame, size: float, scene: str = "sceneName", ring: str = "ring",
                    keys: Sequence[str] = ("pathNumber", "frameNumber")) -> DataFrame:
-    """Per frame the number of granules, their names and the area of their united footprint."""
+    """Each granule with the number of granules of its frame and the area of their united footprint.
+
+    A frame whose footprint is too thin to hold the centre of a cell has the area of its largest polygon.
+    """
     keys = list(keys)
-    counts = granules.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_granules"))
-    names = chunked_lists(granules, keys, scene, "granules")
+    counts = granules.groupBy(*keys).agg(F.count(F.lit(1)).alias("num_granules"), F.max(ring_area(F.col(ring))).alias("_thin"))
     area = covered_area(dissolve(cover_runs(granules, size, keys, ring), keys), size, keys)
-    return counts.join(names, keys).join(area, keys).withColumn("granules", F.array_join("granules", ","))
+    frames = counts.join(area, keys, "left").select(*keys, "num_granules", F.coalesce("area", "_thin").alias("area"))
+    return attach(granules.select(*keys, F.col(scene).alias("granule")), frames, keys)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundloom.functions.cells import NO_CONSENSUS, check_exclusive, recode
@@ -101,10 +101,12 @@ def class_mean_impute(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
 
 
 def confusion_matrix(df: DataFrame, pred: str, actual: str) -> DataFrame:
-    """Rows predicted 0 and 1, columns actual 0 and 1."""
-    return (df.where(F.col(pred).isNotNull() & F.col(actual).isNotNull())
-            .groupBy(F.col(pred).alias("predicted"))
-            .agg(F.count_if(F.col(actual) == 0).alias("actual_0"), F.count_if(F.col(actual) == 1).alias("actual_1")))
+    """Rows predicted 0 and 1, columns actual 0 and 1; always two rows, also if a class was never predicted."""
+    def cell(p: int, a: int) -> Column:
+        return F.count_if((F.col(pred) == p) & (F.col(actual) == a)).alias(f"actual_{a}")
+
+    counts = df.agg(*[F.struct(F.lit(p).alias("predicted"), cell(p, 0), cell(p, 1)).alias(f"p{p}") for p in (0, 1)])
+    return counts.select(F.explode(F.array("p0", "p1")).alias("r")).select("r.*")
 
 
 def overall_accuracy(df: DataFrame, pred: str, actual: str) -> DataFrame:

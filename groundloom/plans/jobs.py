@@ -1,4 +1,4 @@
-"""Whole jobs composed of the operators; each is one lazy plan."""
+"""Whole jobs composed of the operators."""
 
 from __future__ import annotations
 
@@ -52,7 +52,7 @@ def burst_tiles(scenes: DataFrame, grid: Grid, target: Grid, cells_per_tile: int
     """
     latest = latest_processing(scenes.select("burst", "acq", "proc").distinct(), ["burst", "acq"], "proc")
     current = attach(scenes, latest, ["burst", "acq", "proc"], "left_semi")
-    means = temporal_mean_skipna(current, ["burst", *PIXEL], ["vv", "vh"])
+    means = temporal_mean_skipna(current, ["burst", *PIXEL], ["vv", "vh"], scenes=latest)
     tiled = to_tiles(resample(means, grid, target, "nearest"), cells_per_tile)
     flat = mosaic(tiled, ["h", "v", *PIXEL], "burst", ["vv", "vh"])
     return flat.withColumn("rvi", rvi("vv", "vh"))

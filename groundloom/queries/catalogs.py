@@ -45,15 +45,16 @@ def _(t: Tables):
 WITH want AS (SELECT scene_no, platform, pathNumber, frameNumber, startTime FROM v_scenes),
  pend AS (SELECT * FROM want w WHERE NOT EXISTS (SELECT 1 FROM v_scenes d WHERE d.scene_no = w.scene_no
   AND d.platform = w.platform AND d.startTime < TIMESTAMP '1996-01-01 00:00:00') AND NOT EXISTS (SELECT 1 FROM v_scenes d
-  WHERE d.scene_no = w.scene_no AND d.platform = w.platform AND d.level = '5-LOW'))
-SELECT pathNumber, frameNumber, COUNT(*) AS num_granules FROM pend GROUP BY ALL""", ("v_scenes",))
+  WHERE d.scene_no = w.scene_no AND d.platform = w.platform AND (d.level = '5-LOW' OR d.pathNumber = 3)))
+SELECT f.pathNumber, f.frameNumber, COUNT(p.scene_no) AS num_granules FROM (SELECT DISTINCT pathNumber, frameNumber FROM v_scenes) f
+LEFT JOIN pend p ON p.pathNumber = f.pathNumber AND p.frameNumber = f.frameNumber GROUP BY ALL""", ("v_scenes",))
 def _(t: Tables):
     scenes = t.view("v_scenes")
     server = scenes.where("startTime < TIMESTAMP_NTZ '1996-01-01 00:00:00'")
-    project = scenes.where("level = '5-LOW'")
+    project = scenes.where("level = '5-LOW' OR pathNumber = 3")      # a path with nothing pending
     pending = ops.pending_work(scenes.select("scene_no", "platform", "pathNumber", "frameNumber"), [server, project],
                                ["scene_no", "platform"])
-    return ops.count_by_frame(pending)
+    return ops.count_by_frame(pending, frames=scenes)
 
 
 @query("first_n_quota", "SELECT scene_no, pathNumber, day FROM v_scenes ORDER BY pathNumber, day, scene_no LIMIT 500",
@@ -144,10 +145,10 @@ def _(t: Tables):
 
 
 @query("product_lists", """
-SELECT concat(pathNumber, '_', frameNumber) AS frame_id, 0 AS part, string_agg(concat('/data/', pathNumber, '_', frameNumber, '/',
-filename), ',' ORDER BY filename) AS products FROM v_scenes GROUP BY pathNumber, frameNumber""", ("v_scenes",))
+SELECT concat(pathNumber, '_', frameNumber) AS frame_id, concat('/data/', pathNumber, '_', frameNumber, '/', filename) AS product,
+COUNT(*) OVER (PARTITION BY pathNumber, frameNumber) AS n_products FROM v_scenes""", ("v_scenes",))
 def _(t: Tables):
-    return ops.product_lists(t.view("v_scenes"), "/data").withColumn("products", F.array_join("products", ","))
+    return ops.product_lists(t.view("v_scenes"), "/data")
 
 
 @query("granules_of_frames", """

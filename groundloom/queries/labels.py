@@ -15,12 +15,11 @@ _MODE = """n AS (SELECT doc_id, vote, COUNT(vote) AS n FROM v_votes GROUP BY ALL
 
 @query("merge_labelers", f"""
 SELECT a.doc_id, CAST(a.vote AS DOUBLE) AS "{P}1", CAST(b.vote AS DOUBLE) AS "{P}2", CAST(c.vote AS DOUBLE) AS "{P}3"
-FROM (SELECT * FROM v_votes WHERE labeler = 'user2' AND vote IS NOT NULL) a
+FROM (SELECT * FROM v_votes WHERE labeler = 'user2') a
 LEFT JOIN (SELECT * FROM v_votes WHERE labeler = 'user1') b ON a.doc_id = b.doc_id
 LEFT JOIN (SELECT * FROM v_votes WHERE labeler = 'user3') c ON a.doc_id = c.doc_id""", ("v_votes",))
 def _(t: Tables):
-    # points that the first labeler did not answer are left out
-    out = ops.merge_labelers(t.view("v_votes").dropna(), ["doc_id"], ["user2", "user1", "user3"])
+    out = ops.merge_labelers(t.view("v_votes"), ["doc_id"], ["user2", "user1", "user3"])
     return out.select("doc_id", *[F.col(f"`{P}{i}`").cast("double").alias(f"{P}{i}") for i in (1, 2, 3)])
 
 
@@ -77,10 +76,11 @@ def _(t: Tables):
 
 
 @query("confusion_matrix", """
-SELECT CASE WHEN vv > 0.05 THEN 1 ELSE 0 END AS predicted, COUNT(*) FILTER (WHERE frame <> 'A') AS actual_0,
-COUNT(*) FILTER (WHERE frame = 'A') AS actual_1 FROM v_obs GROUP BY ALL""", ("v_obs",))
+SELECT k AS predicted, COUNT(*) FILTER (WHERE k = 1 AND frame <> 'A') AS actual_0,
+COUNT(*) FILTER (WHERE k = 1 AND frame = 'A') AS actual_1 FROM v_obs, (SELECT unnest([0, 1]) AS k) GROUP BY ALL""", ("v_obs",))
 def _(t: Tables):
-    df = t.view("v_obs").select((F.col("vv") > 0.05).cast("int").alias("p"), (F.col("frame") == "A").cast("int").alias("a"))
+    # class 0 is never predicted and keeps its row
+    df = t.view("v_obs").select((F.col("vv") > -1).cast("int").alias("p"), (F.col("frame") == "A").cast("int").alias("a"))
     return ops.confusion_matrix(df, "p", "a")
 
 

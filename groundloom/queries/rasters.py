@@ -45,9 +45,9 @@ def _(t: Tables):
 
 
 @query("mean_composite", """
-SELECT pr, pc, ROUND(AVG(vv), 9) AS value FROM v_obs WHERE frame = 'A' GROUP BY ALL""", ("v_obs",))
+SELECT frame, pr, pc, ROUND(AVG(vv), 9) AS value FROM v_obs GROUP BY ALL""", ("v_obs",))
 def _(t: Tables):
-    df = comp.composite(t.view("v_obs").where("frame = 'A'"), PX, "mean", "vv")
+    df = comp.composite(t.view("v_obs"), ["frame", *PX], "mean", "vv")
     return df.withColumn("value", rounded("value", 9))
 
 
@@ -86,19 +86,23 @@ def _(t: Tables):
 @query("apply_mask", """
 SELECT p.pr, p.pc, CASE WHEN m.mask <> 0 THEN p.value END AS value,
 ROUND(CASE WHEN m.mask <> 0 THEN p.value * 90 / PI() END, 8) AS inc
-FROM v_px p LEFT JOIN (SELECT * FROM v_mask WHERE status <> 'P') m ON p.pr = m.pr AND p.pc = m.pc""", ("v_px", "v_mask"))
+FROM v_px p LEFT JOIN (SELECT pr + 1 AS pr, pc, CASE WHEN status <> 'P' THEN mask END AS mask FROM v_mask) m
+ON p.pr = m.pr AND p.pc = m.pc""", ("v_px", "v_mask"))
 def _(t: Tables):
     px = t.view("v_px").withColumn("inc", F.col("value") / 2)
-    out = comp.apply_mask(px, t.view("v_mask").where("status <> 'P'"), ["value", "inc"], PX, "inc")
+    # the mask lies one row lower, so that some pixels have none
+    mask = t.view("v_mask").selectExpr("pr + 1 AS pr", "pc", "CASE WHEN status <> 'P' THEN mask END AS mask")
+    out = comp.apply_mask(px, mask, ["value", "inc"], PX, "inc")
     return out.select(*PX, "value", rounded("inc", 8).alias("inc"))
 
 
 @query("union_mask", """
 SELECT p.pr, p.pc, CASE WHEN p.value IS NOT NULL OR COALESCE(m.mask, 0) <> 0 THEN 1 ELSE 0 END AS mask
-FROM v_px p LEFT JOIN (SELECT * FROM v_mask WHERE status = 'F') m ON p.pr = m.pr AND p.pc = m.pc""", ("v_px", "v_mask"))
+FROM v_px p LEFT JOIN (SELECT pr, pc, CASE WHEN status = 'F' THEN mask ELSE 0 END AS mask FROM v_mask) m
+ON p.pr = m.pr AND p.pc = m.pc""", ("v_px", "v_mask"))
 def _(t: Tables):
     a = t.view("v_px").select(*PX, F.col("value").isNotNull().cast("int").alias("mask"))
-    return comp.union_mask(a, t.view("v_mask").where("status = 'F'"))
+    return comp.union_mask(a, t.view("v_mask").selectExpr("pr", "pc", "CASE WHEN status = 'F' THEN mask ELSE 0 END AS mask"))
 
 
 _LAYERS = " UNION ALL ".join(f"SELECT CAST(FLOOR(pc / 5.0) AS INT) AS h, CAST(FLOOR(pr / 5.0) AS INT) AS v, pr % 5 AS pr, "
@@ -173,11 +177,11 @@ def _(t: Tables):
     return df.select(*PX, rounded("value", 9).alias("value"))
 
 
-@query("scene_map", "SELECT scene, line, ROUND(vv * 2 + vh, 9) AS value FROM v_obs", ("v_obs",))
+@query("scene_map", "SELECT scene, line, ROUND(vv - AVG(vv) OVER (PARTITION BY acq), 9) AS value FROM v_obs", ("v_obs",))
 def _(t: Tables):
-    px = t.view("v_obs").select("scene", "line", "vv", "vh")
-    out = scene_map(px, lambda p: p.assign(value=p.vv * 2 + p.vh)[["scene", "line", "value"]],
-                    "scene bigint, line int, value double")
+    px = t.view("v_obs").select("scene", "line", "vv", "acq")
+    out = scene_map(px, lambda p: p.assign(value=p.vv - p.vv.mean())[["scene", "line", "value"]],
+                    "scene bigint, line int, value double", ["acq"])
     return out.withColumn("value", rounded("value", 9))
 
 

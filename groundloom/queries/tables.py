@@ -142,10 +142,10 @@ def _(t: Tables):
 
 @query("key_intersection", """
 SELECT DISTINCT a.pr, a.pc FROM v_obs a JOIN v_obs b ON a.pr = b.pr AND a.pc = b.pc
-WHERE a.frame = 'A' AND a.quantity > 45 AND b.frame = 'N' AND b.quantity > 45""", ("v_obs",))
+WHERE (a.quantity > 45) AND NOT (b.quantity > 45)""", ("v_obs",))
 def _(t: Tables):
-    df = t.view("v_obs").where("quantity > 45")
-    return ops.key_intersection(df.where("frame = 'A'"), df.where("frame = 'N'"), ["pr", "pc"])
+    df = t.view("v_obs")                             # every row is on one of the two sides
+    return ops.key_intersection(df.where("quantity > 45"), df.where("NOT (quantity > 45)"), ["pr", "pc"])
 
 
 @query("remainder", "SELECT pid, cls FROM v_points WHERE cls <> 'BUILDING'", ("v_points",))

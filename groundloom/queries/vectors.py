@@ -77,13 +77,11 @@ def _(t: Tables):
 
 
 @query("tile_burst_map", f"""WITH {_SNAPPED}
-SELECT h, v, mask, CAST(CASE WHEN COUNT(burst_id) > 0 THEN 0 END AS DOUBLE) AS part,
-string_agg(burst_id, ',' ORDER BY burst_id) AS overlapping_bursts FROM tiles t LEFT JOIN v_burst b ON b.xmin <= t.xmax
-AND b.xmax >= t.xmin AND b.ymin <= t.ymax AND b.ymax >= t.ymin GROUP BY h, v, mask""", ("v_foot", "v_burst"))
+SELECT h, v, mask, burst_id FROM tiles t LEFT JOIN v_burst b ON b.xmin <= t.xmax
+AND b.xmax >= t.xmin AND b.ymin <= t.ymax AND b.ymax >= t.ymin""", ("v_foot", "v_burst"))
 def _(t: Tables):
     tiles = ops.make_tiles(_aoi(t), 150.0, centered=False)
-    out = ops.tile_burst_map(tiles, _boxes(t, "v_burst").select("burst_id", "ring"), cell=150.0)
-    return out.withColumns({"part": F.col("part").cast("double"), "overlapping_bursts": F.array_join("overlapping_bursts", ",")})
+    return ops.tile_burst_map(tiles, _boxes(t, "v_burst").select("burst_id", "ring"), cell=150.0)
 
 
 @query("degree_tiles", """
@@ -124,11 +122,16 @@ def _(t: Tables):
 @query("group_granules", f"""
 WITH c AS ({_cells_sql('v_scenes', 'pathNumber, frameNumber', 10)}),
  a AS (SELECT pathNumber, frameNumber, COUNT(DISTINCT cx * 100000 + cy) * 100.0E0 AS area FROM c GROUP BY ALL)
-SELECT s.pathNumber, s.frameNumber, COUNT(*) AS num_granules, 0 AS part, string_agg(filename, ',' ORDER BY filename) AS granules,
-ANY_VALUE(area) AS area FROM v_scenes s JOIN a ON a.pathNumber = s.pathNumber AND a.frameNumber = s.frameNumber GROUP BY ALL""",
+SELECT s.pathNumber, s.frameNumber, COUNT(*) OVER (PARTITION BY s.pathNumber, s.frameNumber) AS num_granules, filename AS granule,
+COALESCE(area, 6.0E0) AS area FROM (SELECT * FROM v_scenes UNION ALL SELECT * REPLACE (-1 AS pathNumber) FROM v_scenes) s
+LEFT JOIN a ON a.pathNumber = s.pathNumber AND a.frameNumber = s.frameNumber""",
        ("v_scenes",))
 def _(t: Tables):
-    return ops.group_granules(_boxes(t, "v_scenes"), CELL, "filename")
+    # every scene once more as a sliver of 2 by 3 that holds no centre of a cell
+    scenes = _boxes(t, "v_scenes")
+    sliver = ops.box_ring(F.lit(6.0), F.lit(6.0), F.lit(8.0), F.lit(9.0))
+    thin = scenes.withColumns({"pathNumber": F.lit(-1), "ring": sliver})
+    return ops.group_granules(scenes.unionByName(thin), CELL, "filename")
 
 
 def _foot_runs(t: Tables):
@@ -160,14 +163,13 @@ def _(t: Tables):
 
 
 @query("merged_frames", """
-SELECT CAST(id % 7 AS INT) AS pathNumber, 0 AS part, concat(LEAST(CAST(id * 2 AS VARCHAR), CAST(id * 2 + 1 AS VARCHAR)), '-',
-GREATEST(CAST(id * 2 AS VARCHAR), CAST(id * 2 + 1 AS VARCHAR))) AS frameNumber, CAST(2 AS BIGINT) AS members,
-CAST(6 AS BIGINT) AS num_granules FROM v_foot""", ("v_foot",))
+SELECT CAST(id % 7 AS INT) AS pathNumber, CAST(k + 1 AS BIGINT) AS position, id * 2 + k AS frameNumber, CAST(2 AS BIGINT) AS members,
+CAST(6 AS BIGINT) AS num_granules FROM v_foot, (SELECT unnest([0, 1]) AS k)""", ("v_foot",))
 def _(t: Tables):
     both, runs = _twins(t)
     groups = ops.merge_neighbors(ops.overlap_ratio(runs, "frame"), "frame")
     frames = both.select("frame", (F.floor(F.col("frame") / 2) % 7).cast("int").alias("pathNumber"), F.lit(3).alias("num_granules"),
-                         F.format_string("%d", "frame").alias("frameNumber"))
+                         F.col("frame").alias("frameNumber"))
     return ops.merged_frames(groups, frames, "frame").drop("group_id")
 
 
@@ -206,7 +208,7 @@ def _(t: Tables):
     return _skimmed(t)[0].select("scene_no", "pathNumber", "frameNumber")
 
 
-@query("skim_frames", f"""WITH {_SKIM} SELECT k.pathNumber, CAST(k.frameNumber AS VARCHAR) AS frameNumber, COUNT(*) AS num_granules,
+@query("skim_frames", f"""WITH {_SKIM} SELECT k.pathNumber, k.frameNumber, COUNT(*) AS num_granules,
 ANY_VALUE(overlap_with_aoi) AS overlap_with_aoi FROM v_scenes s JOIN keep k
 ON k.pathNumber = s.pathNumber AND k.frameNumber = s.frameNumber GROUP BY k.pathNumber, k.frameNumber""", ("v_scenes", "v_burst"))
 def _(t: Tables):

@@ -17,7 +17,7 @@ SALTS = 64
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows."""
-    return df.count() <= max_rows
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
@@ -52,18 +52,19 @@ def skew_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "i
 
 
 def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-           max_rows: int = BROADCAST_ROWS, derived: bool = True) -> DataFrame:
+           max_rows: int = BROADCAST_ROWS, derived: bool = True, few_rows_each: bool = False) -> DataFrame:
     """Join a lookup (per class, frame, tile or point) onto a large table.
 
     The lookup is counted. Within ``max_rows`` it is broadcast, so ``big`` is not shuffled; above
     that both sides are shuffled and hot keys salted. A ``derived`` lookup is written once
-    before, so that counting it does not compute it twice.
+    before, so that counting it does not compute it twice. With ``few_rows_each`` every key occurs a few times in
+    ``big``, as pixels do, and hot keys are not looked for.
     """
     if derived:
         small = checkpointed(small)
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
-    return skew_join(big, small, on, how)
+    return big.join(small, list(on), how) if few_rows_each else skew_join(big, small, on, how)
 
 
 def shuffle_key(seed: int, *cols: str) -> Column:
@@ -166,19 +167,3 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
         return plain(vals)
     return plain(attach(vals, large, keys, "left_anti")).unionByName(
         _ranked_quantiles(attach(vals, large, keys, "left_semi"), keys, value, probs, names))
-
-
-def chunked_lists(df: DataFrame, keys: Sequence[str], item: str, out: str, size: int = 10_000) -> DataFrame:
-    """Sorted list of ``item`` per key in parts of about ``size``, numbered by ``part`` from 0.
-
-    A usual group is one part. A very large one becomes several rows, so that no single list
-    grows with the data.
-    """
-    keys = list(keys)
-    items = checkpointed(df.select(*keys, item))
-    sizes = items.groupBy(*keys).agg(F.count(item).alias("_n"))
-    parts = sizes.select(*keys, F.ceil(F.col("_n") / F.lit(float(size))).cast("int").alias("_parts"))
-    rows = attach(items, parts, keys)
-    part = F.pmod(F.xxhash64(item), F.greatest(F.col("_parts"), F.lit(1))).cast("int")
-    return (rows.withColumn("part", part).groupBy(*keys, "part")
-            .agg(F.sort_array(F.collect_list(item)).alias(out)))

@@ -70,14 +70,6 @@ def test_first_by_hash_takes_all_of_a_small_class(skewed, spark):
     assert {r.id for r in got.collect()} == want
 
 
-def test_chunked_lists_keep_every_item(skewed):
-    out = scale.chunked_lists(skewed, ["key"], "id", "ids", size=50).collect()
-    seen = [i for r in out for i in r.ids]
-    assert len(seen) == 3000 == len(set(seen))
-    assert max(len(r.ids) for r in out) < 120
-    assert all(r.ids == sorted(r.ids) for r in out)
-
-
 def test_is_small(skewed):
     assert scale.is_small(skewed, 3000) and not scale.is_small(skewed, 2999)
     assert skewed.where(F.lit(False)).isEmpty()

@@ -9,6 +9,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from groundloom.functions.frames import scene_map
+from groundloom.operators import vector
 from groundloom.operators.grids import Grid
 from groundloom.operators.shots import process_shots
 from groundloom.sources import features, flatstack, listing, pixels, tabular
@@ -160,3 +162,39 @@ def test_no_local_checkpoint_or_local_folder_on_a_cluster():
     for path in Path(__file__).resolve().parents[1].joinpath("groundloom").rglob("*.py"):
         text = path.read_text()
         assert "local" + "Checkpoint" not in text and "cross" + "Join(" not in text
+
+
+def test_holes_and_other_features(spark, tmp_path):
+    outer, hole = [[0, 0], [10, 0], [10, 10], [0, 10], [0, 0]], [[4, 4], [4, 6], [6, 6], [6, 4], [4, 4]]
+    square = {"type": "Feature", "properties": {"id": 1}, "geometry": {"type": "Polygon", "coordinates": [outer, hole]}}
+    path = tmp_path / "holes.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [square]}))
+    polys = features.read_features(spark, str(path), "id int").select("id", "ring")
+    assert vector.cover_cells(polys, 1.0, ["id"]).count() == 96
+    inside = polys.select(*[vector.point_in_ring(F.lit(x), F.lit(x), F.col("ring")).alias(f"p{i}") for i, x in enumerate((2.0, 5.0))],
+                          vector.ring_area(F.col("ring")).alias("area"),
+                          vector.intersects(F.col("ring"), vector.box_ring(F.lit(4.5), F.lit(4.5), F.lit(5.5), F.lit(5.5))).alias("in_hole"),
+                          vector.intersects(F.col("ring"), vector.box_ring(F.lit(4.5), F.lit(4.5), F.lit(7.5), F.lit(5.5))).alias("over_edge")).first()
+    assert (inside.p0, inside.p1, inside.area, inside.in_hole, inside.over_edge) == (True, False, 96.0, False, True)
+    assert polys.select(features.wkt("ring").alias("t")).first().t.count("(") == 3
+    features.write_features(polys, str(tmp_path / "out"))
+    again = features.read_features(spark, str(tmp_path / "out"), "id int", by_line=True)
+    assert again.select("id", "ring").collect() == polys.collect()
+    square["geometry"] = {"type": "Point", "coordinates": [1, 2]}
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": [square]}))
+    with pytest.raises(Exception, match="not a polygon"):
+        features.read_features(spark, str(path), "id int").collect()
+
+
+def test_scene_map_gets_whole_scenes(spark):
+    rows = spark.range(30_000).selectExpr("id % 2 AS scene", "id AS v")
+    out = scene_map(rows, lambda p: p.assign(n=len(p))[["scene", "n"]].head(1), "scene bigint, n bigint", ["scene"])
+    assert sorted(tuple(r) for r in out.collect()) == [(0, 15_000), (1, 15_000)]
+
+
+def test_merged_frames_are_placed_by_number(spark):
+    members = spark.createDataFrame([("g", "1_10"), ("g", "1_9"), ("g", "1_100")], "group_id string, frame string")
+    frames = spark.createDataFrame([(1, "1_10", 10, 2), (1, "1_9", 9, 3), (1, "1_100", 100, 4)],
+                                   "pathNumber int, frame string, frameNumber int, num_granules int")
+    got = vector.merged_frames(members, frames, "frame").orderBy("position").collect()
+    assert [(r.position, r.frameNumber, r.members, r.num_granules) for r in got] == [(1, 9, 3, 9), (2, 10, 3, 9), (3, 100, 3, 9)]

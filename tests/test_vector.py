@@ -120,7 +120,9 @@ def test_skimming_merges_and_drops_frames(spark):
     kept, frames = vector.skim_granules(aoi, granules, 2.0)
     assert {r.sceneName[:5] for r in kept.collect()} == {"g1_10", "g1_11", "g1_12", "g1_13"}
     assert kept.count() == 8
-    got = {r.frameNumber: (r.num_granules, r.overlap_with_aoi) for r in frames.collect()}
+    rows = sorted(frames.collect(), key=lambda r: (r.group_id, r.position))
+    got = {"-".join(str(r.frameNumber) for r in rows if r.group_id == g): (r0.num_granules, r0.overlap_with_aoi)
+           for g, r0 in {r.group_id: r for r in rows}.items()}
     assert set(got) == {"10-11", "12-13"} and got["10-11"][0] == 4
     assert got["10-11"][1] == pytest.approx(96 * 100 - 26 * 50)
 
