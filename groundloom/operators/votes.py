@@ -42,10 +42,15 @@ def vote_mode(votes: DataFrame, by: Sequence[str], vote: str = "vote") -> DataFr
     Missing votes do not count; a point without any vote gets NULL, 0 and 0.
     """
     per_label = votes.groupBy(*by, vote).agg(F.count(vote).alias("_n"))
-    best = F.max(F.when(F.col("_n") > 0, F.struct(F.col("_n").alias("n"), (-F.col(vote)).alias("neg"))))
+    kind = dict(votes.dtypes)[vote]
+    if kind in ("tinyint", "smallint", "int"):       # number and label in one long, which a hash aggregation can hold
+        best = F.max(F.when(F.col("_n") > 0, F.shiftleft("_n", 32) + (F.lit(0x7FFFFFFF) - F.col(vote).cast("bigint"))))
+        number, label = F.shiftright("_best", 32), (F.lit(0x7FFFFFFF) - F.col("_best").bitwiseAND(F.lit(0xFFFFFFFF))).cast(kind)
+    else:
+        best = F.max(F.when(F.col("_n") > 0, F.struct(F.col("_n").alias("n"), (-F.col(vote)).alias("neg"))))
+        number, label = F.col("_best.n"), -F.col("_best.neg")
     agg = per_label.groupBy(*by).agg(best.alias("_best"), F.sum("_n").alias("count"))
-    return agg.select(*by, (-F.col("_best.neg")).alias("class"),
-                      F.coalesce(F.try_divide(F.col("_best.n"), F.col("count")), F.lit(0.0)).alias("confidence"),
+    return agg.select(*by, label.alias("class"), F.coalesce(F.try_divide(number, F.col("count")), F.lit(0.0)).alias("confidence"),
                       "count")
 
 

@@ -70,13 +70,16 @@ def _(t: Tables):
     return pixels.read_pixel_table(t.spark, path, ["c_vv", "ndvi"])
 
 
-@query("file_catalog")
+@query("file_catalog", """
+SELECT DISTINCT concat('h=', CAST(FLOOR(pc / 32.0) AS INT), '/v=', CAST(FLOOR(pr / 32.0) AS INT), '/') AS tile, TRUE AS found, TRUE AS filled
+FROM v_px""", ("v_px",))
 def _(t: Tables):
     path = work_path(t.spark, "pixels")
     pixels.write_pixel_table(to_tiles(t.view("v_px"), 32), path)
     files = listing.file_catalog(t.spark, path, "*.parquet")
     tile = F.regexp_extract("path", r"h=(\d+)/v=(\d+)/", 0)
-    return files.groupBy(tile.alias("tile")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+    # how many files a tile has and how long they are depends on the writing tasks
+    return files.groupBy(tile.alias("tile")).agg((F.count(F.lit(1)) > 0).alias("found"), (F.sum("length") > 0).alias("filled"))
 
 
 @query("read_catalog_json", """
