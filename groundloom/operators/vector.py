@@ -85,11 +85,29 @@ def _segments_meet(a: Column, b: Column) -> Column:
             & (F.signum(turn(b, a["x1"], a["y1"])) * F.signum(turn(b, a["x2"], a["y2"])) <= 0))
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once for the row, also where it is used for every edge."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _edges_near(ring: Column, other: Column) -> Column:
+    """The edges whose box meets the box of another polygon."""
+    box = F.struct(*[c.alias(n) for n, c in ring_bounds(other).items()])
+    return _once(box, lambda b: F.filter(edges(ring), lambda e: (
+        (F.greatest(e["x1"], e["x2"]) >= b["xmin"]) & (F.least(e["x1"], e["x2"]) <= b["xmax"])
+        & (F.greatest(e["y1"], e["y2"]) >= b["ymin"]) & (F.least(e["y1"], e["y2"]) <= b["ymax"]) & e["x1"].isNotNull()
+        & e["x2"].isNotNull())))
+
+
 def intersects(a: Column | str, b: Column | str) -> Column:
-    """Whether two simple polygons share at least one point; a common border counts."""
+    """Whether two simple polygons share at least one point; a common border counts.
+
+    Of polygons with many vertices only edges near the other one are compared, so the work is about the number of edges.
+    """
     a, b = as_col(a), as_col(b)
-    ea, eb = edges(a), edges(b)
-    touch = F.exists(ea, lambda s: F.exists(eb, lambda t: _segments_meet(s, t)))
+    near = _once(_edges_near(b, a), lambda eb: F.exists(_edges_near(a, b), lambda s: F.exists(eb, lambda t: _segments_meet(s, t))))
+    every = F.exists(edges(a), lambda s: F.exists(edges(b), lambda t: _segments_meet(s, t)))
+    touch = F.when(F.size(a) * F.size(b) > 64, near).otherwise(every)
     return (F.coalesce(touch, F.lit(False)) | point_in_ring(a[0]["x"], a[0]["y"], b)
             | point_in_ring(b[0]["x"], b[0]["y"], a))
 
