@@ -64,6 +64,17 @@ def geo_tile_name(lat: Column | str, lon: Column | str) -> Column:
                     F.when(lon >= 0, "E").otherwise("W"), F.lpad(F.abs(lon).cast("string"), 3, "0"))
 
 
+def tile_corner(tile: Column | str) -> tuple[Column, Column]:
+    """Latitude and longitude of the upper-left corner of a tile named like N06W075."""
+    tile = as_col(tile)
+
+    def signed(letter: int, digits: int, negative: str) -> Column:
+        value = F.substring(tile, letter + 1, digits).cast("int")
+        return F.when(F.substring(tile, letter, 1) == negative, -value).otherwise(value)
+
+    return signed(1, 2, "S"), signed(4, 3, "W")
+
+
 def parent_grid_name(tile: Column | str) -> Column:
     """Name of the 5-degree grid that holds a 1-degree tile; 0 is always written N and E."""
     tile = as_col(tile)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from groundloom.functions.geodesy import epsg_of, reproject_ring
 from groundloom.functions.indices import logit_score, rvi, threshold_class
+from groundloom.functions.names import tile_corner
 from groundloom.operators.bayes import LogitModel, Prior, bayes_logit_fit, draw_matrix, predict_interval
 from groundloom.operators.catalog import latest_processing
 from groundloom.operators.composites import (PIXEL, alos_layers, classify_stack, frame_temporal_job, mosaic,
@@ -76,6 +77,19 @@ def alos_mosaic_job(dn: DataFrame, year: int, win: int = 5, looks: float = 1,
         F.max("inc").alias("inc"), F.max("doy").alias("doy"))
 
 
+def mosaic_named_tiles(px: DataFrame, cells: int, values: Sequence[str], priority: str, tile: str = "tile") -> DataFrame:
+    """1-degree tiles of ``cells`` by ``cells`` pixels, placed by their names on one image, each value mosaicked.
+
+    Row and column 0 are at the northernmost and westernmost tile. Of several values of a cell the one of highest
+    ``priority`` that has data counts, so that layers of several years fill each other's gaps.
+    """
+    lat, lon = tile_corner(tile)
+    corners = px.select(tile).distinct().agg(F.max(lat).alias("north"), F.min(lon).alias("west")).first()
+    placed = px.withColumns({"pr": F.col("pr") + (F.lit(corners["north"]) - lat) * cells,
+                             "pc": F.col("pc") + (lon - F.lit(corners["west"])) * cells})
+    return mosaic(placed, PIXEL, priority, values)
+
+
 def point_model(points: DataFrame, stack: DataFrame, grid: Grid, bands: Sequence[str], cls: str, positive: str,
                 prior: Prior | None = None, key: str = "pid") -> tuple[LogitModel, DataFrame]:
     """Training points to a fitted model and the points with probability and predicted class."""

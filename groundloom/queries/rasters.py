@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from groundloom.functions import indices
+from groundloom.functions import indices, names
 from groundloom.functions.frames import row_apply, scene_map
 from groundloom.operators import composites as comp
 from groundloom.operators import grids
@@ -489,6 +489,17 @@ def _(t: Tables):
     return out.withColumns({"hh": rounded("hh", 7), "hv": rounded("hv", 7), "inc": rounded("inc", 6)})
 
 
+@query("mosaic_named_tiles", "SELECT pr, pc, ROUND(COALESCE(value, 0.5), 9) AS value FROM v_px", ("v_px",))
+def _(t: Tables):
+    # two years of tiles; the earlier one fills the gaps of the later one
+    px, corner = t.view("v_px"), [5 - F.floor(F.col("pr") / 30.0), F.floor(F.col("pc") / 30.0) - 2]
+    years = px.select(names.geo_tile_name(*corner).alias("tile"), (F.col("pr") % 30).alias("pr"), (F.col("pc") % 30).alias("pc"),
+                      F.explode(F.array(F.struct(F.lit(2019).alias("year"), F.col("value")),
+                                        F.struct(F.lit(2018).alias("year"), (F.coalesce("value", F.lit(1.0)) / 2).alias("value"))))
+                      .alias("y")).select("tile", "pr", "pc", "y.*")
+    return jobs.mosaic_named_tiles(years, 30, ["value"], "year").withColumn("value", rounded("value", 9))
+
+
 @query("burst_tiles", f"""
 WITH l AS (SELECT frame, acq, pr, pc, vv, vh FROM (SELECT *, RANK() OVER (PARTITION BY frame, acq ORDER BY line DESC) AS k
   FROM v_obs) WHERE k = 1),
