@@ -189,10 +189,8 @@ def corner_pixels(edges: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _mark_sides(edges: DataFrame, left_right: bool, by: Sequence[str]) -> DataFrame:
     corners = corner_pixels(edges, by)
-    if by:
-        joined = attach(edges, corners, by)
-    else:
-        joined = edges.join(F.broadcast(corners))                # one row
+    # one row per image: small ones are broadcast at run time, an image with very many edge pixels is split
+    joined = edges.join(corners, list(by)) if by else edges.join(F.broadcast(corners))
     r, c = F.col("pr"), F.col("pc")
 
     def strictly(x: Column, a: str, b: str) -> Column:
@@ -225,7 +223,7 @@ def peel_sides(px: DataFrame, depth: int, left_right: bool = True, mask: str = "
     Corners move with every step, so the steps have to follow each other. Only the edge is
     carried along: after a step it consists of the edge pixels that stayed and of the data
     neighbours of those that went. The pixels that can become an edge at all lie within
-    ``depth`` of a no-data pixel; they are found and written once.
+    ``depth`` of a no-data pixel; they are found and written once. A step is one written table and counts nothing.
     """
     by = list(by)
     cell = [*by, "pr", "pc"]
@@ -244,7 +242,7 @@ def peel_sides(px: DataFrame, depth: int, left_right: bool = True, mask: str = "
             F.struct((F.col("pr") + dr).alias("pr"), (F.col("pc") + dc).alias("pc"))
             for dr, dc in ((0, 1), (0, -1), (1, 0), (-1, 0))])).alias("_n")).select(*by, "_n.*").distinct()
         reachable = band.where(F.col("distance") <= k + 1).select(*cell)
-        fresh = attach(reachable, around, cell, "left_semi", few_rows_each=True)
+        fresh = reachable.join(around, cell, "left_semi")
         old = gone.select(*cell).unionByName(stay)
         edge = fresh.join(old, cell, "left_anti").unionByName(stay)
     return gone
