@@ -12,11 +12,8 @@ BAND_MODEL_INTERCEPT = 24.199260536
 BAND_MODEL_WEIGHTS = [-27.817542580, 11.724057104, 0.002757478, -17.933519020, -18.064926884,
                       -0.012282095, 30.887101573, -0.037257098, -9.236119539, -47.321276739]
 
-# Priors of the example run, in the order vcf, c_rvi, ndvi, l_rvi_mosaic.
+# Prior means of the example run, in the order vcf, c_rvi, ndvi, l_rvi_mosaic.
 PRIOR_MEAN = [0.06491638, -26.63132179, 0.05590800, -29.64091620]
-PRIOR_SCALE = [0.02038204, 7.58200324, 0.01686930, 8.73995422]
-PRIOR_MEAN_INTERCEPT = 1.99274801
-PRIOR_SCALE_INTERCEPT = 7.22600112
 DEFAULT_SCORE_INTERCEPT = 6.07
 
 STACK_BANDS = ["c_vv", "c_vh", "c_inc", "l_hh", "l_hv", "l_inc", "ndvi", "tc"]

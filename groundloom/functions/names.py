@@ -16,7 +16,6 @@ PRODUCT_PATTERNS = {
     "alos_zip": r"^[N|S]{1}\w{2}[E|W]{1}\w{3}_\w{2}_MOS.zip$",
     "alos2_zip": r"^[N|S]{1}\w{2}[E|W]{1}\w{3}_\w{2}_MOS_F02DAR.zip$",
 }
-LAYER_SUFFIX = {"VV": "VV", "VH": "VH", "INC": "inc_map", "LS": "ls_map"}
 OUTPUT_NAMES = {
     "tile": ("s1_tile_%s_%s_%s_h%s_v%s_%s.tif", ["site", "start", "end", "h", "v", "pol"]),
     "stack": ("%s_h%sv%s.tif", ["name", "h", "v"]),

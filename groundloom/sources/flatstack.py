@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -17,6 +18,7 @@ from groundloom.operators.grids import Grid
 
 # Data type codes of the header.
 DTYPES = {1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 12: "u2", 13: "u4", 14: "i8"}
+BATCH_CELLS = 65_536
 SPARK_TYPES = {"u1": "smallint", "i2": "smallint", "i4": "int", "f4": "float", "f8": "double", "u2": "int",
                "u4": "bigint", "i8": "bigint"}
 
@@ -65,11 +67,15 @@ class FlatStackReader(DataSourceReader):
                  "bip": (h["lines"], h["samples"], h["bands"])}[h["interleave"]]
         data = np.memmap(part.path, dtype=h["order"] + h["dtype"], mode="r", offset=h["offset"], shape=shape)
         cols = np.arange(h["samples"], dtype=np.int32) + part.col0
-        for r in range(part.first, part.first + part.count):
-            line = {"bsq": lambda: data[:, r, :], "bil": lambda: data[r], "bip": lambda: data[r].T}[h["interleave"]]()
-            arrays = [pa.array(np.full(h["samples"], r + part.row0, dtype=np.int32)), pa.array(cols)]
-            for band in line:
-                values = band.astype(band.dtype.newbyteorder("="))
+        lines = max(BATCH_CELLS // max(h["samples"], 1), 1)
+        for r in range(part.first, part.first + part.count, lines):
+            end = min(r + lines, part.first + part.count)
+            block = {"bsq": lambda: data[:, r:end], "bil": lambda: data[r:end].transpose(1, 0, 2),
+                     "bip": lambda: data[r:end].transpose(2, 0, 1)}[h["interleave"]]()
+            arrays = [pa.array(np.repeat(np.arange(r, end, dtype=np.int32) + np.int32(part.row0), h["samples"])),
+                      pa.array(np.tile(cols, end - r))]
+            for band in block:
+                values = band.ravel().astype(band.dtype.newbyteorder("="))
                 if values.dtype.kind == "u":
                     values = values.astype({1: np.int16, 2: np.int32, 4: np.int64}[values.dtype.itemsize])
                 empty = np.isnan(values) if values.dtype.kind == "f" else np.zeros(values.shape, bool)
@@ -102,7 +108,11 @@ class FlatStackSource(DataSource):
         return found
 
     def schema(self) -> str:
-        _, h = self._files()[0]
+        files = self._files()
+        _, h = files[0]
+        for name, other in files[1:]:
+            if (other["dtype"], other["names"]) != (h["dtype"], h["names"]):
+                raise ValueError(f"{name} has other bands or another data type than {files[0][0]}")
         kind = SPARK_TYPES[h["dtype"]]
         return ", ".join(["pr int", "pc int", *[f"`{n}` {kind}" for n in _column_names(h["names"])]])
 
@@ -149,7 +159,7 @@ def write_flat_stack(df: DataFrame, path: str, grid: Grid, bands: Sequence[str],
             cube[i, rows, cols] = pdf[name].fillna(nodata).to_numpy()
         target = os.path.join(path, f"rows_{block:06d}")
         for suffix, content in (("", cube.tobytes()), (".hdr", _header_text(grid, lines, first, names).encode())):
-            temporary = f"{target}{suffix}.{os.getpid()}.part"
+            temporary = f"{target}{suffix}.{uuid.uuid4().hex}.part"      # tasks on two machines may write the same block
             with open(temporary, "wb") as f:
                 f.write(content)
             os.replace(temporary, target + suffix)
