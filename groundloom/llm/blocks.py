@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import table
+from groundloom.llm.common import in_small_batches, table
 from groundloom.llm.words import Words
 
 PATH_BUCKETS, WORD_BUCKETS, MEASURES = 1024, 64, 6
@@ -367,7 +367,7 @@ def fitted(pages: DataFrame, id_col: str, html_col: str, count: int = TRAIN_PAGE
     key = F.xxhash64(F.col(id_col))
     chosen = pages.select(key.alias("h")).distinct().orderBy("h").limit(2 * count)         # at most 2 * count numbers
     rows = pages.select(key.alias("h"), F.col(html_col).cast("string").alias("html")).join(F.broadcast(chosen), "h")
-    found = rows.mapInArrow(blocks, "id bigint, blocks array<struct<text:string,path:array<string>,linked:int>>")
+    found = in_small_batches(rows).mapInArrow(blocks, "id bigint, blocks array<struct<text:string,path:array<string>,linked:int>>")
     found = found.orderBy("id").limit(count).collect()
     return train([[(b["text"], tuple(b["path"]), b["linked"]) for b in r["blocks"]] for r in found])
 
@@ -377,7 +377,7 @@ def extract(pages: DataFrame, model: Labeller, html_col: str = "html", out: str
 
     Pages go through the network in groups of similar length, so that memory stays within ``CELLS`` blocks or one page.
     """
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = in_small_batches(pages).sparkSession.sparkContext.broadcast(model)
 
     def run(column: pa.Array) -> pa.Array:
         return pa.array(main_texts(shared.value, [h or "" for h in column.to_pylist()]), pa.string())

@@ -13,12 +13,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundloom.llm.common import in_small_batches
+
 # Fixed values of the vocabulary's format: pieces of a text, and the end mark of a word.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
 
 PIECES_PER_ROUND = 20_000
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 100_000
 
 
 def byte_characters() -> list[str]:
@@ -196,7 +198,7 @@ def encode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", id_col
                     columns.append(pa.array([vocabulary.decode(x) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", *[f.split()[0] for f in fields.split(", ")]])
 
-    return source.mapInArrow(run, f"id {id_type}, n_tokens bigint, {fields}").withColumnRenamed("id", id_col)
+    return in_small_batches(source).mapInArrow(run, f"id {id_type}, n_tokens bigint, {fields}").withColumnRenamed("id", id_col)
 
 
 def sha(text: str) -> str:

@@ -10,12 +10,25 @@ from pyspark.sql import functions as F
 from groundloom.session import work_path
 
 LOOKUP_ROWS = 100_000
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session that hands texts to Python in Arrow batches of 4 MB.
+
+    The usual limit of 64 MB is held several times over by every task, in the executor and in its Python process. A limit
+    that the session's owner has set stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_BYTES) in ("67108864b", "64m", "64MB"):
+        conf.set(BATCH_BYTES, "4m")
+    return df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read again: what follows does not depend on lost executors."""
     path = work_path(df.sparkSession, name)

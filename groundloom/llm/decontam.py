@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import text_key, written
+from groundloom.llm.common import in_small_batches, text_key, written
 from groundloom.llm.words import Words, runs, slices, text_bytes
 
 WINDOW = 10
@@ -119,7 +119,7 @@ def candidate_words(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> Data
                      pa.array(np.diff(words.first), pa.int64()), pa.array(spans, pa.list_(span_type))],
                     ["doc", "key", "n_words", "spans"])
 
-    return docs.select("doc", "text", "key").mapInArrow(
+    return in_small_batches(docs.select("doc", "text", "key")).mapInArrow(
         run, f"doc {kind}, key binary, n_words bigint, "
              "spans array<struct<begin:bigint,words:array<string>,at:array<bigint>,token:array<bigint>>>")
 

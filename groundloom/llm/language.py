@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from groundloom.llm.common import in_small_batches
 from groundloom.llm.words import mix
 
 DIMENSIONS = 1024
@@ -120,7 +121,7 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[
                 [pa.array(np.repeat(list(sums), dimensions)), pa.array(places), pa.array(np.concatenate(list(sums.values())))],
                 ["lang", "place", "value"])
 
-    rows = (labelled.where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
+    rows = (in_small_batches(labelled).where("lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
             .mapInArrow(run, "lang string, place int, value double")
             .groupBy("lang", "place").agg(F.sum("value").alias("value"))
             .groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("v"))
@@ -132,6 +133,7 @@ def prototypes(labelled: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[
 def identify(docs: DataFrame, names: list[str], vectors: np.ndarray, text_col: str = "text") -> Column:
     """struct<lang, score> of a text: the language of greatest cosine (of equal ones the first by name) and that cosine,
     0 at least. A null text and a text without a letter is ``und`` with score 0; so is any text if nothing was learned."""
+    in_small_batches(docs)
     shared = docs.sparkSession.sparkContext.broadcast((names, vectors.astype(np.float32)))
 
     def run(column: pa.Array) -> pa.Array:

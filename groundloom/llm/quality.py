@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import checked_broadcast, table, written
+from groundloom.llm.common import checked_broadcast, in_small_batches, table, written
 from groundloom.llm.words import Words, mix, shingles, slices, text_bytes
 
 SAMPLE_LABELS = 20_000     # labelled documents, about, on which the evidence is fitted
@@ -259,6 +259,7 @@ def judged(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_co
     counts, a null label says nothing. Unlabelled sites, null hosts and paths have the overall rate or their own
     null group. A null or empty text has only its length as evidence. Without labels nothing is faulty.
     """
+    docs = in_small_batches(docs)
     marks = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc")).agg(
         F.max(F.when(F.col("quality") == 0, 1).when(F.col("quality").isNotNull(), 0)).alias("low"),
         F.max(F.when(F.col("toxic") == 1, 1).when(F.col("toxic").isNotNull(), 0)).alias("toxic"))

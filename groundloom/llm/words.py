@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 250_000
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
