@@ -15,6 +15,7 @@ SAMPLE_DOCS = 20_000      # documents, about, from which labelled strings are ta
 TOKEN_LENGTH = 20
 LEAST_MEAN = 0.5          # log-likelihood ratio per transition
 LEAST_TOTAL = 10.0
+BACK_OFF = 20.0
 
 # The three patterns that find secrets by their form, with head and value as groups 1 and 2, and least length.
 PATTERNS = {
@@ -69,7 +70,9 @@ def place(c: Column) -> Column:
 
 
 def model_scores(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """Log-likelihood ratio, random against ordinary, of each character transition, with one added to every count.
+    """Log-likelihood ratio, random against ordinary, of each character transition.
+
+    A transition's rate is drawn toward the rate of its second character by ``BACK_OFF`` transitions.
 
     The labelled strings come from about ``sample_docs`` documents chosen by the hash of their text. The result has
     (len(ALPHABET) + 1)^2 entries whatever the data; without samples all are 0 and no span is added.
@@ -86,13 +89,15 @@ def model_scores(docs: DataFrame, text_col: str = "text", sample_docs: int = SAM
     pairs = strings.select("label", F.explode(F.transform(
         F.sequence(F.lit(1), F.length("s") - 1),
         lambda i: place(F.substring("s", i, F.lit(1))) * n + place(F.substring("s", i + 1, F.lit(1))))).alias("pair"))
-    counts = np.ones((2, n * n))
+    counts = np.zeros((2, n * n))
     for r in pairs.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")).collect():      # at most 2 n^2 rows
         counts[r["label"], r["pair"]] += r["n"]
-    if (counts.sum(axis=1) == n * n).any():
+    if not counts.sum(axis=1).all():
         return np.zeros(n * n)
     rates = counts.reshape(2, n, n)
-    rates = np.log(rates / rates.sum(axis=2, keepdims=True))
+    single = rates.sum(axis=1, keepdims=True) + 0.5
+    single /= single.sum(axis=2, keepdims=True)
+    rates = np.log((rates + BACK_OFF * single) / (rates.sum(axis=2, keepdims=True) + BACK_OFF))
     return (rates[1] - rates[0]).ravel()
 
 
