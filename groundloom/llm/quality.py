@@ -146,7 +146,9 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sam
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = rows.join(checked_broadcast(written(chosen, "chosen")), "doc")
     key = F.arrow_udf(_copy_key, "bigint")
-    return written(rows.withColumn("copy", key("text")).dropDuplicates(["copy", "low", "toxic"]), "labelled")
+    # of copies the one of least id
+    one = rows.withColumn("copy", key("text")).groupBy("copy", "low", "toxic").agg(F.min_by("text", F.struct("doc", "text")).alias("text"))
+    return written(one, "labelled")
 
 
 def fit(sample: DataFrame) -> Evidence:
