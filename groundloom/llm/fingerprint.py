@@ -80,13 +80,14 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(rows: DataFrame, keys: list[str], text_col: str = "text") -> DataFrame:
-    """(keys, fingerprint) of the rows that have terms. If ``rows`` is partitioned by some of ``keys``, nothing is shuffled.
+    """(keys, fingerprint) of each row. If ``rows`` is partitioned by some of ``keys``, nothing is shuffled.
 
     The keys identify a row. The samples of a text are least values over its terms, combined as the terms appear.
     """
-    terms = rows.select(*keys, F.inline(weighted_terms(F.col(text_col)))).withColumn("lw", F.ln(F.col("weight")))
+    terms = rows.select(*keys, F.inline_outer(weighted_terms(F.col(text_col)))).withColumn("lw", F.ln(F.col("weight")))
     least = terms.groupBy(*keys).agg(*[F.min(s).alias(f"s{k}") for k, s in enumerate(samples(F.col("term"), F.col("lw")))])
-    return least.select(*keys, F.concat(*[digits(F.col(f"s{k}")) for k in range(SAMPLES)]).alias("fingerprint"))
+    joined = F.concat(*[digits(F.col(f"s{k}")) for k in range(SAMPLES)])
+    return least.select(*keys, F.coalesce(joined, F.lit(NO_TERMS)).alias("fingerprint"))
 
 
 def placed(rows: DataFrame, order: str) -> DataFrame:
@@ -146,14 +147,15 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edited = F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
                       F.substring(F.col("next"), F.lit(1), half))
     both = chain.select("part", "rn", "doc", "text", edited.alias("edited"))
-    either = both.select("part", "rn", F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text").alias("t")),
-                                                         F.struct(F.lit(1).alias("which"), F.col("edited").alias("t")))).alias("v"))
-    found = fingerprints(either.select("part", "rn", "v.which", "v.t"), ["part", "rn", "which"], "t")
-    found = found.groupBy("part", "rn").agg(*[F.max(F.when(F.col("which") == n, F.col("fingerprint"))).alias(c)
-                                              for n, c in enumerate(("fingerprint", "edited_fingerprint"))])
-    about = both.select("part", "rn", "doc", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"))
-    all_ = about.join(found, ["part", "rn"], "left").fillna({"fingerprint": NO_TERMS, "edited_fingerprint": NO_TERMS})
-    all_ = written(all_, "fingerprints")
+    # what is said of a document travels with its key: the texts are shuffled once only
+    either = both.select("part", "rn", "doc", F.length("text").cast("bigint").alias("n_chars"), F.explode(F.array(
+        F.struct(F.lit(None).cast("binary").alias("sha"), F.col("text").alias("t")),
+        F.struct(F.unhex(F.sha2("edited", 256)).alias("sha"), F.col("edited").alias("t")))).alias("v"))
+    found = fingerprints(either.select("part", "rn", "doc", "n_chars", "v.sha", "v.t"), ["part", "rn", "doc", "n_chars", "sha"], "t")
+    all_ = written(found.groupBy("part", "rn", "doc", "n_chars").agg(
+        F.lower(F.hex(F.max("sha"))).alias("edited_sha256"),
+        F.max(F.when(F.col("sha").isNull(), F.col("fingerprint"))).alias("fingerprint"),
+        F.max(F.when(F.col("sha").isNotNull(), F.col("fingerprint"))).alias("edited_fingerprint")), "fingerprints")
     chain = neighbours(all_, all_.where("rn = 1").select("part", "fingerprint"), "fingerprint", [F.col("rn")], "next")
     return chain.select(F.col("doc").alias(id_col), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
                         likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
