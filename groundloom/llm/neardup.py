@@ -15,14 +15,16 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import checked_broadcast, components, text_key, written
+from groundloom.llm.common import checked_broadcast, components, in_small_batches, text_key, written
 from groundloom.llm.words import Words, mix, runs, shingles, slices, text_bytes
 
 SIZE = 5
 THRESHOLD = 0.8
 BANDS = 30            # a pair at the threshold shares no band with probability (1 - 0.8^5)^30 = 7e-6
 BAND_ROWS = 5
-HUB_ROUNDS = 3
+HUB_YIELD = 0.1       # hub rounds go on while at least this share of the compared pairs is linked
+SLOTS = 1 << 16       # counters of the rarity order, whatever the data
+EARLIER = 4           # earlier shingles by which a pair that has met before is seen
 
 
 def prob_minhash(row: np.ndarray, key: np.ndarray, weight: np.ndarray, rows: int, k: int, seed: int = 1) -> np.ndarray:
@@ -91,7 +93,7 @@ def band_keys(docs: DataFrame, size: int = SIZE, bands: int = BANDS, band_rows:
                     [batch.column(0).slice(lo, hi - lo), batch.column(2).slice(lo, hi - lo),
                      pa.compute.if_else(none, pa.scalar(None, lists.type), lists)], ["doc", "node", "bands"])
 
-    return docs.select("doc", "text", "node").mapInArrow(run, f"doc {kind}, node binary, bands array<bigint>")
+    return in_small_batches(docs.select("doc", "text", "node")).mapInArrow(run, f"doc {kind}, node binary, bands array<bigint>")
 
 
 def linked(pairs: DataFrame, texts: DataFrame, size: int = SIZE, threshold: float = THRESHOLD) -> DataFrame:
@@ -117,48 +119,126 @@ def linked(pairs: DataFrame, texts: DataFrame, size: int = SIZE, threshold: floa
     return both.mapInArrow(run, "a binary, b binary")
 
 
+def prefix_pairs(texts: DataFrame, size: int = SIZE, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of rows (node, text, label) with different labels that may be linked; no linked pair is missing.
+
+    Shingles are ordered by how rare they are (counted per hash slot; any fixed order is right, a rare first one is quick).
+    The similarity is at most the share of either text's weight that lies in common shingles. So the rarest shingles of a
+    text, as many as weigh more than 1 - threshold, hold the first common one, and linked texts meet there. Let w and w' be
+    the weights of the two texts, u and u' what lies before that shingle and is not common, e and e' the weight of repeated
+    occurrences. The greater counts of the common shingles sum up to p <= min(w - u + e', w' - u' + e), and the similarity
+    is at most p / (w + w' - p). Passages that very many texts share come last in the order and bring nobody together;
+    copies of one text that differ in many other places fail the bound. Where one of the last few shingles before is common
+    as well, the pair has met there already and is left out.
+    """
+    def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, _, row, key, _ in _shingled(batch.column(0), size):
+                count += np.bincount((key >> np.uint64(48)).astype(np.int64), minlength=SLOTS)
+        used = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(count[used])], ["slot", "n"])
+
+    counted = (texts.select("text").mapInArrow(slots, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+               .collect())                                                    # at most SLOTS rows
+    rarity = np.zeros(SLOTS, np.int64)
+    for r in counted:
+        rarity[r["slot"]] = r["n"]
+    shared = texts.sparkSession.sparkContext.broadcast(rarity)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, row, key, n in _shingled(batch.column(2), size):
+                order = np.lexsort((key, shared.value[(key >> np.uint64(48)).astype(np.int64)], row))
+                row, key, n = row[order], key[order], n[order].astype(float)
+                first = np.searchsorted(row, np.arange(hi - lo))
+                before = np.cumsum(n) - n
+                total = np.bincount(row, weights=n, minlength=hi - lo)
+                share = (before - before[first[row]]) / total[row] if len(row) else before
+                keep = share <= 1 - threshold + 1e-9
+                extra = total - np.bincount(row, minlength=hi - lo)
+                row, key, total, rest = row[keep], key[keep].view(np.int64), total[row[keep]], (total[row] * (1 - share))[keep]
+                extra = extra[row].astype(float)
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                number = np.minimum(place, EARLIER)
+                back = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number) + 1
+                earlier = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(number)), pa.int32()),
+                                                   pa.array(key[np.repeat(np.arange(len(row)), number) - back]))
+                at = pa.array(row + lo)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(key), pa.array(total), pa.array(rest),
+                     pa.array(extra), earlier], ["node", "label", "token", "weight", "rest", "extra", "earlier"])
+
+    tokens = written(texts.select("node", "label", "text").mapInArrow(
+        prefixes, "node binary, label binary, token bigint, weight double, rest double, extra double, earlier array<bigint>"), "prefixes")
+    left, right = tokens.alias("x"), tokens.alias("y")
+    p = F.least(F.expr("x.rest + y.extra"), F.expr("y.rest + x.extra"))
+    bound = p >= F.lit(threshold - 1e-9) * (F.expr("x.weight + y.weight") - p)
+    both = F.expr("x.token = y.token AND x.node < y.node AND x.label <> y.label AND NOT arrays_overlap(x.earlier, y.earlier)")
+    return left.join(right, both & bound).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+
+
+def _shingled(column: pa.Array, size: int) -> Iterator[tuple]:
+    data, offsets = text_bytes(column)
+    for lo, hi in slices(offsets):
+        yield (lo, hi, *shingles(Words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]), size))
+
+
 def links(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (doc, node, bands), verified links (a, b) and labels (node, label) of ``docs`` (doc, text, node).
 
     ``node`` is the hash of the text, so equal texts are one node from the start. A bucket is a band value that several
-    nodes share. In a few rounds every bucket compares its members with one of them, its hub; members that are already
-    in the hub's class need no comparison. What then still lies in different classes of one bucket is compared
-    pair by pair, so no candidate is left out; a pair inside one class could not change the classes.
+    nodes share. In rounds every bucket compares its members with one of them, its hub; members that are already in the
+    hub's class need no comparison. The hub is the member that shares the most band values with others, which among
+    copies of one text is the text they were made from; later hubs come in turn from outside the first one's class and from
+    any class. The rounds end when they hardly link anything. The members of buckets that then still hold several classes
+    are joined by ``prefix_pairs``, which misses no link. A pair inside one class could not change the classes.
     """
     rows = written(band_keys(docs, size), "bands")
     nodes = written(rows.where(F.col("bands").isNotNull()).groupBy("node").agg(F.first("bands").alias("bands")), "nodes")
     entries = nodes.select(F.explode("bands").alias("band"), "node")
-    shared = entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band")
-    members = written(entries.join(written(shared, "buckets"), "band").select("band", "node"), "members")
-    wanted = checked_broadcast(written(members.select("node").distinct(), "wanted"), 1_000_000)
+    shared = written(entries.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    members = written(entries.join(shared, "band"), "members")
+    degrees = written(members.groupBy("node").agg(F.sum("n").alias("degree")), "degrees")
+    members = members.select("band", "node")
+    wanted = checked_broadcast(degrees.select("node"), 1_000_000)
     texts = written(docs.select("node", "text").join(wanted, "node", "left_semi").dropDuplicates(["node"]), "texts")
-    labels = written(members.select("node", F.col("node").alias("label")).distinct(), "labels")
+    labels = degrees.select("node", "degree", F.col("node").alias("label"), F.lit(False).alias("used"))
     found = tested = None
-    for turn in range(HUB_ROUNDS + 1):
+    turn, going = 0, True
+    while True:
         placed = members.join(labels, "node")
-        hub = (F.min("node"), F.max("node"), F.min_by("node", F.xxhash64("node")))[min(turn, 2)]
-        mixed = (placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), hub.alias("hub"))
-                 .where("lo <> hi"))
-        open_ = written(placed.join(mixed.select("band", "hub"), "band"), "open")
+        rank = F.struct("degree", "node")
+        top = placed.groupBy("band").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
+                                         F.max_by("label", rank).alias("top_label")).where("lo <> hi")
+        open_ = written(placed.join(top.select("band", "top_label"), "band"), "open")
         if open_.isEmpty():
             break
-        if turn < HUB_ROUNDS:
-            hubs = open_.where("node = hub").select("band", F.col("label").alias("hub_label"))
+        if going:
+            free = open_ if turn == 0 else open_.where("NOT used" + (" AND label <> top_label" if turn % 2 else ""))
+            hubs = free.groupBy("band").agg(F.max_by(F.struct("node", "label"), rank).alias("hub"))
+            hubs = written(hubs.select("band", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label")), "hubs")
             pairs = open_.join(hubs, "band").where("label <> hub_label")
             pairs = pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+            was_hub = hubs.select(F.col("hub").alias("node")).distinct().withColumn("now", F.lit(True))
+            labels = labels.join(was_hub, "node", "left").select("node", "degree", "label", (
+                F.col("used") | F.coalesce("now", F.lit(False))).alias("used"))
         else:
-            left = open_.select("band", F.col("node").alias("a"), F.col("label").alias("la"))
-            right = open_.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
-            pairs = left.join(right, "band").where("a < b AND la <> lb").select("a", "b")
+            pairs = prefix_pairs(texts.join(open_.select("node", "label").distinct(), "node"), size, threshold)
         pairs = pairs.distinct() if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
         new = written(linked(pairs, texts, size, threshold), "links")
+        number = new.count()
         found = new if found is None else found.unionByName(new)
-        if not new.isEmpty():
-            joined = components(found)
-            labels = written(members.select("node").distinct().join(joined, "node", "left")
-                             .select("node", F.coalesce("label", "node").alias("label")), "labels")
+        if number:
+            joined = components(found).withColumnRenamed("label", "joined")
+            labels = labels.join(joined, "node", "left").select("node", "degree", F.coalesce("joined", "label").alias("label"), "used")
+        labels = written(labels, "labels")
+        if not going:
+            break
+        turn, going = turn + 1, number >= HUB_YIELD * max(pairs.count(), 1)
+    labels = labels.select("node", "label")
     return rows, found, labels
 
 
@@ -182,12 +262,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = written(classes(docs, id_col, text_col), "classes")
     keyed = rows.where(F.col("class_key").isNotNull())
-    heads = keyed.groupBy("class_key").agg(F.min("doc").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    firsts = (keyed.join(heads, "class_key").where(F.col("doc").eqNullSafe(F.col("class_id")))
-              .groupBy("class_key").agg(F.min("node").alias("kept_node")))
-    all_ = keyed.join(heads, "class_key").join(firsts, "class_key").select(
-        F.col("doc").alias(id_col), "class_id", "class_size",
-        (F.col("doc").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("kept_node"))).alias("kept"))
+    heads = keyed.groupBy("class_key").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "node")).alias("best"),
+                                           F.count(F.lit(1)).alias("class_size"))
+    # the join is the last step of its stage, so that a class with very many rows can be split
+    all_ = keyed.join(heads, "class_key").select(
+        F.col("doc").alias(id_col), F.col("best.doc").alias("class_id"), "class_size",
+        (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("node") == F.col("best.node"))).alias("kept"))
     alone = rows.where(F.col("class_key").isNull()).select(F.col("doc").alias(id_col), F.col("doc").alias("class_id"),
                                                            F.lit(1).cast("bigint").alias("class_size"), F.lit(True).alias("kept"))
     return all_.unionByName(alone)
