@@ -3,7 +3,9 @@
 Two faults are told apart, low quality and toxicity. The evidence for low quality is the text's most telling measure of
 style (symbols, capitals, repetition, length), since one fault is enough. The evidence for toxicity is the amount and
 density of telling words, judged by how often labelled documents of that amount and density are toxic; for this, every
-labelled document is measured with words learned from the other half. All are rates with a beta prior. The rate of a site comes from an empirical Bayes hierarchy: a path is
+labelled document is measured with words learned from the other half, and any other text with the words of either half. All are
+rates with a beta prior, which for a bin of style or an amount and density is the rate of the nearest ones, so those that the
+labels hardly show or never show get what their neighbours say. The rate of a site comes from an empirical Bayes hierarchy: a path is
 shrunk toward its host, a host toward all documents, with strengths estimated from the spread of the rates.
 """
 
@@ -22,7 +24,11 @@ from groundloom.llm.words import Words, mix, shingles, slices, text_bytes
 SAMPLE_LABELS = 20_000     # labelled documents, about, on which the evidence is fitted
 PREFIXES = (4, 5)          # characters of a word's beginning; whole words are features as well
 PRIOR_DOCS = 4.0           # weight, in documents, of the wider rate in the rate of a word or measure
+NEAR_DOCS = 16             # documents, at least, of the nearest bins that make the prior of a bin
+NEAR_WEIGHT = 2.0          # weight of that prior, in documents; a bin's own few documents say more than its neighbours
 TELLING = 0.4              # a word below this rate of toxic documents says nothing
+STYLES, STYLE_BINS = 7, 64                 # measures of style, and bins of each
+DENSITIES, AMOUNTS = 32, 6                 # bins of the density and the amount of telling words; the last ones are open
 FAULTS = ("low", "toxic")
 
 
@@ -67,7 +73,7 @@ def style_features(words: Words, data: np.ndarray, offsets: np.ndarray) -> np.nd
 
 
 def style_keys(bins: np.ndarray) -> np.ndarray:
-    return (np.arange(bins.shape[1]) * 1000 + np.minimum(bins, 999)).astype(np.int64)
+    return (np.arange(bins.shape[1]) * 1000 + np.minimum(bins, STYLE_BINS - 1)).astype(np.int64)
 
 
 def _sliced(column: pa.Array) -> Iterator[tuple[int, int, Words, np.ndarray, np.ndarray]]:
@@ -95,22 +101,22 @@ class Telling:
         order = np.argsort(keys)
         self.keys, self.odds = keys[order], odds[order]
 
-    def amounts(self, words: Words) -> np.ndarray:
+    def amounts(self, words: Words, features: np.ndarray) -> np.ndarray:
         """Cell number of each text: the amount of telling words, and their density, both in powers of two."""
         total = np.zeros(words.rows)
         if len(self.keys) and len(words.hash):
-            features = word_features(words)
             at = np.minimum(np.searchsorted(self.keys, features), len(self.keys) - 1)
             odds = np.where(self.keys[at] == features, self.odds[at], 0.0).max(axis=1)
             total = np.bincount(words.row, weights=odds, minlength=words.rows)
         density = 1000 * total / np.maximum(np.diff(words.first), 1)
-        return np.log2(1 + density).astype(np.int64) * 100 + np.minimum(np.log2(1 + total), 5).astype(np.int64)
+        return (np.minimum(np.log2(1 + density), DENSITIES - 1).astype(np.int64) * 100
+                + np.minimum(np.log2(1 + total), AMOUNTS - 1).astype(np.int64))
 
 
 class Evidence:
-    """What was learned: telling words, log-odds of each of their cells, and log-odds of each bin of style."""
+    """What was learned: telling words of either half, log-odds of each of their cells, and log-odds of each bin of style."""
 
-    def __init__(self, telling: Telling, cells: dict[int, float], styles: dict[int, float], base: dict[str, float]):
+    def __init__(self, telling: list[Telling], cells: dict[int, float], styles: dict[int, float], base: dict[str, float]):
         self.telling, self.base = telling, base
         self.cells, self.styles = _columns(cells), _columns(styles)
 
@@ -119,7 +125,9 @@ class Evidence:
         low, toxic = np.zeros(len(column)), np.zeros(len(column))
         for lo, hi, words, data, offsets in _sliced(column):
             low[lo:hi] = _known(self.styles, style_keys(style_features(words, data, offsets))).max(axis=1)
-            toxic[lo:hi] = _known(self.cells, self.telling.amounts(words))
+            features = word_features(words)
+            # the cells were counted with the words of one half, so they are looked up with these
+            toxic[lo:hi] = np.mean([_known(self.cells, t.amounts(words, features)) for t in self.telling], axis=0)
         return low, toxic
 
 
@@ -128,13 +136,42 @@ def _columns(known: dict[int, float]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _known(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
-    """Value of each key, 0 for those that were never seen."""
+    """Value of each key, 0 for those that are not there."""
     if not len(known[0]):
         return np.zeros(keys.shape)
     at = np.minimum(np.searchsorted(known[0], keys), len(known[0]) - 1)
     return np.where(known[0][at] == keys, known[1][at], 0.0)
 
 
+def _near_rates(n: np.ndarray, bad: np.ndarray, base: float) -> np.ndarray:
+    """Rate of each bin of a line or a grid, seen or not. Its prior is the rate of the nearest other bins, taken by distance until they
+    have ``NEAR_DOCS`` documents, whose own prior is ``base``."""
+    places = np.indices(n.shape).reshape(n.ndim, -1)
+    flat_n, flat_bad = n.ravel(), bad.ravel()
+    out = np.empty(n.size)
+    for i in range(n.size):
+        distance = np.abs(places - places[:, i:i + 1]).sum(axis=0)
+        docs = np.bincount(distance, weights=flat_n)[1:].cumsum()
+        far = min(int(np.searchsorted(docs, NEAR_DOCS)) + 1, len(docs))
+        near = (distance > 0) & (distance <= far)
+        prior = (flat_bad[near].sum() + PRIOR_DOCS * base) / (flat_n[near].sum() + PRIOR_DOCS)
+        out[i] = (flat_bad[i] + NEAR_WEIGHT * prior) / (flat_n[i] + NEAR_WEIGHT)
+    return out.reshape(n.shape)
+
+
+def _evidence(keys: np.ndarray, n: np.ndarray, bad: np.ndarray, width: int, shape: tuple[int, int], base: float,
+              rows_apart: bool) -> dict[int, float]:
+    """Log-odds of every key ``width * row + column`` of a grid of ``shape``, of which some were counted. ``rows_apart``: a row has no
+    neighbours in other rows."""
+    counts = np.zeros((2, *shape))
+    counts[0, keys // width, keys % width], counts[1, keys // width, keys % width] = n, bad
+    if not counts[0].any():
+        return {}
+    rates = np.stack([_near_rates(*row, base) for row in counts.swapaxes(0, 1)]) if rows_apart else _near_rates(*counts, base)
+    odds = _logit(rates) - _logit(base)
+    return {int(width * r + c): float(odds[r, c]) for r, c in np.ndindex(*shape)}
+
+
 def _logit(p):
     return np.log(p / (1 - p))
 
@@ -189,24 +226,25 @@ def fit(sample: DataFrame) -> Evidence:
         some = (rate >= TELLING).to_numpy(bool)
         return Telling(word.key.to_numpy(np.int64).view(np.uint64)[some], (_logit(rate) - _logit(base["toxic"])).to_numpy(float)[some])
 
-    other = sample.sparkSession.sparkContext.broadcast([telling(word.n1, word.bad1), telling(word.n0, word.bad0)])
+    halves = [telling(word.n1, word.bad1), telling(word.n0, word.bad0)]
+    other = sample.sparkSession.sparkContext.broadcast(halves)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, fold = (np.asarray(batch.column(i)) for i in (2, 3))
             for lo, hi, words, _, _ in _sliced(batch.column(0)):
-                cell = np.where(fold[lo:hi] == 0, other.value[0].amounts(words), other.value[1].amounts(words))
+                features = word_features(words)
+                cell = np.where(fold[lo:hi] == 0, other.value[0].amounts(words, features), other.value[1].amounts(words, features))
                 yield _counted(0, cell, toxic[lo:hi])
 
     cells = (sample.mapInArrow(measured, "kind int, key bigint, n bigint, bad bigint")
              .groupBy("key").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).toPandas())
-    wide = cells.groupby(cells.key // 100)[["n", "bad"]].transform("sum")
-    prior = (wide.bad + PRIOR_DOCS * base["toxic"]) / (wide.n + PRIOR_DOCS)
-    rate = (cells.bad + PRIOR_DOCS * prior) / (cells.n + PRIOR_DOCS)
-    style_rate = (style.bad2 + PRIOR_DOCS * base["low"]) / (style.n2 + PRIOR_DOCS)
-    return Evidence(telling(word.n0 + word.n1, word.bad0 + word.bad1),
-                    dict(zip(cells.key, _logit(rate) - _logit(base["toxic"]))),
-                    dict(zip(style.key, _logit(style_rate) - _logit(base["low"]))), base)
+    return Evidence(halves, _evidence(*_counts(cells.key, cells.n, cells.bad), 100, (DENSITIES, AMOUNTS), base["toxic"], False),
+                    _evidence(*_counts(style.key, style.n2, style.bad2), 1000, (STYLES, STYLE_BINS), base["low"], True), base)
+
+
+def _counts(*columns) -> list[np.ndarray]:
+    return [c.to_numpy(np.int64) for c in columns]
 
 
 def _counted(kind: int, keys: np.ndarray, bad: np.ndarray) -> pa.RecordBatch:

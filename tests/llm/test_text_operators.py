@@ -333,6 +333,34 @@ def test_quality_of_unlabelled_documents(spark):
     assert sum(map(rejected, good)) / len(good) < 0.01
 
 
+def test_evidence_beyond_the_labels_stays_strong(spark):
+    """Texts that are denser in toxic words or symbols than any labelled one are rejected."""
+    rng = random.Random(5)
+    plain, foul = [f"plain{i}" for i in range(300)], [f"{c}{c}vile" for c in "abcdefgh"]
+    rows = []
+    for i in range(600):
+        words, toxic, low = rng.choices(plain, k=60), int(i % 6 == 0), int(i % 6 == 1)
+        words[:12 * toxic] = rng.choices(foul, k=12 * toxic)
+        words = [w + " #|" * (low * (k % 2)) for k, w in enumerate(words)]
+        rows.append((i, " ".join(words), "s", "en", 1 - low, toxic))
+    tests = [(1000, " ".join(foul), "toxic"), (1001, " ".join(rng.choices(foul, k=2000)), "toxic"), (1002, "#| " * 40, "low"),
+             (1003, " ".join(rng.choices(plain, k=60)), None)]
+    docs = spark.createDataFrame([r[:4] for r in rows] + [(i, t, "s", "en") for i, t, _ in tests],
+                                 "doc_id bigint, text string, source string, lang string")
+    marks = spark.createDataFrame([(r[0], r[4], r[5]) for r in rows], "doc_id bigint, quality int, toxic int")
+    got = {r["doc_id"]: r for r in quality.judged(docs, marks, F.col("source"), F.col("lang")).where("doc_id >= 1000").collect()}
+    for i, _, fault in tests:
+        for f in quality.FAULTS:
+            assert (got[i][f"_q_{f}"] >= quality.REJECT) == (f == fault or (i == 1002 and got[i][f"_q_{f}"] >= quality.REJECT)), (i, f)
+
+
+def test_rare_bins_take_the_rate_of_their_neighbours():
+    n, bad = np.zeros(12), np.zeros(12)
+    n[[0, 5, 6]], bad[[0, 5, 6]] = (400, 40, 1), (8, 40, 0)
+    rates = quality._near_rates(n, bad, 0.1)
+    assert rates[0] < 0.05 and rates[5] > 0.9 and (rates[[6, 7, 11]] > 0.6).all() and rates[1] < 0.05
+
+
 def test_sites_shrink_toward_their_host(spark):
     rows = [("a", "x", 1, 0)] * 40 + [("a", "y", 0, 0)] * 2 + [("b", "x", 0, 0)] * 60 + [("b", None, 0, 1)] + [(None, None, 0, 0)] * 5
     got = {(r["host"], r["path"]): r for r in quality.site_rates(
