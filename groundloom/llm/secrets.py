@@ -117,7 +117,7 @@ def find_secrets(docs: DataFrame, scores: np.ndarray, text_col: str = "text", ou
     """``docs`` with ``out``: array<struct<start, kind_no, kind, stop>> of all spans, by start and kind.
 
     Kinds are those of ``PATTERNS`` and ``random``: a token of at least ``TOKEN_LENGTH`` characters that the random model
-    prefers and that overlaps no span found by a pattern. A null text is empty and has no span. Existing columns stay;
+    prefers and that no span found by a pattern covers; the two may overlap. A null text is empty and has no span. Existing columns stay;
     a clash with ``out`` or an internal name (beginning with ``_sec_``) is an error of the caller.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -131,7 +131,7 @@ def find_secrets(docs: DataFrame, scores: np.ndarray, text_col: str = "text", ou
                        matches(F.col("_sec_text"), TOKEN, random).alias("_sec_random"))
     spans = [_of_kind(f"_sec_{k}", no, k) for no, k in enumerate(KINDS)]
     rows = rows.select("*", F.concat(*spans[:-1]).alias("_sec_base"), spans[-1].alias("_sec_more"))
-    free = F.filter("_sec_more", lambda m: ~F.exists("_sec_base", lambda b: (m["start"] < b["stop"]) & (b["start"] < m["stop"])))
+    free = F.filter("_sec_more", lambda m: ~F.exists("_sec_base", lambda b: (b["start"] <= m["start"]) & (m["stop"] <= b["stop"])))
     rows = rows.select("*", F.sort_array(F.concat("_sec_base", free)).alias(out))
     return rows.drop("_sec_text", "_sec_base", "_sec_more", *[f"_sec_{k}" for k in KINDS])
 

@@ -189,6 +189,20 @@ def test_random_tokens_are_added_and_names_are_not(spark):
     assert all(r["text"].endswith(" [SECRET]") for r in clean)
 
 
+def test_random_token_around_a_pattern_span_is_kept_whole(spark):
+    """A hex run inside a random token does not hide the rest of the token."""
+    rng = random.Random(11)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = " ".join(["configuration", "manager", "settings", "international", "service", "factory"])
+    train = spark.createDataFrame([(i, f"{names} token = {''.join(rng.choices(chars, k=32))}") for i in range(300)], "doc_id bigint, text string")
+    scores = secrets.model_scores(train)
+    tokens = ["".join(rng.choices(chars, k=12)) + "Q0123456789abcdef0Z" + "".join(rng.choices(chars, k=12)), "0123456789abcdef0123456789abcdef"]
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(tokens)], "doc_id bigint, text string")
+    got = {r["doc_id"]: sorted((s["kind"], s["start"], s["stop"]) for s in r["spans"]) for r in secrets.find_secrets(docs, scores).collect()}
+    assert got[0] == [("hex", 17, 34), ("random", 4, 4 + len(tokens[0]))] and got[1] == [("hex", 4, 36)]
+    assert [r["text"] for r in secrets.redacted(docs, scores).orderBy("doc_id").collect()] == ["see [SECRET] here"] * 2
+
+
 def test_contamination_matches_brute_force(spark, documents):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     windows = {}
