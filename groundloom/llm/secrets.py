@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SAMPLE_DOCS = 20_000      # documents, about, from which labelled strings are taken
-TOKEN_LENGTH = 20
 LEAST_MEAN = 0.5          # log-likelihood ratio per transition
 LEAST_TOTAL = 10.0
 BACK_OFF = 20.0
@@ -25,8 +24,12 @@ PATTERNS = {
     "hex": (r"()([0-9a-f]{16,})", 16),
 }
 KINDS = [*PATTERNS, "random"]
+# The least length of a token or part of one: that of the shortest secret that a pattern takes. The totals alone cannot decide
+# it, since ordinary names have no digits and a number of two digits has more than LEAST_TOTAL.
+TOKEN_LENGTH = min(least for _, least in PATTERNS.values())
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 TOKEN = rf"()([A-Za-z0-9+/_=-]{{{TOKEN_LENGTH},}})"
+PART = rf"()([A-Za-z0-9+]{{{TOKEN_LENGTH},}})"
 NAME = r"(?<![A-Za-z0-9+/_=.-])[A-Za-z_]{8,}(?![A-Za-z0-9+/_=.-])"
 _MARK = "\u0001"
 
@@ -116,8 +119,8 @@ def likelihood_ratio(value: Column, scores: np.ndarray) -> Column:
 def find_secrets(docs: DataFrame, scores: np.ndarray, text_col: str = "text", out: str = "spans") -> DataFrame:
     """``docs`` with ``out``: array<struct<start, kind_no, kind, stop>> of all spans, by start and kind.
 
-    Kinds are those of ``PATTERNS`` and ``random``: a token of at least ``TOKEN_LENGTH`` characters that the random model
-    prefers and that no span found by a pattern covers; the two may overlap. A null text is empty and has no span. Existing columns stay;
+    Kinds are those of ``PATTERNS`` and ``random``: a token of at least ``TOKEN_LENGTH`` characters, or else a part of as many
+    between / = _ -, that the random model prefers and that no span found by a pattern covers; the two may overlap. A null text is empty and has no span. Existing columns stay;
     a clash with ``out`` or an internal name (beginning with ``_sec_``) is an error of the caller.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -128,12 +131,20 @@ def find_secrets(docs: DataFrame, scores: np.ndarray, text_col: str = "text", ou
 
     rows = docs.select("*", text.alias("_sec_text"))
     rows = rows.select("*", *[m.alias(f"_sec_{k}") for k, m in zip(PATTERNS, base_matches(F.col("_sec_text")))],
-                       matches(F.col("_sec_text"), TOKEN, random).alias("_sec_random"))
+                       matches(F.col("_sec_text"), TOKEN, random).alias("_sec_random"),
+                       matches(F.col("_sec_text"), PART, random).alias("_sec_part"))
     spans = [_of_kind(f"_sec_{k}", no, k) for no, k in enumerate(KINDS)]
-    rows = rows.select("*", F.concat(*spans[:-1]).alias("_sec_base"), spans[-1].alias("_sec_more"))
-    free = F.filter("_sec_more", lambda m: ~F.exists("_sec_base", lambda b: (b["start"] <= m["start"]) & (m["stop"] <= b["stop"])))
-    rows = rows.select("*", F.sort_array(F.concat("_sec_base", free)).alias(out))
-    return rows.drop("_sec_text", "_sec_base", "_sec_more", *[f"_sec_{k}" for k in KINDS])
+    parts = _of_kind("_sec_part", len(PATTERNS), KINDS[-1])
+    rows = rows.select("*", F.concat(*spans[:-1]).alias("_sec_base"), spans[-1].alias("_sec_more"), parts.alias("_sec_parts"))
+    # a secret at the end of an ordinary path or name is found as a part
+    whole = _uncovered("_sec_more", F.col("_sec_base"))
+    part = _uncovered("_sec_parts", F.concat("_sec_base", "_sec_more"))
+    rows = rows.select("*", F.sort_array(F.concat(F.col("_sec_base"), whole, part)).alias(out))
+    return rows.drop("_sec_text", "_sec_base", "_sec_more", "_sec_part", "_sec_parts", *[f"_sec_{k}" for k in KINDS])
+
+
+def _uncovered(spans: str, by: Column) -> Column:
+    return F.filter(spans, lambda m: ~F.exists(by, lambda b: (b["start"] <= m["start"]) & (m["stop"] <= b["stop"])))
 
 
 def _of_kind(column: str, no: int, kind: str) -> Column:

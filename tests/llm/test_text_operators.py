@@ -203,6 +203,22 @@ def test_random_token_around_a_pattern_span_is_kept_whole(spark):
     assert [r["text"] for r in secrets.redacted(docs, scores).orderBy("doc_id").collect()] == ["see [SECRET] here"] * 2
 
 
+def test_short_random_tokens_and_parts_of_names(spark):
+    rng = random.Random(13)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    names = " ".join(["configuration", "manager", "settings", "international", "service", "factory", "understanding", "responsibilities"])
+    train = spark.createDataFrame([(i, f"{names} token = {''.join(rng.choices(chars, k=32))}") for i in range(300)], "doc_id bigint, text string")
+    scores = secrets.model_scores(train)
+    short = ["".join(rng.choices(chars, k=k)) for k in (12, 14, 16, 18)]
+    path = "configuration/manager/settings/international/service/factory/understanding/responsibilities/"
+    tests = [*short, *[path + s for s in short], *[f"international_configuration_responsibilities_settings_manager={s}" for s in short],
+             path, "internationalization", "in 2024 of 555"]
+    docs = spark.createDataFrame([(i, f"see {t} here") for i, t in enumerate(tests)], "doc_id bigint, text string")
+    clean = [r["text"] for r in secrets.redacted(docs, scores).orderBy("doc_id").collect()]
+    assert not any(s in t for t, s in zip(clean, short * 3))
+    assert clean[12:] == [f"see {t} here" for t in tests[12:]]
+
+
 def test_contamination_matches_brute_force(spark, documents):
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     windows = {}
