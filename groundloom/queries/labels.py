@@ -84,6 +84,15 @@ def _(t: Tables):
     return ops.confusion_matrix(df, "p", "a")
 
 
+@query("confusion_matrix_both", """
+SELECT k AS predicted, COUNT(*) FILTER (WHERE (vv > 0.05) = (k = 1) AND frame <> 'A') AS actual_0,
+COUNT(*) FILTER (WHERE (vv > 0.05) = (k = 1) AND frame = 'A') AS actual_1 FROM v_obs, (SELECT unnest([0, 1]) AS k) GROUP BY ALL""",
+       ("v_obs",))
+def _(t: Tables):
+    df = t.view("v_obs").select((F.col("vv") > 0.05).cast("int").alias("p"), (F.col("frame") == "A").cast("int").alias("a"))
+    return ops.confusion_matrix(df, "p", "a")
+
+
 @query("overall_accuracy", """
 SELECT ROUND(AVG(CASE WHEN (vv > 0.05) = (frame = 'A') THEN 1.0E0 ELSE 0.0E0 END), 9) AS accuracy FROM v_obs""", ("v_obs",))
 def _(t: Tables):

@@ -221,3 +221,14 @@ def test_next_prior_takes_coefficients_and_spread(spark, training):
 def test_impossible_priors_are_refused(training):
     with pytest.raises(ValueError):
         bayes.bayes_logit_fit(training, ["a", "b"], "y", bayes.Prior([0.0], [1.0]))
+
+
+def test_confusion_query_counts_both_predictions(spark):
+    from __spark_entry__ import queries
+
+    got = {r["predicted"]: (r["actual_0"], r["actual_1"]) for r in queries()["confusion_matrix_both"](spark, "/root/testdata/sf0.001").collect()}
+    obs = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").toPandas()
+    for k in (0, 1):
+        rows = obs[((obs.l_extendedprice.astype(float) / 1e6) > 0.05) == bool(k)]
+        is_a = rows.l_returnflag == "A"
+        assert got[k] == (int((~is_a).sum()), int(is_a.sum())) and all(got[k])
