@@ -82,6 +82,17 @@ def _(t: Tables):
     return files.groupBy(tile.alias("tile")).agg((F.count(F.lit(1)) > 0).alias("found"), (F.sum("length") > 0).alias("filled"))
 
 
+@query("file_catalog_tiles", """
+SELECT concat('h=', CAST(FLOOR(pc / 32.0) AS INT), '/v=', CAST(FLOOR(pr / 32.0) AS INT), '/') AS tile, CAST(1 AS BIGINT) AS files
+FROM v_px GROUP BY ALL""", ("v_px",))
+def _(t: Tables):
+    path = work_path(t.spark, "pixels")
+    # a tile is written by one task, so it has one file
+    to_tiles(t.view("v_px"), 32).repartition("h", "v").write.partitionBy("h", "v").parquet(path)
+    files = listing.file_catalog(t.spark, path, "*.parquet")
+    return files.groupBy(F.regexp_extract("path", r"h=(\d+)/v=(\d+)/", 0).alias("tile")).agg(F.count(F.lit(1)).alias("files"))
+
+
 @query("read_catalog_json", """
 SELECT concat('job', o_orderkey) AS job_id, concat('S1A_', o_custkey) AS granule, CAST(o_totalprice > 100000 AS VARCHAR) AS dem FROM orders""")
 def _(t: Tables):

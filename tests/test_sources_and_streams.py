@@ -198,3 +198,21 @@ def test_merged_frames_are_placed_by_number(spark):
                                    "pathNumber int, frame string, frameNumber int, num_granules int")
     got = vector.merged_frames(members, frames, "frame").orderBy("position").collect()
     assert [(r.position, r.frameNumber, r.members, r.num_granules) for r in got] == [(1, 9, 3, 9), (2, 10, 3, 9), (3, 100, 3, 9)]
+
+
+def test_file_catalog_agrees_with_the_file_system(spark, tmp_path):
+    from pyspark.sql import Row
+
+    px = spark.createDataFrame([Row(h=i % 3, v=i % 2, pr=i, pc=i, value=float(i)) for i in range(300)])
+    pixels.write_pixel_table(px, str(tmp_path / "px"), rows_per_file=100)
+    got = sorted((r["path"].removeprefix("file:"), r["name"], r["length"])
+                 for r in listing.file_catalog(spark, str(tmp_path / "px"), "*.parquet").collect())
+    want = sorted((str(p), p.name, p.stat().st_size) for p in (tmp_path / "px").rglob("*.parquet"))
+    assert got == want and len(want) >= 6
+
+
+def test_file_catalog_query_counts_the_files_of_a_tile(spark):
+    from __spark_entry__ import queries
+
+    rows = queries()["file_catalog_tiles"](spark, "/root/testdata/sf0.001").collect()
+    assert rows and all(r["files"] == 1 for r in rows)
