@@ -42,10 +42,18 @@ def temporal_mean_skipna(px: DataFrame, keys: Sequence[str], values: Sequence[st
 
 
 def composite(px: DataFrame, keys: Sequence[str], how: str, value: str = "value", time: str = "acq",
-              out: str = "value") -> DataFrame:
-    """One value per pixel from many scenes: ``mean``, ``median`` or ``first`` in time."""
+              out: str = "value", max_group: int | None = None) -> DataFrame:
+    """One value per pixel from many scenes: ``mean``, ``median`` or ``first`` in time.
+
+    A median takes all values of a key into one task, as a pixel's time series is short. For keys of unbounded size give
+    ``max_group``: those with more values are ranked over many tasks.
+    """
     if how == "mean":
         return px.groupBy(*keys).agg(F.avg(value).alias(out))
+    if how == "median" and max_group is not None:
+        medians = grouped_quantiles(px, keys, value, [0.5], [out], max_group)
+        empty = px.groupBy(*keys).agg(F.count(value).alias("_n")).where("_n = 0")
+        return medians.unionByName(empty.select(*keys, F.lit(None).cast("double").alias(out)))
     if how == "median":
         return px.groupBy(*keys).agg(F.percentile(value, 0.5).alias(out))       # a pixel's time series is short
     if how == "first":

@@ -73,3 +73,16 @@ def test_first_by_hash_takes_all_of_a_small_class(skewed, spark):
 def test_is_small(skewed):
     assert scale.is_small(skewed, 3000) and not scale.is_small(skewed, 2999)
     assert skewed.where(F.lit(False)).isEmpty()
+
+
+@pytest.mark.parametrize("max_group", [None, 10, 10_000])
+def test_median_composite_of_large_groups(skewed, monkeypatch, max_group):
+    from groundloom.operators import composites
+
+    ranked = []
+    monkeypatch.setattr(scale, "_ranked_quantiles", lambda *a, f=scale._ranked_quantiles: ranked.append(1) or f(*a))
+    px = skewed.withColumn("value", F.when(F.col("key") != 3, F.col("value")))
+    got = composites.composite(px, ["key"], "median", max_group=max_group).toPandas().set_index("key")["value"]
+    want = px.toPandas().groupby("key")["value"].median()
+    pd.testing.assert_series_equal(got.sort_index(), want, check_names=False, check_index_type=False)
+    assert bool(ranked) == (max_group == 10)
