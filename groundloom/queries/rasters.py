@@ -10,12 +10,14 @@ from groundloom.operators import neighborhood as near
 from groundloom.operators.grids import Grid
 from groundloom.plans import jobs
 from groundloom.queries.base import Tables, query, rounded
+from groundloom.scale import attach
 
 PX = ["pr", "pc"]
 BANDS = indices.STACK_BANDS
 SRC = Grid(0.0, 0.0, 30.0)
 COARSE = Grid(-10.0, 20.0, 70.0)
 FINE = Grid(5.0, -7.0, 12.0)
+TILE = 1024
 
 
 # ---- temporal statistics -------------------------------------------------------------------
@@ -179,9 +181,12 @@ def _(t: Tables):
 
 @query("scene_map", "SELECT scene, line, ROUND(vv - AVG(vv) OVER (PARTITION BY acq), 9) AS value FROM v_obs", ("v_obs",))
 def _(t: Tables):
-    px = t.view("v_obs").select("scene", "line", "vv", "acq")
-    out = scene_map(px, lambda p: p.assign(value=p.vv - p.vv.mean())[["scene", "line", "value"]],
-                    "scene bigint, line int, value double", ["acq"])
+    # a date has ever more pixels as the table grows, a tile of a date has not
+    tile = [F.floor(F.col("pr") / TILE).alias("v"), F.floor(F.col("pc") / TILE).alias("h")]
+    px = t.view("v_obs").select("scene", "line", "vv", "acq", *tile)
+    px = attach(px, px.groupBy("acq").agg(F.avg("vv").alias("mean")), ["acq"])
+    out = scene_map(px, lambda p: p.assign(value=p.vv - p["mean"])[["scene", "line", "value"]],
+                    "scene bigint, line int, value double", ["acq", "v", "h"])
     return out.withColumn("value", rounded("value", 9))
 
 

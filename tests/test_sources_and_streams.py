@@ -216,3 +216,16 @@ def test_file_catalog_query_counts_the_files_of_a_tile(spark):
 
     rows = queries()["file_catalog_tiles"](spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r["files"] == 1 for r in rows)
+
+
+def test_scene_query_hands_over_tiles(spark, monkeypatch):
+    from __spark_entry__ import queries
+    from groundloom.queries import rasters
+
+    handed = []
+    monkeypatch.setattr(rasters, "TILE", 1)
+    monkeypatch.setattr(rasters, "scene_map", lambda df, fn, schema, scene: handed.append(
+        df.groupBy(*scene).count().agg(F.max("count")).first()[0]) or scene_map(df, fn, schema, scene))
+    rows = queries()["scene_map"](spark, "/root/testdata/sf0.001").count()
+    largest = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").groupBy("l_shipdate").count().agg(F.max("count")).first()[0]
+    assert rows and handed[0] < largest
