@@ -3,15 +3,23 @@
 At each word position a window of ``ORDER`` words, filled up with empty words at the end of its piece, is counted. Only these
 longest windows come from the texts; the counts of shorter phrases are ROLLUP sums over prefixes of the windows, since each
 occurrence of a phrase begins exactly one window.
+
+A window also ends before a phrase that is too rare to matter: a phrase that occurs ``least`` times has parts that occur as
+often, so hashes of phrases of two, then three words are counted first, and what they rule out is left empty. Equal hashes only
+add counts, so nothing is ruled out wrongly, and sums that reach ``least`` are those of the whole windows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import table, written
-from groundloom.llm.lines import lower_ascii
+from groundloom.llm.common import in_small_batches, table, written
+from groundloom.llm.words import _lower, _power_table, mix, runs, slices, text_bytes
 
 ORDER = 4
 LEAST_COUNT = 30
@@ -19,19 +27,127 @@ TOP = 2000
 SCALE = 2_000_000
 COVERED_PERCENT = 80
 SALTS = 256
+HASH_BITS = 40
+LEAST_FILTER, MOST_FILTER = 16, 28            # bits of a filter's slot numbers: 8 KB to 32 MB
+BITS_PER_PHRASE = 16
+
+_ends_piece = np.zeros(256, bool)
+_ends_piece[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
+_in_word = ~_ends_piece
+_in_word[[0x20, 0x09]] = False
+
+
+class Positions:
+    """Words of consecutive texts with their row, piece, hash and text."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, langs: np.ndarray):
+        low = _lower[data]
+        word = _in_word[low]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        before[1:], after[:-1] = word[:-1], word[1:]
+        start = np.flatnonzero(word & (~before | edge[:-1]))
+        end = np.flatnonzero(word & (~after | edge[1:])) + 1
+        self.row = np.searchsorted(offsets, start, "right") - 1
+        self.piece = np.cumsum(_ends_piece[low])[start] + self.row if len(start) else self.row
+        up, down = _power_table(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
+        self.hash = mix((sums[end] - sums[start]) * down[start] ^ langs[self.row])
+        self.packed, self.ends = low[word], np.append(0, np.cumsum(end - start))
+
+    def texts(self) -> pa.Array:
+        """All words, and an empty one at the end."""
+        ends = np.append(self.ends, self.ends[-1])
+        return pa.LargeStringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(self.packed))
+
+    def keys(self, size: int) -> np.ndarray:
+        """Hash of the phrase of ``size`` words from each word, as long as there are words."""
+        return runs(self.hash, size) >> np.uint64(64 - HASH_BITS)
+
+    def possible(self, size: int, filters: list[np.ndarray]) -> np.ndarray:
+        """Whether a phrase of ``size`` words of one piece begins at each word, and no part of it is ruled out."""
+        ok = np.ones(len(self.row), bool)
+        for k in range(2, size + 1):
+            longer = np.zeros(len(ok), bool)
+            n = max(len(ok) - k + 1, 0)
+            longer[:n] = ok[:n] & ok[1:n + 1] & (self.piece[:n] == self.piece[k - 1:])
+            if k - 2 < len(filters):
+                at = np.flatnonzero(longer)
+                longer[at] = passes(filters[k - 2], self.keys(k)[at])
+            ok = longer
+        return ok
+
+
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    slot = keys >> np.uint64(HASH_BITS - (len(bits) * 64).bit_length() + 1)
+    return ((bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
 
 
-def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(lang, w1 … w4): the window that begins at each word. Missing words after the end of a piece are empty."""
+def positions(batch: pa.RecordBatch) -> Iterator[tuple[Positions, int, int]]:
+    """The words of a batch (lang, text) in slices of rows."""
+    data, offsets = text_bytes(batch.column(1))
+    codes = batch.column(0).dictionary_encode()
+    seeds = np.array([int.from_bytes(str(v).encode("utf-8")[-64:], "big") % (1 << 61) for v in codes.dictionary.to_pylist()] or [0], np.uint64)
+    langs = mix(seeds)[codes.indices.to_numpy(zero_copy_only=False)] if len(codes) else np.zeros(0, np.uint64)
+    for lo, hi in slices(offsets):
+        yield Positions(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], langs[lo:hi]), lo, hi
+
+
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
-    text = lower_ascii(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    pieces = docs.select(lang.alias("lang"), text.alias("text")).select(
-        "lang", F.explode(F.split("text", "[.,;:!?\n-\r]")).alias("piece"))
-    words = (pieces.select("lang", F.btrim("piece", F.lit(" \t")).alias("piece")).where("piece <> ''")
-             .select("lang", F.split("piece", "[ \t]+").alias("w")))
-    lead = words.select("lang", F.inline(F.arrays_zip(
-        F.col("w").alias("w1"), *[F.slice("w", k, F.greatest(F.size("w") - (k - 1), F.lit(0))).alias(f"w{k}") for k in range(2, ORDER + 1)])))
-    return lead.select("lang", "w1", *[F.coalesce(f"w{k}", F.lit("")).alias(f"w{k}") for k in range(2, ORDER + 1)])
+    return in_small_batches(docs.select(lang.alias("lang"), F.col(text_col).cast("string").alias("text")))
+
+
+def frequent_filter(texts: DataFrame, size: int, filters: list[np.ndarray], least: int) -> np.ndarray:
+    """Bitmap of the hashes of phrases of ``size`` words that occur ``least`` times. It grows with their number up to 32 MB;
+    beyond that it lets more through."""
+    shared = texts.sparkSession.sparkContext.broadcast(filters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, _, _ in positions(batch):
+                at = np.flatnonzero(words.possible(size, shared.value))
+                key, n = np.unique(words.keys(size)[at], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n, pa.int64())], ["key", "n"])
+
+    counted = texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    keys = written(counted.where(F.col("n") >= least).select("key"), "frequent")
+    bits = min(max((keys.count() * BITS_PER_PHRASE).bit_length(), LEAST_FILTER), MOST_FILTER)
+    slots = keys.select(F.shiftright("key", HASH_BITS - bits).alias("slot"))
+    rows = (slots.groupBy(F.shiftright("slot", 6).alias("at"))
+            .agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 AS int)))").alias("bits")).toArrow())   # at most 2^(bits - 6) rows
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[rows["at"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def windows(texts: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """(lang, w1 … w4, n): the windows that begin at the words, counted per slice. Missing words are empty."""
+    shared = texts.sparkSession.sparkContext.broadcast(filters)
+    cols = [f"w{k}" for k in range(1, ORDER + 1)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, lo, _ in positions(batch):
+                n = len(words.row)
+                if not n:
+                    continue
+                codes = words.texts().dictionary_encode()
+                code = codes.indices.to_numpy()
+                lang = batch.column(0).dictionary_encode()
+                lead = {"lang": pa.array(lang.indices.to_numpy()[lo + words.row])}
+                for k, c in enumerate(cols):
+                    there = np.append(words.possible(k + 1, shared.value)[:n - k], np.zeros(min(k, n), bool))
+                    lead[c] = pa.array(code[np.where(there, np.minimum(np.arange(n) + k, n), n)])
+                found = pa.table({**lead, "n": pa.array(np.ones(n, np.int64))}).group_by(["lang", *cols], use_threads=False).aggregate([("n", "sum")])
+                shown = codes.dictionary.cast(pa.string())
+                yield pa.RecordBatch.from_arrays([
+                    lang.dictionary.take(found["lang"].combine_chunks()), *[shown.take(found[c].combine_chunks()) for c in cols],
+                    found["n_sum"].combine_chunks()], ["lang", *cols, "n"])
+
+    return texts.mapInArrow(run, "lang string, " + ", ".join(f"{c} string" for c in cols) + ", n bigint")
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
@@ -40,8 +156,11 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     The longest phrases are the full windows themselves; ROLLUP gives the shorter ones and the totals.
     """
+    texts, filters = _texts(docs, text_col, lang_col), []
+    for size in range(2, ORDER):
+        filters.append(frequent_filter(texts, size, filters, least))
     cols = [f"w{k}" for k in range(1, ORDER + 1)]
-    full = written(windows(docs, text_col, lang_col).groupBy("lang", *cols).agg(F.count(F.lit(1)).alias("f")), "windows")
+    full = written(windows(texts, filters).groupBy("lang", *cols).agg(F.sum("n").alias("f")), "windows")
     level = F.grouping_id()
     sums = full.rollup("lang", *cols[:-1]).agg(F.sum("f").alias("f"), level.alias("level"))
     sums = written(sums.where(((F.col("f") >= least) & (F.col("level") < 2 ** (ORDER - 1) - 1))
