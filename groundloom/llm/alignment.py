@@ -7,41 +7,51 @@ linked. Tasks align whole Arrow slices at once in numpy; counts of linked id pai
 
 from __future__ import annotations
 
-import os
+import hashlib
+import json
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.bpe import byte_characters, public_vocabulary, sha
+from groundloom.llm.bpe import byte_characters, public_vocabulary
 from groundloom.llm.common import checked_broadcast, in_small_batches, table, written
 
+# Fixed value of the byte-level vocabulary's format: the pieces of a text.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
 SLICE_CHARS = 250_000
 PAIR_BLOCK = 1 << 20
 BROADCAST_PAIRS = 2_000_000
 
 
 class ByteTokens:
-    """Byte-level BPE of the ``tokenizers`` library; special strings in a text are plain text."""
+    """Byte-level BPE of a ``tokenizers`` file, encoded by the ``tiktoken`` library; special strings in a text are plain text.
+
+    That library takes ranks for ids, which holds if the bytes come first and then the merges in order; other files are refused.
+    """
 
     def __init__(self, spec: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(spec.decode("utf-8"))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = True
+        read = json.loads(spec)
         of = {c: bytes([b]) for b, c in enumerate(byte_characters())}
-        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.bytes = [b""] * (max(vocab.values()) + 1)
-        for token, i in vocab.items():
-            self.bytes[i] = b"".join([of.get(c) or c.encode("utf-8") for c in token])
+        special = {t["content"]: t["id"] for t in read.get("added_tokens", [])}
+        ranks = {b"".join([of[c] for c in token]): i for token, i in read["model"]["vocab"].items() if token not in special}
+        merges = [m if isinstance(m, list) else m.split(" ") for m in read["model"]["merges"]]
+        order = [read["model"]["vocab"][a + b] for a, b in merges]
+        if order != sorted(order) or read.get("normalizer") or read["pre_tokenizer"]["type"] != "ByteLevel":
+            raise ValueError("not a byte-level vocabulary in the order of its merges")
+        self.encoding = tiktoken.Encoding("bytes", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+        self.bytes = [b""] * (max([*ranks.values(), *special.values()]) + 1)
+        for token, i in [*ranks.items(), *[(t.encode("utf-8"), i) for t, i in special.items()]]:
+            self.bytes[i] = token
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        return [self.encoding.encode_ordinary(" " + t) for t in texts]
 
 
 class PieceTokens:
@@ -79,7 +89,7 @@ class Aligned:
         begin = np.append(0, np.cumsum(np.array(sizes, np.int64)))
         self.token, start, end = [], [], []
         for side, width in zip(ids, lengths):
-            token = np.fromiter((i for one in side for i in one), np.int64, sum(map(len, side)))
+            token = np.fromiter(chain.from_iterable(side), np.int64, sum(map(len, side)))
             stop = np.cumsum(width[token])
             self.token.append(token)
             end.append(stop)
@@ -138,22 +148,30 @@ class Aligned:
             yield i, j
             i = j
 
-    def written(self, decimal: tuple[list[str], list[str]], docs: int) -> list[str]:
-        """``a1,a2|b1;a3|b2`` of each text."""
-        na = len(self.token[0])
-        token = np.concatenate(self.token)
-        group = np.concatenate(self.group)
-        order = np.lexsort((np.arange(len(token)) >= na, group))         # stable: positions keep their order
-        side = (order >= na).astype(np.int64)
-        last = np.append(group[order][1:] != group[order][:-1], True) if len(order) else np.zeros(0, bool)
-        turn = np.append(side[1:] != side[:-1], False) if len(order) else last
-        mark = np.where(last, 2, np.where(turn, 1, 0))
-        size = max(map(len, decimal))
-        codes = ((side * 3 + mark) * size + token[order]).tolist()
-        shown = [d[i] + m if i < len(d) else "" for d in decimal for m in (",", "|", ";") for i in range(size)]
-        texts = [shown[c] for c in codes]
-        ends = np.cumsum(self.n[0] + self.n[1]).tolist()
-        return ["".join(texts[i:j])[:-1] for i, j in zip([0, *ends], ends)][:docs]
+    def written(self, decimal: tuple[np.ndarray, np.ndarray]) -> list[bytes]:
+        """``a1,a2|b1;a3|b2`` of each text.
+
+        ``decimal`` has the digits of each id of a side in a row, filled up with 0, with room for the mark behind them.
+        """
+        before = [np.cumsum(self.count[1]) - self.count[1], np.cumsum(self.count[0])]     # tokens of the other side that come first
+        place = [np.arange(len(t)) + b[g] for t, b, g in zip(self.token, before, self.group)]
+        mark = np.full(len(place[0]) + len(place[1]), ord(","), np.uint8)
+        out = np.zeros((len(mark), decimal[0].shape[1]), np.uint8)
+        for p, t, d, g, m in zip(place, self.token, decimal, self.group, "|;"):
+            out[p] = d[t]
+            mark[p[np.append(g[1:] != g[:-1], True)] if len(p) else p] = ord(m)
+        width = (out > 0).sum(1)
+        out[np.arange(len(out)), width] = mark
+        stop = np.cumsum(width + 1)
+        flat = out[out > 0].tobytes()
+        ends = np.append(0, stop)[np.append(0, np.cumsum(self.n[0] + self.n[1]))].tolist()
+        return [flat[i:max(j - 1, i)] for i, j in zip(ends, ends[1:])]
+
+
+def decimals(size: int) -> np.ndarray:
+    """The digits of each number below ``size`` in a row of bytes, with at least one 0 behind them."""
+    width = len(str(size)) + 1
+    return np.frombuffer(b"".join([str(i).encode().ljust(width, b"\0") for i in range(size)]), np.uint8).reshape(size, width)
 
 
 def summed(pair: np.ndarray, doc: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,22 +216,20 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", id_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides = ByteTokens(shared.value[0]), PieceTokens(shared.value[1])
         lengths = tuple(np.array([len(b) for b in s.bytes], np.int64) for s in sides)
-        decimal = tuple([str(i) for i in range(len(s.bytes))] for s in sides)
         width = max(len(s.bytes) for s in sides)
+        decimal = tuple(decimals(width)[:len(s.bytes)] for s in sides)
         for batch in batches:
             at = 0
             for texts in _slices(batch.column(2)):
                 ids = tuple(s.encode(texts) for s in sides)
                 spelled = [(" " + t).encode("utf-8") if t else b"" for t in texts]
                 for i, want in enumerate(spelled):
-                    if not want or any(b"".join([s.bytes[k] for k in one[i]]) != want for s, one in zip(sides, ids)):
+                    if not want or any(b"".join(map(s.bytes.__getitem__, one[i])) != want for s, one in zip(sides, ids)):
                         ids[0][i], ids[1][i], spelled[i] = [], [], b""
                 found = Aligned(ids, lengths, [len(t) for t in spelled])
                 n = len(texts)
                 links = np.bincount(found.doc, found.count[0] * found.count[1], minlength=n).astype(np.int64)
-                groups = found.written(decimal, n)
-                if digests:
-                    groups = [sha(g) if g else "" for g in groups]
+                groups = [hashlib.sha256(g).hexdigest() if g and digests else g.decode() for g in found.written(decimal)]
                 done = 0
                 for doc, pair, count in [*found.links(n, width), (np.array([n - 1]), np.zeros(0, np.int64), np.zeros(0, np.int64))]:
                     upto = int(doc[-1]) + 1                     # texts after the last without pairs come with the next range
