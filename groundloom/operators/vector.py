@@ -10,10 +10,14 @@ cells whose centre lies inside, as (y, x0, x1).
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from groundloom.functions.indices import as_col
 from groundloom.functions.names import geo_tile_name
@@ -21,6 +25,7 @@ from groundloom.scale import attach, running_totals
 from groundloom.session import checkpointed
 
 RUN_BLOCK = 256
+CROSSINGS = 1_000_000                            # of edges with grid rows that a task holds at once
 
 
 def points_from_lonlat(df: DataFrame, x: str = "lon", y: str = "lat", out: str = "point") -> DataFrame:
@@ -214,23 +219,88 @@ def tile_burst_map(tiles: DataFrame, bursts: DataFrame, burst: str = "burst_id",
 
 # ---- coverings -----------------------------------------------------------------------------
 
+def _row_from(y: np.ndarray, size: float) -> np.ndarray:
+    """The first grid row whose centre is not below ``y``, exact also where the division rounds."""
+    near = np.ceil(y / size - 0.5)
+    near -= (near - 0.5) * size >= y
+    return near + ((near + 0.5) * size < y)
+
+
+class RingEdges:
+    """The edges of a batch of polygons that cross the centre line of any grid row, in the order of the polygons."""
+
+    def __init__(self, rings: pa.Array, size: float):
+        count = pc.fill_null(pc.list_value_length(rings), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = rings.flatten()
+        x, y = (pc.struct_field(flat, n).to_numpy(zero_copy_only=False).astype(float) for n in ("x", "y"))
+        poly = np.repeat(np.arange(len(count)), count)
+        stop = np.cumsum(count)
+        after = np.arange(1, len(x) + 1)
+        ends = count > 0
+        after[stop[ends] - 1] = (stop - count)[ends]                # the last vertex is joined with the first
+        low, high = np.minimum(y, y[after]), np.maximum(y, y[after])
+        first, last = _row_from(low, size), _row_from(high, size) - 1
+        kept = np.flatnonzero((first <= last) & ~np.isnan(x + x[after]))          # NULL between rings has no number
+        self.size, self.poly = size, poly[kept]
+        self.first, self.last = first[kept].astype(np.int64), last[kept].astype(np.int64)
+        self.x, self.y, self.dx, self.dy = x[kept], y[kept], (x[after] - x)[kept], (y[after] - y)[kept]
+
+    def runs(self, part: slice, low: int | None = None, high: int | None = None) -> tuple[np.ndarray, ...]:
+        """(polygon, y, x0, x1) of the runs that some edges bound, in rows ``low`` to ``high``: sorted crossings in pairs."""
+        first, last = self.first[part], self.last[part]
+        if low is not None:
+            first, last = np.maximum(first, low), np.minimum(last, high)
+        rows = np.maximum(last - first + 1, 0)
+        of = np.repeat(np.arange(len(rows)), rows)
+        y = np.arange(len(of)) - np.repeat(np.cumsum(rows) - rows, rows) + first[of]
+        x = self.x[part][of] + self.dx[part][of] * ((y + 0.5) * self.size - self.y[part][of]) / self.dy[part][of]
+        poly = self.poly[part][of]
+        order = np.lexsort((x, y, poly))
+        poly, y, cell = poly[order], y[order], np.ceil(x[order] / self.size - 0.5).astype(np.int64)
+        place = np.arange(len(order))
+        new = np.ones(len(order), bool)
+        new[1:] = (poly[1:] != poly[:-1]) | (y[1:] != y[:-1])
+        paired = (place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0
+        lead = np.flatnonzero(paired[:-1] & ~new[1:])               # a ring that is not closed may leave one over
+        lead = lead[cell[lead] < cell[lead + 1]]
+        return poly[lead], y[lead], cell[lead], cell[lead + 1] - 1
+
+    def pieces(self, limit: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Runs of some polygons at a time, about ``limit`` crossings; a larger polygon goes band by band."""
+        upto = np.cumsum(self.last - self.first + 1)
+        heads = np.flatnonzero(np.append(True, self.poly[1:] != self.poly[:-1])) if len(upto) else np.zeros(0, np.int64)
+        stops = np.append(heads[1:], len(upto))
+        i = 0
+        while i < len(heads):
+            done = upto[heads[i] - 1] if heads[i] else 0
+            j = max(int(np.searchsorted(upto[stops - 1], done + limit, "right")), i + 1)
+            part = slice(heads[i], stops[j - 1])
+            total = int(upto[stops[j - 1] - 1] - done)
+            low, high = int(self.first[part].min()), int(self.last[part].max())
+            step = max((high - low + 1) * limit // total, 1) if total > limit else high - low + 1
+            for start in range(low, high + 1, step):
+                yield self.runs(part, start, start + step - 1)
+            i = j
+
+
 def cover_runs(polys: DataFrame, size: float, keys: Sequence[str], ring: str = "ring") -> DataFrame:
-    """Runs of cells with their centre inside the polygon, per grid row; no shuffle."""
-    box = ring_bounds(F.col(ring))
-    rows = (polys.select(*keys, ring, F.ceil(box["ymin"] / size - 0.5).alias("_y0"),
-                         (F.ceil(box["ymax"] / size - 0.5) - 1).alias("_y1")).where("_y0 <= _y1")
-            .withColumn("y", F.explode(F.sequence("_y0", "_y1"))))
-    at = (F.col("y") + 0.5) * float(size)
-    cuts = F.sort_array(F.transform(F.filter(edges(F.col(ring)), lambda e: _crosses_line(e, at)),
-                                    lambda e: _x_at(e, at)))
-    rows = rows.select(*keys, "y", cuts.alias("_cuts")).where(F.size("_cuts") >= 2)
-    runs = rows.withColumn("_k", F.explode(F.sequence(F.lit(1), F.size("_cuts") - 1, F.lit(2))))
+    """Runs of cells with their centre inside the polygon, per grid row; no shuffle.
+
+    Scan conversion by edges: each edge gives its crossing with the centre line of every grid row that it spans. Sorted by polygon,
+    row and place, the crossings follow one another in pairs, and each pair bounds a run. No ring is copied; the work
+    is the number of edges times the rows they span, in numpy over whole Arrow batches, ``CROSSINGS`` at a time.
+    """
+    source = polys.select(*keys, F.col(ring).alias("_ring"))
+    names, limit = [*keys, "y", "x0", "x1"], CROSSINGS
+    schema = StructType([*source.schema.fields[:-1], *[StructField(n, LongType()) for n in names[-3:]]])
 
-    def first_cell(k: Column) -> Column:
-        return F.ceil(F.element_at("_cuts", k) / float(size) - 0.5)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for poly, y, x0, x1 in RingEdges(batch.column(batch.num_columns - 1), float(size)).pieces(limit):
+                at = pa.array(poly)
+                yield pa.RecordBatch.from_arrays([*[c.take(at) for c in batch.columns[:-1]], *map(pa.array, (y, x0, x1))], names)
 
-    return (runs.select(*keys, "y", first_cell(F.col("_k")).alias("x0"), (first_cell(F.col("_k") + 1) - 1).alias("x1"))
-            .where("x0 <= x1"))
+    return source.mapInArrow(run, schema)
 
 
 def cells_of(runs: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -292,6 +362,51 @@ def overlap_ratio(runs: DataFrame, key: str) -> DataFrame:
     return attach(shared, own, [key]).select(key, "other", (F.col("_shared") / F.col("_own")).alias("ratio"))
 
 
+def _meeting(cut: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """Pieces of ``cut`` that overlap pieces (_u0, _u1) of ``other`` in a block, with the overlap as x0, x1."""
+    both = cut.join(other, on).where((F.col("x0") <= F.col("_u1")) & (F.col("_u0") <= F.col("x1")))
+    return both.withColumns({"x0": F.greatest("x0", "_u0"), "x1": F.least("x1", "_u1")}).drop("_u0", "_u1")
+
+
+def containment_candidates(runs: DataFrame, key: str, threshold: float = 0.95) -> DataFrame:
+    """Pairs (``key``, other) of different frames among which are all that cover more than ``threshold`` of ``key``.
+
+    A frame that covers so much leaves out less than a share 1 - threshold of the cells, hence holds one of any
+    floor((1 - threshold) * cells) + 1 of them. The rarest cells of each frame, those that the fewest frames cover, are taken for
+    that and joined with all runs; a frame too small to cover the share is left out as well.
+    """
+    own = checkpointed(runs.groupBy(key).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_own")))
+    cut = _in_blocks(runs)
+    depth = _segments(runs, [], F.lit(0).cast("bigint")).select("y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"), "n")
+    rarest = Window.partitionBy(key).orderBy("n", "y", "x0").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = attach(_meeting(cut, depth, ["y", "xb"]), own, [key])
+    need = F.floor((1 - threshold) * F.col("_own")) + 1 - F.coalesce(F.sum(F.col("x1") - F.col("x0") + 1).over(rarest), F.lit(0))
+    prefix = (pieces.withColumn("_need", need).where("_need > 0 AND n > 1")               # alone in a cell: nobody to meet
+              .withColumn("x1", F.least("x1", F.col("x0") + F.col("_need") - 1)))
+    other = attach(cut, own, [key]).select(F.col(key).alias("other"), "y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"),
+                                           F.col("_own").alias("_size"))
+    met = _meeting(prefix.select(key, "_own", "y", "xb", "x0", "x1"), other, ["y", "xb"])
+    return met.where((F.col("other") != F.col(key)) & (F.col("_size") > threshold * F.col("_own"))).select(key, "other").distinct()
+
+
+def containment(runs: DataFrame, key: str, threshold: float = 0.95) -> DataFrame:
+    """(``key``, other, ratio) where ``other`` covers more than ``threshold`` of ``key``, each frame itself included.
+
+    The result is that of :func:`overlap_ratio` above the threshold; only the candidates of :func:`containment_candidates` are
+    counted. ``runs`` must be disjoint per frame.
+    """
+    pairs = checkpointed(containment_candidates(runs, key, threshold))
+    cut = _in_blocks(runs)
+    mine = attach(cut, pairs, [key])
+    other = cut.select(F.col(key).alias("other"), "y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"))
+    shared = (_meeting(mine, other, ["other", "y", "xb"]).groupBy(key, "other")
+              .agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_shared")))
+    own = runs.groupBy(key).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_own"))
+    ratios = attach(shared, own, [key]).select(key, "other", (F.col("_shared") / F.col("_own")).alias("ratio"))
+    return (ratios.where(F.col("ratio") > threshold)
+            .unionByName(own.select(key, F.col(key).alias("other"), F.lit(1.0).alias("ratio"))))
+
+
 def merge_neighbors(ratios: DataFrame, key: str, threshold: float = 0.95) -> DataFrame:
     """Membership (``group_id``, frame) after merging frames that cover each other.
 
@@ -374,7 +489,7 @@ def skim_granules(aoi: DataFrame, granules: DataFrame, size: float, scene: str =
     shapes = checkpointed(equal_coverings(runs, "_frame"))
     shape_runs = attach(runs, shapes.where("shape = _frame").select("_frame"), ["_frame"], "left_semi")
     shape_runs = shape_runs.withColumnRenamed("_frame", "shape")
-    groups = checkpointed(merge_neighbors(overlap_ratio(shape_runs, "shape"), "shape", threshold))
+    groups = checkpointed(merge_neighbors(containment(shape_runs, "shape", threshold), "shape", threshold))
     members = attach(shapes, groups, ["shape"]).select("group_id", "_frame")
     grouped = dissolve(attach(shape_runs, groups, ["shape"]).drop("shape"), ["group_id"])
     areas = checkpointed(exclusive_overlap(grouped, cover_runs(aoi, size, [], ring), "group_id", size))

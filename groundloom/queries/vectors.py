@@ -146,6 +146,14 @@ def _(t: Tables):
     return ops.overlap_ratio(_foot_runs(t), "id").withColumn("ratio", rounded("ratio", 9))
 
 
+@query("containment", """
+SELECT a.id, b.id AS other, ROUND((LEAST(a.xmax, b.xmax) - GREATEST(a.xmin, b.xmin)) * (LEAST(a.ymax, b.ymax) - GREATEST(a.ymin, b.ymin))
+ / 10000, 9) AS ratio FROM v_foot a JOIN v_foot b ON a.xmin < b.xmax AND b.xmin < a.xmax AND a.ymin < b.ymax AND b.ymin < a.ymax
+WHERE (LEAST(a.xmax, b.xmax) - GREATEST(a.xmin, b.xmin)) * (LEAST(a.ymax, b.ymax) - GREATEST(a.ymin, b.ymin)) > 7000""", ("v_foot",))
+def _(t: Tables):
+    return ops.containment(_foot_runs(t), "id", 0.7).withColumn("ratio", rounded("ratio", 9))
+
+
 def _twins(t: Tables):
     """Every footprint twice, the second time shifted a little."""
     feet = t.view("v_foot")
@@ -158,7 +166,7 @@ def _twins(t: Tables):
 @query("merge_neighbors", "SELECT id * 2 AS leader, CAST(2 AS BIGINT) AS members FROM v_foot", ("v_foot",))
 def _(t: Tables):
     _, runs = _twins(t)
-    groups = ops.merge_neighbors(ops.overlap_ratio(runs, "frame"), "frame")
+    groups = ops.merge_neighbors(ops.containment(runs, "frame"), "frame")
     return groups.groupBy("group_id").agg(F.min("frame").alias("leader"), F.count(F.lit(1)).alias("members")).drop("group_id")
 
 
@@ -167,7 +175,7 @@ SELECT CAST(id % 7 AS INT) AS pathNumber, CAST(k + 1 AS BIGINT) AS position, id
 CAST(6 AS BIGINT) AS num_granules FROM v_foot, (SELECT unnest([0, 1]) AS k)""", ("v_foot",))
 def _(t: Tables):
     both, runs = _twins(t)
-    groups = ops.merge_neighbors(ops.overlap_ratio(runs, "frame"), "frame")
+    groups = ops.merge_neighbors(ops.containment(runs, "frame"), "frame")
     frames = both.select("frame", (F.floor(F.col("frame") / 2) % 7).cast("int").alias("pathNumber"), F.lit(3).alias("num_granules"),
                          F.col("frame").alias("frameNumber"))
     return ops.merged_frames(groups, frames, "frame").drop("group_id")

@@ -3,6 +3,8 @@
 import math
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +166,44 @@ def test_utm_tiles_cover_the_area(spark):
         assert any(t.xmin <= p.x <= t.xmax and t.ymin <= p.y <= t.ymax for t in tiles)
     ring = spark.createDataFrame([(1, corners)], SCHEMA).select(reproject_ring("ring", 4326, 32718).alias("r")).first().r
     assert [(v.x, v.y) for v in ring] == [(p.x, p.y) for p in pts]
+
+
+def test_scan_conversion_of_edges_matches_the_centres(spark, monkeypatch):
+    """Notches, a hole, a point, a NULL ring; in one go and cut into pieces and bands of rows."""
+    rng = np.random.default_rng(11)
+    shapes = {1: [(0.3, 0.2), (9.7, 0.4), (9.1, 9.9), (5.0, 2.5), (0.8, 9.2)],
+              2: [(0, 0), (12, 0), (12, 12), (0, 12), (0, 0), None, (3, 3), (3, 9), (9, 9), (9, 3), (3, 3), None],
+              3: [(4, 4)], 4: None, 5: [(-7.5, -3.5), (40.5, -3.5), (40.5, 30.5), (-7.5, 30.5)],
+              6: [tuple(map(float, p)) for p in rng.uniform(-5, 25, (9, 2))]}
+    df = spark.createDataFrame([(i, r and [p and tuple(map(float, p)) for p in r]) for i, r in shapes.items()],
+                               "id int, ring array<struct<x:double,y:double>>")
+
+    def inside(ring, x, y):
+        odd = False
+        for p, q in zip(ring, ring[1:] + ring[:1]):
+            if p and q and (p[1] > y) != (q[1] > y) and x < p[0] + (q[0] - p[0]) * (y - p[1]) / (q[1] - p[1]):
+                odd = not odd
+        return odd
+
+    want = sorted((i, x, y) for i, r in shapes.items() if r for x in range(-12, 45) for y in range(-8, 35) if inside(r, x + 0.5, y + 0.5))
+    for limit in (1_000_000, 50, 3):
+        monkeypatch.setattr(vector, "CROSSINGS", limit)
+        assert sorted(map(tuple, vector.cover_cells(df, 1.0, ["id"]).collect())) == want
+    assert vector.cover_cells(df.limit(0), 1.0, ["id"]).collect() == []
+
+
+def test_containment_forms_few_pairs(spark):
+    """5,000 distinct frames over one place: the same result as all pairs, from a small part of them."""
+    n = 5_000
+    rng = np.random.default_rng(4)
+    x, y = rng.integers(0, 30, n), rng.integers(0, 30, n)
+    w, h = rng.integers(10, 30, n), rng.integers(10, 30, n)
+    runs = spark.createDataFrame(pd.DataFrame({"frame": np.arange(n), "x": x, "y": y, "w": w, "h": h})).selectExpr(
+        "frame", "explode(sequence(y, y + h - 1)) AS y", "x AS x0", "x + w - 1 AS x1")
+    candidates = vector.containment_candidates(runs, "frame").count()
+    got = {(r["frame"], r["other"]) for r in vector.containment(runs, "frame").collect()}
+    shared = (np.clip(np.minimum.outer(x + w, x + w) - np.maximum.outer(x, x), 0, None)
+              * np.clip(np.minimum.outer(y + h, y + h) - np.maximum.outer(y, y), 0, None))
+    want = set(zip(*np.nonzero(shared > 0.95 * (w * h)[:, None])))
+    assert got == {(int(a), int(b)) for a, b in want}
+    assert candidates < 0.25 * (shared > 0).sum()
