@@ -44,6 +44,21 @@ def checked_broadcast(df: DataFrame, max_rows: int = LOOKUP_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def hash_sample(rows: DataFrame, of: Column, wanted: int, total: int | None = None) -> DataFrame:
+    """About ``wanted`` of the rows, chosen by the hash of ``of``; of a table with rows at least those of the least hash.
+
+    All 63 bits of the hash are compared, so the share may be as small as the table is large.
+    """
+    place = F.xxhash64(of).bitwiseAND(F.lit((1 << 63) - 1))
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least")).first()
+    return rows.where(place <= hash_limit(wanted, seen["n"] if total is None else total, seen["least"] or 0))
+
+
+def hash_limit(wanted: int, total: int, least: int = 0) -> int:
+    """The largest of the 63-bit hashes that about ``wanted`` of ``total`` rows do not exceed, but no less than ``least``."""
+    return max(min((wanted << 63) // max(total, 1), (1 << 63) - 1), least)
+
+
 def text_key(text: Column) -> Column:
     """16-byte key of a text; null for null."""
     return F.unhex(F.md5(text))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import checked_broadcast, in_small_batches, table, written
+from groundloom.llm.common import checked_broadcast, hash_sample, in_small_batches, table, written
 from groundloom.llm.words import Words, mix, shingles, slices, text_bytes
 
 SAMPLE_LABELS = 20_000     # labelled documents, about, on which the evidence is fitted
@@ -178,8 +178,7 @@ def _logit(p):
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int) -> DataFrame:
     """(text, low, toxic, copy) of about ``sample`` labelled documents, chosen by the hash of the id, one of each group of copies."""
-    share = min(1.0, sample / max(labels.count(), 1))
-    chosen = labels.where(F.pmod(F.xxhash64("doc"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = hash_sample(labels, F.col("doc"), sample)
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
     rows = rows.join(checked_broadcast(written(chosen, "chosen")), "doc")
     key = F.arrow_udf(_copy_key, "bigint")

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundloom.llm.common import checked_broadcast, table, written
+from groundloom.llm.common import checked_broadcast, hash_sample, table, written
 
 SAMPLE_URLS = 50_000       # labelled urls, about, on which the trees are fitted
 TREES, DEPTH = 20, 4
@@ -17,8 +17,8 @@ PRIOR_URLS = 20.0          # weight, in urls, of the overall rate in the rate of
 # Fixed values: (host, path, verdict).
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
          ("com", "/fr/", "allow"), ("com", "/de/", "block")]
-FEATURES = ["length", "host_length", "path_length", "depth", "labels", "digits", "signs", "entropy", "parameters",
-            "query_length", "suffix_rate", "domain_rate"]
+FEATURES = [f"_f_{name}" for name in ("length", "host_length", "path_length", "depth", "labels", "digits", "signs", "entropy", "parameters",
+            "query_length", "suffix_rate", "domain_rate")]
 
 
 def ascii_lower(c: Column) -> Column:
@@ -54,12 +54,12 @@ def lexical(rows: DataFrame) -> DataFrame:
         (F.length(u) - F.length(F.replace(u, c, F.lit("")))) / n * F.log2((F.length(u) - F.length(F.replace(u, c, F.lit("")))) / n)))
     labels = F.split("_host", r"\.")
     return rows.select(
-        "*", F.length(u).alias("length"), F.length("_host").alias("host_length"), F.length("_path").alias("path_length"),
-        F.size(F.filter(F.split("_path", "/"), lambda s: s != "")).alias("depth"), F.size(labels).alias("labels"),
-        (F.length(F.regexp_replace(u, "[^0-9]", "")) / n).alias("digits"),
-        (F.length(F.regexp_replace(u, "[A-Za-z0-9]", "")) / n).alias("signs"), entropy.alias("entropy"),
-        F.when(F.length("_query") == 0, 0).otherwise(F.size(F.split("_query", "&"))).alias("parameters"),
-        F.length("_query").alias("query_length"),
+        "*", F.length(u).alias("_f_length"), F.length("_host").alias("_f_host_length"), F.length("_path").alias("_f_path_length"),
+        F.size(F.filter(F.split("_path", "/"), lambda s: s != "")).alias("_f_depth"), F.size(labels).alias("_f_labels"),
+        (F.length(F.regexp_replace(u, "[^0-9]", "")) / n).alias("_f_digits"),
+        (F.length(F.regexp_replace(u, "[A-Za-z0-9]", "")) / n).alias("_f_signs"), entropy.alias("_f_entropy"),
+        F.when(F.length("_query") == 0, 0).otherwise(F.size(F.split("_query", "&"))).alias("_f_parameters"),
+        F.length("_query").alias("_f_query_length"),
         F.element_at(labels, -1).alias("_suffix"), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")
         .alias("_domain"))
 
@@ -95,17 +95,18 @@ def judged(urls: DataFrame, url_col: str = "url", rules: list[tuple[str, str, st
     rates = {k: checked_broadcast(written(suffix_rates(labelled, k, base), "suffixes")) for k in ("_suffix", "_domain")}
 
     def featured(df: DataFrame) -> DataFrame:
-        for k, name in (("_suffix", "suffix_rate"), ("_domain", "domain_rate")):
+        for k, name in (("_suffix", "_f_suffix_rate"), ("_domain", "_f_domain_rate")):
             df = df.join(rates[k].withColumnRenamed("rate", name), k, "left").fillna({name: base})
         return df
 
-    share = int(min(1.0, sample / every) * (1 << 20))
-    part = labelled.where(F.pmod(F.xxhash64("_u"), F.lit(1 << 20)) < share).select(
-        "_suffix", "_domain", "label", *FEATURES[:-2])
+    # each verdict has its own sample, in proportion and of at least one url
+    part = None
+    for verdict, n in sorted(totals.items()):
+        one = hash_sample(labelled.where(F.col("_by_rule") == verdict), F.col("_u"), max(sample * n // every, 1), n)
+        part = one if part is None else part.unionByName(one)
+    part = part.select("_suffix", "_domain", "label", *FEATURES[:-2])
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="_features")
     train = vectors.transform(written(featured(part).select("label", *FEATURES), "labelled")).select("label", "_features")
-    if train.select("label").distinct().count() < 2:          # a very small sample may miss a verdict
-        train = vectors.transform(featured(labelled)).select("label", "_features")
     trees = GBTClassifier(featuresCol="_features", labelCol="label", predictionCol="_blocked", maxIter=TREES,
                           maxDepth=DEPTH, seed=1)
     model = trees.setProbabilityCol("_p").setRawPredictionCol("_raw").fit(train)
