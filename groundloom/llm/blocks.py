@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 from groundloom.llm.common import in_small_batches, table
 from groundloom.llm.words import Words
 
+PATH_TOKENS = 64            # the innermost tag and class names of a block's path
 PATH_BUCKETS, WORD_BUCKETS, MEASURES = 1024, 64, 6
 INPUTS = PATH_BUCKETS + WORD_BUCKETS + MEASURES
 HIDDEN = 16
 TRAIN_PAGES = 300
-TRAIN_BLOCKS = 60          # longer pages are not used for training
+TRAIN_BLOCKS = 60          # blocks of a training window; longer pages are cut into windows
 VARIANTS = 4               # of each training page, besides itself
 EPOCHS, BATCH, RATE = 8, 32, 0.01
 CELLS = 20_000             # blocks, with padding, that go through the network at a time
@@ -37,6 +38,10 @@ BLOCK_TAGS = set("""address article aside blockquote body caption center dd deta
  search section select summary table tbody td template textarea tfoot th thead title tr ul""".split())
 VOID_TAGS = set("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN_TAGS = set("script style noscript template svg head title iframe object canvas math audio video".split())
+# Tags that end where the key begins, as their end tags may be left out.
+CLOSED_BY = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "dt": ("dt", "dd"), "dd": ("dt", "dd"),
+             "option": ("option",), "optgroup": ("option", "optgroup"), "thead": ("caption",),
+             "tbody": ("td", "th", "tr", "thead", "tbody", "caption"), "tfoot": ("td", "th", "tr", "thead", "tbody", "caption")}
 MAIN_NAMES = "article main content post entry story".split()
 OTHER_NAMES = """nav menu header footer aside sidebar ad ads advert advertisement sponsor promo banner cookie consent notice
  alert popup modal comments comment reply respond related recommended share social newsletter subscribe form login search
@@ -52,7 +57,7 @@ class PageReader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple[str, tuple[str, ...], int]] = []
-        self.path: list[tuple[str, tuple[str, ...]]] = []
+        self.path: list[tuple[str, tuple[str, ...]]] = []      # tag and the tokens of the path down to it
         self.text: list[str] = []
         self.linked = self.links = 0
         self.unseen: list[str] = []
@@ -60,7 +65,7 @@ class PageReader(HTMLParser):
     def end_block(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.blocks.append((text, tuple(t for _, ts in self.path for t in ts), min(self.linked, len(text))))
+            self.blocks.append((text, self.path[-1][1] if self.path else (), min(self.linked, len(text))))
         self.text, self.linked, self.links = [], 0, 0
 
     def handle_starttag(self, tag, attrs):
@@ -79,13 +84,14 @@ class PageReader(HTMLParser):
             return
         if self.path and self.path[-1][0] == "p":     # a paragraph ends where the next block begins
             self.path.pop()
-        if tag == "li" and self.path and self.path[-1][0] == "li":
+        while self.path and self.path[-1][0] in CLOSED_BY.get(tag, ()):
             self.path.pop()
         names = [tag]
         for key, value in attrs:
             if key in ("class", "id", "role") and value:
                 names += _NAME.findall(value.lower())
-        self.path.append((tag, tuple(names)))
+        above = self.path[-1][1] if self.path else ()
+        self.path.append((tag, (*above, *names)[-PATH_TOKENS:]))
 
     def handle_endtag(self, tag):
         if tag in self.unseen:
@@ -305,7 +311,7 @@ def train(pages: list[list], seed: int = 5) -> Labeller:
     of its start, so callers need pages that name their article."""
     rng = np.random.default_rng(seed)
     data = []
-    spare = [b[0] for p in pages for b in p if weak_label(b[1]) == 1][:5_000]
+    spare = [b[0] for p in pages for b in p if weak_label(b[1]) == 1]
     for blocks in pages:
         marks = [weak_label(path) for _, path, _ in blocks]
         if 1 in marks:                                # the page names its article: what is outside is none
@@ -352,13 +358,30 @@ def main_texts(model: Labeller, htmls: list[str]) -> list[str]:
     return out
 
 
+def window_of(blocks: list, seed: int) -> list:
+    """``TRAIN_BLOCKS`` consecutive blocks of a page, or all if it has fewer. A window of a longer page holds the begin or the end
+    of a named article where there is one, so training sees both sides of its borders."""
+    if len(blocks) <= TRAIN_BLOCKS:
+        return blocks
+    rng = np.random.default_rng(seed & 0x7FFFFFFF)
+    marks = np.array([weak_label(path) == 1 for _, path, _ in blocks])
+    borders = np.flatnonzero(marks[1:] != marks[:-1]) + 1
+    middle = int(rng.choice(borders)) if len(borders) else int(rng.integers(len(blocks)))
+    begin = min(max(middle - int(rng.integers(TRAIN_BLOCKS // 4, 3 * TRAIN_BLOCKS // 4)), 0), len(blocks) - TRAIN_BLOCKS)
+    return blocks[begin:begin + TRAIN_BLOCKS]
+
+
 def fitted(pages: DataFrame, id_col: str, html_col: str, count: int = TRAIN_PAGES) -> Labeller:
-    """A labeller trained by the driver on ``count`` pages, chosen by the hash of their id among those of at most
-    ``TRAIN_BLOCKS`` blocks; they are the only pages that reach it."""
+    """A labeller trained by the driver on a window of each of ``count`` pages, chosen by the hash of their id; no more reaches it.
+
+    Pages of any length take part. If pages were read but none of them names its article, there is nothing to learn
+    from, which is an error.
+    """
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [read_blocks(h or "") for h in batch.column(1).to_pylist()]
-            keep = [i for i, f in enumerate(found) if 0 < len(f) <= TRAIN_BLOCKS]
+            seeds = batch.column(0).to_pylist()
+            found = [window_of(read_blocks(h or ""), seed) for seed, h in zip(seeds, batch.column(1).to_pylist())]
+            keep = [i for i, f in enumerate(found) if f]
             rows = [[{"text": t, "path": list(p), "linked": n} for t, p, n in found[i]] for i in keep]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(keep, pa.int64())), pa.array(rows, pa.list_(pa.struct(
@@ -369,7 +392,10 @@ def fitted(pages: DataFrame, id_col: str, html_col: str, count: int = TRAIN_PAGE
     rows = pages.select(key.alias("h"), F.col(html_col).cast("string").alias("html")).join(F.broadcast(chosen), "h")
     found = in_small_batches(rows).mapInArrow(blocks, "id bigint, blocks array<struct<text:string,path:array<string>,linked:int>>")
     found = found.orderBy("id").limit(count).collect()
-    return train([[(b["text"], tuple(b["path"]), b["linked"]) for b in r["blocks"]] for r in found])
+    windows = [[(b["text"], tuple(b["path"]), b["linked"]) for b in r["blocks"]] for r in found]
+    if windows and not any(weak_label(path) == 1 for w in windows for _, path, _ in w):
+        raise ValueError("no page names its article by an <article> or <main> element")
+    return train(windows)
 
 
 def extract(pages: DataFrame, model: Labeller, html_col: str = "html", out: str = "text") -> DataFrame:
