@@ -120,12 +120,32 @@ def draw_matrix(model: LogitModel, n: int = 2000, seed: int = 7) -> np.ndarray:
     return np.random.default_rng(seed).multivariate_normal(model.coefficients, model.covariance, size=n)
 
 
+def standard_normal(draw: Column, term: int, seed: int) -> Column:
+    """A standard normal number that depends on seed, draw and term only: two parts of an MD5, made normal by Box-Muller."""
+    word = F.md5(F.concat_ws(":", F.lit(str(seed)), draw.cast("string"), F.lit(str(term))))
+
+    def uniform(begin: int) -> Column:
+        return (F.conv(F.substring(word, begin, 8), 16, 10).cast("double") + 0.5) / 2.0 ** 32
+
+    return F.sqrt(-2 * F.ln(uniform(1))) * F.cos(2 * math.pi * uniform(9))
+
+
 def posterior_draws(spark: SparkSession, model: LogitModel, n: int = 2000, seed: int = 7) -> DataFrame:
-    """Seeded draws of the coefficients, one row per draw."""
-    draws = draw_matrix(model, n, seed)
-    schema = T.StructType([T.StructField("draw", T.IntegerType()),
-                           *[T.StructField(c, T.DoubleType()) for c in ["intercept", *model.cols]]])
-    return spark.createDataFrame([(i, *map(float, row)) for i, row in enumerate(draws)], schema)
+    """Seeded draws of the coefficients, one row per draw, for any number of draws.
+
+    The executors make them from the number of the draw; only the Cholesky factor of the covariance, a number for each pair of
+    coefficients, is part of the expression.
+    """
+    names = ["intercept", *model.cols]
+    factor = np.linalg.cholesky(model.covariance)
+    rows = spark.range(n).select(F.col("id").alias("draw"), *[standard_normal(F.col("id"), k, seed).alias(f"_z{k}") for k in range(len(names))])
+    values = []
+    for j, name in enumerate(names):
+        value = F.lit(float(model.coefficients[j]))
+        for k in range(j + 1):
+            value = value + F.col(f"_z{k}") * float(factor[j, k])
+        values.append(value.alias(name))
+    return rows.select("draw", *values)
 
 
 def posterior_as_prior(draws: DataFrame, cols: Sequence[str]) -> DataFrame:

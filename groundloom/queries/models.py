@@ -110,7 +110,7 @@ def _(t: Tables):
     return jobs.probability_map(t.view("v_stack"), _fit(t)).select("pr", "pc", rounded("probability", 5).alias("probability"))
 
 
-def _fit_sql(steps: int) -> str:
+def _fit_sql(steps: int, last: str = "") -> str:
     """The fit with one predictor, its steps written out; t priors with means (0, 0.5) and scales (10, 2.5)."""
     sums = "SUM(w) AS a, SUM(w * x) AS b, SUM(w * x * x) AS c, SUM(w * (eta + (y - mu) / w)) AS d, SUM(w * x * (eta + (y - mu) / w)) AS e"
     tables = ["""t AS MATERIALIZED (SELECT c_vv AS x, CASE WHEN cat >= 5 THEN 1.0E0 ELSE 0.0E0 END AS y FROM v_stack)""",
@@ -124,13 +124,36 @@ def _fit_sql(steps: int) -> str:
  FROM t, s{k}))""",
             f"""q{k} AS MATERIALIZED (SELECT m.*, 2 / (b0 * b0 + v0 + 100) AS p0, 2 / ((b1 - 0.5) * (b1 - 0.5) + v1 + 6.25) AS p1
  FROM (SELECT {sums} FROM r{k}) m, s{k})"""]
-    return "WITH " + ", ".join(tables) + f"""
+    return "WITH " + ", ".join(tables) + (last or f"""
 SELECT '(Intercept)' AS term, ROUND(b0, 6) AS estimate, ROUND(SQRT(v0), 6) AS std_error FROM s{steps}
-UNION ALL SELECT 'c_vv', ROUND(b1, 6), ROUND(SQRT(v1), 6) FROM s{steps}"""
+UNION ALL SELECT 'c_vv', ROUND(b1, 6), ROUND(SQRT(v1), 6) FROM s{steps}""")
+
+
+def _line_fit(t: Tables):
+    return ops.bayes_logit_fit(_training(t), ["c_vv"], "presence", ops.Prior([0.0, 0.5], [10.0, 2.5]), epsilon=1e-15)
+
+
+def _draws_sql(steps: int, n: int, seed: int) -> str:
+    """Draws of that fit: MD5 of seed, draw and term, Box-Muller, and the Cholesky factor of two coefficients written out."""
+    def normal(term: int) -> str:
+        def uniform(begin: int) -> str:
+            return f"((CAST('0x' || SUBSTRING(MD5('{seed}:' || i || ':{term}'), {begin}, 8) AS BIGINT) + 0.5E0) / 4294967296)"
+        return f"SQRT(-2 * LN({uniform(1)})) * COS(2 * PI() * {uniform(9)})"
+
+    return _fit_sql(steps, f""",
+f AS (SELECT b0, b1, SQRT(v0) AS l0, v01 / SQRT(v0) AS l1, SQRT(v1 - v01 * v01 / v0) AS l2
+ FROM s{steps}, (SELECT -b / ((a + p0) * (c + p1) - b * b) AS v01 FROM q{steps - 1})),
+z AS (SELECT i, {normal(0)} AS z0, {normal(1)} AS z1 FROM range({n}) r(i))
+SELECT i AS draw, ROUND(b0 + l0 * z0, 5) AS intercept, ROUND(b1 + l1 * z0 + l2 * z1, 5) AS c_vv FROM z, f""")
+
+
+@query("posterior_draws_line", _draws_sql(25, 20000, 7), ("v_stack",))
+def _(t: Tables):
+    out = ops.posterior_draws(t.spark, _line_fit(t), 20000)
+    return out.select("draw", rounded("intercept", 5).alias("intercept"), rounded("c_vv", 5).alias("c_vv"))
 
 
 @query("bayes_logit_line", _fit_sql(25), ("v_stack",))
 def _(t: Tables):
-    model = ops.bayes_logit_fit(_training(t), ["c_vv"], "presence", ops.Prior([0.0, 0.5], [10.0, 2.5]), epsilon=1e-15)
-    out = ops.coefficient_table(t.spark, model)
+    out = ops.coefficient_table(t.spark, _line_fit(t))
     return out.select("term", rounded("estimate", 6).alias("estimate"), rounded("std_error", 6).alias("std_error"))
