@@ -25,6 +25,10 @@ def _(t: Tables):
 
 @query("stream_products", ORACLES["latest_processing"], ready=True)
 def _(t: Tables):
-    table = work_path(t.spark, "products")
-    arrivals.stream_products(_stream(t, "v_products"), table, work_path(t.spark, "progress"), ["burst", "acq"], "proc")
-    return t.spark.read.parquet(table).select("burst", F.col("acq").cast("date").alias("acq"), "proc", "kind", "value")
+    # the products arrive in three files, one a batch
+    arriving, table = work_path(t.spark, "arriving"), work_path(t.spark, "products")
+    rows = t.view("v_products")
+    rows.repartition(3, F.xxhash64("proc", "value")).write.option("maxRecordsPerFile", 0).parquet(arriving)
+    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    arrivals.stream_products(stream, table, work_path(t.spark, "progress"), ["burst", "acq"], "proc")
+    return arrivals.read_products(t.spark, table).select("burst", F.col("acq").cast("date").alias("acq"), "proc", "kind", "value")

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from groundloom.operators.catalog import latest_processing
 from groundloom.operators.shots import process_shots
@@ -42,8 +43,10 @@ def stream_products(products: DataFrame, table: str, checkpoint: str, keys: Sequ
                     day: str = "acq", delay: str | None = None) -> None:
     """Add arriving products to a table by acquisition day; a reprocessed scene replaces the older one.
 
-    Only the days of the batch are read and written again. With ``delay`` the watermark on the
-    processing time bounds the state that removes repeated deliveries.
+    Only the days of the batch are read and written again, and what is being read is never overwritten: a batch writes its
+    days as a new version and then, in one file, the list of the version that counts for each day. Until that file is there
+    readers see the table before the batch, and a batch that runs again begins from it. With ``delay`` the watermark on
+    the processing time bounds the state that removes repeated deliveries.
     """
     stream = products
     if delay is not None:
@@ -51,19 +54,52 @@ def stream_products(products: DataFrame, table: str, checkpoint: str, keys: Sequ
 
     def one_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch
-        if _exists(spark, table):
-            stored = spark.read.schema(batch.schema).parquet(table)
-            rows = rows.unionByName(attach(stored, batch.select(day).distinct(), [day], "left_semi"))
-        merged = checkpointed(latest_processing(rows, keys, proc))
-        (merged.repartition(day, F.pmod(F.xxhash64(*keys), F.lit(8))).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(table))
+        arrived = batch.withColumn("of_day", F.coalesce(F.col(day).cast("string"), F.lit("null")))
+        days = checkpointed(arrived.select("of_day").distinct())
+        pointer, rows = _pointer(spark, table, batch_id), arrived
+        if pointer is not None:
+            kept = _version_rows(spark, table, arrived.schema, attach(pointer, days, ["of_day"], "left_semi", derived=False))
+            rows = rows.unionByName(kept)
+            pointer = attach(pointer, days, ["of_day"], "left_anti", derived=False)
+        merged = latest_processing(rows.drop("of_day"), keys, proc).withColumn(
+            "of_day", F.coalesce(F.col(day).cast("string"), F.lit("null")))
+        (merged.repartition("of_day", F.pmod(F.xxhash64(*keys), F.lit(8))).write.mode("overwrite").partitionBy("of_day")
+         .parquet(f"{table}/rows/version={batch_id}"))
+        fresh = days.select("of_day", F.lit(batch_id).cast("bigint").alias("version"))
+        _commit(fresh if pointer is None else pointer.unionByName(fresh), table, batch_id)
 
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
 
 
+def _commit(pointer: DataFrame, table: str, batch_id: int) -> None:
+    """Write the version of each day as one file, whose arrival makes the batch count. There is a row per day."""
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{table}/current/batch={batch_id}")
+
+
+def _pointer(spark: SparkSession, table: str, before: int | None = None) -> DataFrame | None:
+    """(of_day, version) of the last committed batch, or of the last before a number; None without any."""
+    if not _exists(spark, f"{table}/current"):
+        return None
+    lists = spark.read.schema("of_day string, version bigint, batch bigint").parquet(f"{table}/current")
+    known = lists if before is None else lists.where(F.col("batch") < before)
+    last = known.agg(F.max("batch")).first()[0]
+    return None if last is None else lists.where(F.col("batch") == last).drop("batch")
+
+
+def _version_rows(spark: SparkSession, table: str, schema: StructType, pointer: DataFrame) -> DataFrame:
+    rows = spark.read.schema(StructType([*schema.fields, StructField("version", LongType())])).parquet(f"{table}/rows")
+    return attach(rows, pointer, ["of_day", "version"], "left_semi").select(schema.names)
+
+
+def read_products(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a :func:`stream_products` table as of the last committed batch."""
+    found = spark.read.parquet(f"{table}/rows").drop("version", "of_day").schema
+    schema = StructType([*found.fields, StructField("of_day", StringType())])
+    return _version_rows(spark, table, schema, _pointer(spark, table)).drop("of_day")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         return bool(spark.read.parquet(path).columns)

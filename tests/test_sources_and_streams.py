@@ -154,10 +154,42 @@ def test_product_stream_replaces_older_processing(spark, tmp_path, delay):
     run()
     arrive("2.parquet", [("a", "d1", "2020-02-01", "p4"), ("b", "d1", "2019-12-01", "old"), ("c", "d3", "2020-02-01", "p5")])
     run()
-    got = spark.read.parquet(str(tmp_path / "table")).select("burst", "acq", "path")
+    got = arrivals.read_products(spark, str(tmp_path / "table")).select("burst", "acq", "path")
     assert sorted(map(tuple, got.collect())) == [("a", "d1", "p4"), ("a", "d2", "p3"), ("b", "d1", "p2"), ("c", "d3", "p5")]
 
 
+def test_a_batch_that_stops_before_its_commit_changes_nothing(spark, tmp_path, monkeypatch):
+    folder, table = tmp_path / "in", str(tmp_path / "table")
+    folder.mkdir()
+
+    def arrive(name, rows):
+        pd.DataFrame(rows, columns=["burst", "acq", "proc", "path"]).to_parquet(folder / name)
+
+    def run():
+        stream = spark.readStream.schema("burst string, acq string, proc long, path string").parquet(str(folder))
+        arrivals.stream_products(stream, table, str(tmp_path / "state"), ["burst", "acq"], "proc")
+
+    def now():
+        return sorted(map(tuple, arrivals.read_products(spark, table).select("burst", "acq", "path").collect()))
+
+    arrive("1.parquet", [("a", "2020-01-01", 1, "p1"), ("b", "01", 1, "p2"), ("c", None, 1, "p3")])
+    run()
+    before = now()
+    assert before == [("a", "2020-01-01", "p1"), ("b", "01", "p2"), ("c", None, "p3")]
+
+    def stopped(*_):
+        raise RuntimeError("stopped")
+
+    arrive("2.parquet", [("a", "2020-01-01", 2, "p4"), ("c", None, 2, "p5"), ("d", "02", 1, "p6")])
+    with monkeypatch.context() as m:
+        m.setattr(arrivals, "_commit", stopped)
+        with pytest.raises(Exception):
+            run()
+    assert now() == before
+    run()
+    assert {r[2] for r in now()} == {"p2", "p4", "p5", "p6"}
+
+
 def test_no_local_checkpoint_or_local_folder_on_a_cluster():
     for path in Path(__file__).resolve().parents[1].joinpath("groundloom").rglob("*.py"):
         text = path.read_text()
