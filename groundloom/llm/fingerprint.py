@@ -2,7 +2,7 @@
 
 The terms of a text are its pairs of neighbouring lower-cased words, weighted by how often they occur. For each of
 ``SAMPLES`` samples a term has r and c from Gamma(2, 1) and b from [0, 1), all taken from its hash. With the weight w,
-t = floor(ln w / r + b), and the sample is the (term, t) of least ln c - r (t - b + 1). Two texts agree in a sample with the
+t = floor(ln w / r + b), and the sample is the (term, t) of least c exp(-r (t - b + 1)). Two texts agree in a sample with the
 probability of their generalised Jaccard similarity.
 """
 
@@ -51,20 +51,30 @@ def _key(number: int) -> Column:
     return F.lit(value - (1 << 64) if value >> 63 else value)
 
 
-def samples(term: Column, log_weight: Column, count: int = SAMPLES) -> list[Column]:
-    """For each sample a number whose least over the terms has the sampled (term, t) in its lower 32 bits."""
+def samples(term: Column, weight: Column, log_weight: Column, count: int = SAMPLES) -> list[Column]:
+    """For each sample a number whose least over the terms has the sampled (term, t) in its lower 32 bits.
+
+    With e1 and e2 from Exp(1), r = e1 + e2 is from Gamma(2, 1) and b = e1 / r from [0, 1), independent of each other. So
+    r (1 - b) is e2 = -ln u, and the value c u exp(-r t) needs no logarithm of u while t is 0, as it is at weight 1. The
+    order is that of the square root, which leaves small values, the least of many terms, enough steps.
+    """
     out = []
     for k in range(count):
-        one = F.xxhash64(term.bitwiseXOR(_key(2 * k + 1)))
-        two = F.xxhash64(term.bitwiseXOR(_key(2 * k + 2)))
-        low = F.lit(0xFFFFFFFF)
-        r = -F.ln((F.shiftrightunsigned(one, 32) + 0.5) * (one.bitwiseAND(low) + 0.5) * 2.0 ** -64)
-        c = -F.ln((F.shiftrightunsigned(two, 40) + 0.5) * (F.shiftrightunsigned(two, 16).bitwiseAND(F.lit(0xFFFFFF)) + 0.5)
-                  * 2.0 ** -48)
-        b = two.bitwiseAND(F.lit(0xFFFF)) * 2.0 ** -16
-        t = F.floor(log_weight / r + b)
-        place = ((F.ln(c) - r * (t - b + 1) + 1024.0) * 1048576.0).cast("bigint")
-        out.append(F.shiftleft(place, 32).bitwiseOR((one.bitwiseAND(low) + t.bitwiseAND(F.lit(0xFFFFF)) * 0x9E3779B1).bitwiseAND(low)))
+        tag = term.bitwiseXOR(_key(2 * k + 1))
+        one = F.xxhash64(tag)
+        part = F.lit(0x1FFFFF)
+        u = (F.shiftrightunsigned(one, 42) + 0.5) * 2.0 ** -22
+        c = -F.ln((F.shiftrightunsigned(one, 21).bitwiseAND(part) + 0.5) * (one.bitwiseAND(part) + 0.5) * 2.0 ** -42)
+        e1 = -F.ln((F.shiftrightunsigned(F.xxhash64(term.bitwiseXOR(_key(2 * k + 2))), 11) + 0.5) * 2.0 ** -53)
+        r = e1 - F.ln(u)
+        t = F.floor((log_weight + e1) / r)
+
+        def packed(value: Column, mark: Column) -> Column:
+            place = (F.sqrt(value) * 2.0 ** 28).cast("bigint")
+            return F.shiftleft(place, 32).bitwiseOR(mark.bitwiseAND(F.lit(0xFFFFFFFF)))
+
+        out.append(F.when(weight == 1, packed(c * u, tag))
+                   .otherwise(packed(c * u * F.exp(-r * t), tag + t.bitwiseAND(F.lit(0xFFFFF)) * 0x9E3779B1)))
     return out
 
 
@@ -85,7 +95,8 @@ def fingerprints(rows: DataFrame, keys: list[str], text_col: str = "text") -> Da
     The keys identify a row. The samples of a text are least values over its terms, combined as the terms appear.
     """
     terms = rows.select(*keys, F.inline_outer(weighted_terms(F.col(text_col)))).withColumn("lw", F.ln(F.col("weight")))
-    least = terms.groupBy(*keys).agg(*[F.min(s).alias(f"s{k}") for k, s in enumerate(samples(F.col("term"), F.col("lw")))])
+    least = terms.groupBy(*keys).agg(*[F.min(s).alias(f"s{k}")
+                                        for k, s in enumerate(samples(F.col("term"), F.col("weight"), F.col("lw")))])
     joined = F.concat(*[digits(F.col(f"s{k}")) for k in range(SAMPLES)])
     return least.select(*keys, F.coalesce(joined, F.lit(NO_TERMS)).alias("fingerprint"))
 
