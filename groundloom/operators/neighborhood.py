@@ -10,8 +10,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import WindowSpec
 
 from groundloom.scale import attach
@@ -54,22 +57,46 @@ def _home(df: DataFrame) -> DataFrame:
 
 def _box_sums(px: DataFrame, k: int, value: str, by: Sequence[str]) -> DataFrame:
     low, high = -(k // 2), k - 1 - k // 2
-    blocked, block = _blocks(px, k // 2, by)
-    along = Window.partitionBy(*block, "pr").orderBy("pc").rangeBetween(low, high)
-    across = Window.partitionBy(*block, "pc").orderBy("pr").rangeBetween(low, high)
-    v = F.col(value).cast("double")
-    rows = blocked.withColumns({"_s": F.coalesce(F.sum(v).over(along), F.lit(0.0)),
-                                "_q": F.coalesce(F.sum(v * v).over(along), F.lit(0.0)),
-                                "_n": F.count(v).over(along)})
-    sums = rows.withColumns({"box_sum": F.sum("_s").over(across), "box_sum_sq": F.sum("_q").over(across),
-                             "box_count": F.sum("_n").over(across)})
-    return _home(sums).drop("_s", "_q", "_n")
+    rows = px.withColumn("_v", F.col(value).cast("double"))
+    blocked, block = _blocks(rows, k // 2, by)
+    schema = StructType([*px.schema.fields, StructField("box_sum", DoubleType()), StructField("box_sum_sq", DoubleType()),
+                         StructField("box_count", LongType())])
+    names = px.columns
+
+    def slid(image: np.ndarray) -> np.ndarray:
+        """Sums over the window, one axis after the other, by adding the image shifted to each place of the window."""
+        for axis in (1, 0):
+            n, total = image.shape[axis], np.zeros_like(image)
+            for step in range(low, high + 1):
+                to = slice(max(0, -step), max(min(n, n - step), 0))
+                of = slice(max(0, step), max(min(n, n + step), 0))
+                at = (slice(None), to) if axis else to
+                total[at] += image[(slice(None), of) if axis else of]
+            image = total
+        return image
+
+    def sums(cells: pa.Table) -> pa.Table:
+        r, c = (cells[x].to_numpy().astype("int64") for x in ("pr", "pc"))
+        r, c = r - r.min(), c - c.min()
+        present = cells["_v"].is_valid().to_numpy()
+        v = cells["_v"].fill_null(0.0).to_numpy()
+        home = cells["_home"]
+        hr, hc = r[home.to_numpy()], c[home.to_numpy()]
+        kept = cells.filter(home).select(names)
+        for name, part in (("box_sum", v), ("box_sum_sq", v * v), ("box_count", present.astype("int64"))):
+            image = np.zeros((r.max() + 1, c.max() + 1), part.dtype)        # at most a block with its border
+            np.add.at(image, (r, c), part)
+            kept = kept.append_column(name, pa.array(slid(image)[hr, hc]))
+        return kept
+
+    return blocked.groupBy(*block).applyInArrow(sums, schema)
 
 
 def box_filter(px: DataFrame, k: int, value: str = "value", by: Sequence[str] = ()) -> DataFrame:
-    """Sum, sum of squares and count of data over a k x k window cut off at the image border.
+    """Sum, sum of squares and count of data over a k x k window cut off at the image border, for the cells that have a row.
 
-    The pixel table must be dense (see :func:`densify`); no data is NULL.
+    No data is NULL. A cell without a row counts as no data, so :func:`densify` is needed only where absent cells shall be
+    returned too. A block of cells with its border is one numpy array, so wide windows cost little more than narrow ones.
     """
     return _box_sums(px, k, value, by)
 
@@ -156,15 +183,18 @@ def peel_edges(px: DataFrame, depth: int = 1, value: str = "value", mask: str =
 def corner_pixels(edges: DataFrame, by: Sequence[str]) -> DataFrame:
     """The four corners of each image from its edge pixels, with the tie rules of a row-major scan."""
     r, c = F.col("pr"), F.col("pc")
-    ext = edges.groupBy(*by).agg(
-        F.min(F.struct(r.alias("a"), c.alias("b"))).alias("top_first"),
-        F.min(F.struct(r.alias("a"), (-c).alias("b"))).alias("top_last"),
-        F.max(F.struct(r.alias("a"), (-c).alias("b"))).alias("bottom_first"),
-        F.max(F.struct(r.alias("a"), c.alias("b"))).alias("bottom_last"),
-        F.min(F.struct(c.alias("a"), r.alias("b"))).alias("left_first"),
-        F.min(F.struct(c.alias("a"), (-r).alias("b"))).alias("left_last"),
-        F.max(F.struct(c.alias("a"), (-r).alias("b"))).alias("right_first"),
-        F.max(F.struct(c.alias("a"), r.alias("b"))).alias("right_last"))
+    kind = edges.schema["pr"].dataType
+
+    def order(a: Column, b: Column) -> Column:
+        return F.shiftleft(a.cast("bigint"), 32) + b.cast("bigint") + (1 << 31)     # one number: no aggregate over structs
+
+    least = {"top_first": (r, c), "top_last": (r, -c), "left_first": (c, r), "left_last": (c, -r)}
+    most = {"bottom_first": (r, -c), "bottom_last": (r, c), "right_first": (c, -r), "right_last": (c, r)}
+    ext = edges.groupBy(*by).agg(*[F.min(order(*ab)).alias(name) for name, ab in least.items()],
+                                 *[F.max(order(*ab)).alias(name) for name, ab in most.items()])
+    ext = ext.withColumns({name: F.struct(F.shiftright(name, 32).cast(kind).alias("a"),
+                                          (F.col(name).bitwiseAND(F.lit(0xFFFFFFFF)) - (1 << 31)).cast(kind).alias("b"))
+                           for name in (*least, *most)})
     leaning = F.col("left_first.b") > -F.col("right_first.b")    # the top pixel is the upper left one
 
     def corner(name: str, when_leaning: tuple[Column, Column], otherwise: tuple[Column, Column]) -> list[Column]:

@@ -2,33 +2,29 @@
 
 from pyspark.sql import functions as F
 
-from groundloom.queries.base import ORACLES, VIEWS, Tables, _expressions, query, rounded
+from groundloom.queries.base import ORACLES, Tables, query, rounded
 from groundloom.queries import catalogs, lidar                        # noqa: F401  the texts below come from them
 from groundloom.session import work_path
 from groundloom.streaming import arrivals
 
 
-def _stream(t: Tables, view: str):
-    table = VIEWS[view][0]
-    rows = (t.spark.readStream.schema(t.table(table).schema).option("pathGlobFilter", f"{table}.parquet")
-            .parquet(t.folder))
-    return rows.selectExpr(*_expressions(view, True))
+def _arriving(t: Tables, view: str, *spread: str):
+    """The rows of a view as a stream of three files, one a batch; rows of one key come in several of them."""
+    folder, rows = work_path(t.spark, "arriving"), t.view(view)
+    rows.repartition(3, F.xxhash64(*spread)).write.option("maxRecordsPerFile", 0).parquet(folder)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 @query("stream_shots", ORACLES["process_shots"], ready=True)
 def _(t: Tables):
     out = work_path(t.spark, "shots")
-    arrivals.stream_shots(_stream(t, "v_shots"), out, work_path(t.spark, "progress"))
+    arrivals.stream_shots(_arriving(t, "v_shots", "shot"), out, work_path(t.spark, "progress"))
     kept, _ = arrivals.read_shots(t.spark, out)
     return kept.select("file_no", "shot", "elev1", "rh95", rounded("elev_range", 8).alias("elev_range"))
 
 
 @query("stream_products", ORACLES["latest_processing"], ready=True)
 def _(t: Tables):
-    # the products arrive in three files, one a batch
-    arriving, table = work_path(t.spark, "arriving"), work_path(t.spark, "products")
-    rows = t.view("v_products")
-    rows.repartition(3, F.xxhash64("proc", "value")).write.option("maxRecordsPerFile", 0).parquet(arriving)
-    stream = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
-    arrivals.stream_products(stream, table, work_path(t.spark, "progress"), ["burst", "acq"], "proc")
+    table = work_path(t.spark, "products")
+    arrivals.stream_products(_arriving(t, "v_products", "proc", "value"), table, work_path(t.spark, "progress"), ["burst", "acq"], "proc")
     return arrivals.read_products(t.spark, table).select("burst", F.col("acq").cast("date").alias("acq"), "proc", "kind", "value")

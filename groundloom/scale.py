@@ -6,18 +6,39 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 from groundloom.session import checkpointed
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 MAX_GROUP_ROWS = 2_000_000
 HOT_KEY_ROWS = 5_000_000
 SALTS = 64
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _bytes_of(value: Column, kind: DataType) -> Column:
+    """About how many bytes a value takes; texts and lists by their length, structs by their fields."""
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 8
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, (StringType, BinaryType, ArrayType, StructType, MapType)):
+            each = F.transform(value, lambda x: _bytes_of(x, kind.elementType).cast("bigint"))
+            return F.coalesce(F.aggregate(each, F.lit(0).cast("bigint"), lambda a, x: a + x), F.lit(0)) + 8
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 8
+    if isinstance(kind, MapType):
+        return (_bytes_of(F.map_keys(value), ArrayType(kind.keyType))
+                + _bytes_of(F.map_values(value), ArrayType(kind.valueType)))
+    if isinstance(kind, StructType):
+        return sum((_bytes_of(value.getField(f.name), f.dataType) for f in kind.fields), F.lit(8))
+    return F.lit(8)
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows that take at most about ``max_bytes`` bytes together."""
+    row = sum((_bytes_of(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(0))
+    n, size = df.select(row.cast("bigint").alias("_size")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum("_size")).first()
+    return n <= max_rows and (size or 0) <= max_bytes
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
@@ -55,7 +76,7 @@ def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inne
            max_rows: int = BROADCAST_ROWS, derived: bool = True, few_rows_each: bool = False) -> DataFrame:
     """Join a lookup (per class, frame, tile or point) onto a large table.
 
-    The lookup is counted. Within ``max_rows`` it is broadcast, so ``big`` is not shuffled; above
+    The lookup is counted. Within ``max_rows`` and ``BROADCAST_BYTES`` it is broadcast, so ``big`` is not shuffled; above
     that both sides are shuffled and hot keys salted. A ``derived`` lookup is written once
     before, so that counting it does not compute it twice. With ``few_rows_each`` every key occurs a few times in
     ``big``, as pixels do, and hot keys are not looked for.
