@@ -68,6 +68,23 @@ def test_box_filter_uses_one_shuffle(spark):
     assert plan.count("Exchange") == 1
 
 
+@pytest.mark.parametrize("k", [1, 4, 51])
+def test_box_sums_of_a_sparse_image(spark, k):
+    rng = np.random.default_rng(k)
+    image = rng.random((300, 40))
+    absent, empty = rng.random(image.shape) < 0.4, rng.random(image.shape) < 0.2
+    known = np.where(absent | empty, np.nan, image)
+    rows = table(spark, image).join(table(spark, absent.astype("int32"), "absent"), ["pr", "pc"]).join(
+        table(spark, empty.astype("int32"), "empty"), ["pr", "pc"])
+    given = rows.where("absent = 0").select("pr", "pc", F.when(F.col("empty") == 0, F.col("value")).alias("value"), F.lit("x").alias("tile"))
+    got = near.box_filter(given, k, by=["tile"]).toPandas()
+    assert len(got) == (~absent).sum() and set(got.columns) == {"pr", "pc", "value", "tile", "box_sum", "box_sum_sq", "box_count"}
+    for r in got.sample(200, random_state=0).itertuples():
+        seen = known[max(r.pr - k // 2, 0):r.pr + k - k // 2, max(r.pc - k // 2, 0):r.pc + k - k // 2]
+        assert r.box_count == (~np.isnan(seen)).sum()
+        assert abs(r.box_sum - np.nansum(seen)) < 1e-9 and abs(r.box_sum_sq - np.nansum(seen**2)) < 1e-9
+
+
 def test_densify_adds_missing_cells(spark):
     df = table(spark, np.arange(12.0).reshape(3, 4)).where("pr <> 1 OR pc <> 2")
     out = near.densify(df)

@@ -86,3 +86,12 @@ def test_median_composite_of_large_groups(skewed, monkeypatch, max_group):
     want = px.toPandas().groupby("key")["value"].median()
     pd.testing.assert_series_equal(got.sort_index(), want, check_names=False, check_index_type=False)
     assert bool(ranked) == (max_group == 10)
+
+
+def test_lookup_is_sized_in_bytes(spark):
+    rings = spark.range(10).select("id", F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: F.struct(
+        i.cast("double").alias("x"), F.lit(0.0).alias("y"))).alias("ring"), F.lit("name").alias("name"),
+        F.create_map(F.lit("a"), F.lit(1)).alias("m"), F.lit(None).cast("array<string>").alias("none"))
+    assert scale.is_small(rings, 10) and scale.is_small(rings, 10, 400_000)
+    assert not scale.is_small(rings, 10, 100_000) and not scale.is_small(rings, 9)
+    assert scale.is_small(rings.where("id < 0"), 0, 0)

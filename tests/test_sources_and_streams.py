@@ -131,6 +131,33 @@ def test_shot_stream_equals_batch_and_runs_once_per_file(spark, tmp_path):
     assert {r.file_no: r.processed for r in report.collect()} == {1: True, 2: True, 3: False}
 
 
+def test_shot_file_over_three_batches_equals_the_batch(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    whole = pd.concat([shot_file(4, 1), shot_file(5, 2)], ignore_index=True).sample(frac=1, random_state=1)
+    for k in range(3):
+        whole.iloc[k::3].to_parquet(folder / f"{k}.parquet")
+    other = shot_file(6, 3)
+    other.to_parquet(folder / "only.parquet")
+    stream = (spark.readStream.schema(spark.read.parquet(str(folder)).schema).option("maxFilesPerTrigger", 1).parquet(str(folder)))
+    arrivals.stream_shots(stream, str(tmp_path / "out"), str(tmp_path / "state"))
+    kept, report = arrivals.read_shots(spark, str(tmp_path / "out"))
+    want = process_shots(spark.createDataFrame(pd.concat([whole, other])))
+    cols = ["file_no", "elev1", "elev_range", "rh95"]
+
+    def rows(df):
+        return sorted(tuple(round(v, 9) for v in r) for r in df.select(*cols).collect())
+
+    assert rows(kept) == rows(want) and len(rows(kept)) > 0
+    counts = {r.file_no: r.n_shots for r in report.collect()}
+    assert sorted(counts) == [1, 2, 3] and sum(counts.values()) == len(rows(want))
+    # a batch without its list does not count: readers see what the last listed batch left
+    last = max((tmp_path / "out" / "current").glob("batch=*"), key=lambda f: int(f.name.split("=")[1]))
+    last.rename(tmp_path / "stopped")
+    before = arrivals.read_shots(spark, str(tmp_path / "out"))[0]
+    assert 0 < before.count() < len(rows(want))
+
+
 @pytest.mark.parametrize("delay", [None, "400 days"])
 def test_product_stream_replaces_older_processing(spark, tmp_path, delay):
     folder = tmp_path / "in"
