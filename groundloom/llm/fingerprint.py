@@ -69,12 +69,11 @@ def samples(term: Column, weight: Column, log_weight: Column, count: int = SAMPL
         r = e1 - F.ln(u)
         t = F.floor((log_weight + e1) / r)
 
-        def packed(value: Column, mark: Column) -> Column:
-            place = (F.sqrt(value) * 2.0 ** 28).cast("bigint")
-            return F.shiftleft(place, 32).bitwiseOR(mark.bitwiseAND(F.lit(0xFFFFFFFF)))
-
-        out.append(F.when(weight == 1, packed(c * u, tag))
-                   .otherwise(packed(c * u * F.exp(-r * t), tag + t.bitwiseAND(F.lit(0xFFFFF)) * 0x9E3779B1)))
+        light = weight == 1
+        value = c * u * F.when(light, 1.0).otherwise(F.exp(-r * t))
+        mark = tag + F.when(light, F.lit(0).cast("bigint")).otherwise(t.bitwiseAND(F.lit(0xFFFFF)) * 0x9E3779B1)
+        place = (F.sqrt(value) * 2.0 ** 28).cast("bigint")
+        out.append(F.shiftleft(place, 32).bitwiseOR(mark.bitwiseAND(F.lit(0xFFFFFFFF))))
     return out
 
 
