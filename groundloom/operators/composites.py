@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundloom.functions.calendar import day_of_year
 from groundloom.functions.indices import STACK_BANDS, condense, dn_to_gamma0, incidence_degrees, rvi
-from groundloom.scale import attach, grouped_quantiles
+from groundloom.scale import MAX_GROUP_ROWS, attach, grouped_quantiles, ranked_quantiles
 
 PIXEL = ("pr", "pc")
 
@@ -151,12 +152,35 @@ def alos_layers(dn: DataFrame, year: int) -> DataFrame:
                            "doy": F.coalesce(day_of_year("days", year), F.lit(-9999).cast("smallint"))})
 
 
-def summary_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, mean, deviation, extremes and quartiles of each column, one row per column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(F.explode(cells).alias("_c")).select("_c.*")
-    stats = long.groupBy("col_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = grouped_quantiles(long, ["col_name"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
-    return stats.join(quartiles, "col_name", "left")
+def summary_stats(df: DataFrame, cols: Sequence[str], max_group: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Count, mean, deviation, extremes and quartiles of each column, one row per column; none of an empty table.
+
+    One pass gives the moments of all columns side by side, and with the counts it is known which columns have more than
+    ``max_group`` values. Quartiles of those are ranked over many tasks, of the others taken in one aggregation.
+    """
+    names = list(dict.fromkeys(cols))
+    cells = {c: F.col(c).cast("double") for c in names}
+    moments = ["count", "mean", "stddev", "min", "max"]
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.struct(*[f(v).alias(m) for m, f in zip(moments, (F.count, F.avg, F.stddev_samp, F.min, F.max))]).alias(f"s{i}")
+        for i, v in enumerate(cells.values())]).first()
+    numbers = [[c, *row[f"s{i}"]] for i, c in enumerate(names)] if row["rows"] else []
+    stats = df.sparkSession.createDataFrame(
+        numbers, "col_name string, count bigint, mean double, stddev double, min double, max double")
+    quarters, parts = [0.25, 0.5, 0.75], []
+    out = ["q25", "q50", "q75"]
+
+    def long(picked: list[str]) -> DataFrame:
+        one = [F.struct(F.lit(c).alias("col_name"), cells[c].alias("value")) for c in picked]
+        return df.select(F.inline(F.array(*one)))
+
+    large = [n[0] for n in numbers if n[1] > max_group]
+    small = [n[0] for n in numbers if n[1] <= max_group]
+    if large:
+        parts.append(ranked_quantiles(long(large).where("value IS NOT NULL"), ["col_name"], "value", quarters, out))
+    if small or not large:
+        wide = df.agg(*[F.percentile(cells[c], quarters).alias(f"p{i}") for i, c in enumerate(small or names)])
+        rows = [F.struct(F.lit(c).alias("col_name"), *[F.get(F.col(f"p{i}"), F.lit(j)).alias(q) for j, q in enumerate(out)])
+                for i, c in enumerate(small or names)]
+        parts.append(wide.select(F.inline(F.array(*rows))))
+    return stats.join(F.broadcast(reduce(DataFrame.unionByName, parts)), "col_name", "left")     # one row per column

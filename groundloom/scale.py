@@ -114,8 +114,9 @@ def first_by_hash(df: DataFrame, by: str, key: str, ties: Sequence[str], sizes:
                   size_col: str) -> DataFrame:
     """The first n rows of each ``by`` value in hash order, n taken from ``sizes``.
 
-    A histogram over 16^5 hash prefixes gives the last prefix each class needs, so the ranked
-    rows are about n plus a millionth of the class, however large the class is.
+    A histogram over 16^5 hash prefixes gives the last prefix each class needs. All rows of the prefixes before it are
+    taken; within it as many as are still wanted. Rows are ranked per class and prefix, so a class that wants very many
+    rows is spread over many tasks.
     """
     rows = df.withColumn("_prefix", F.substring(key, 1, 5))
     hist = rows.groupBy(by, "_prefix").agg(F.count(F.lit(1)).alias("_n"))
@@ -124,11 +125,11 @@ def first_by_hash(df: DataFrame, by: str, key: str, ties: Sequence[str], sizes:
             .join(F.broadcast(sizes.select(by, F.col(size_col).cast("bigint").alias("_size")))
                   if is_small(sizes) else sizes.select(by, F.col(size_col).cast("bigint").alias("_size")), by)
             .where("_before < _size")
-            .groupBy(by).agg(F.max("_prefix").alias("_cut"), F.max("_size").alias("_size")))
+            .groupBy(by).agg(F.max("_prefix").alias("_cut"), (F.max("_size") - F.max("_before")).alias("_left")))
     picked = attach(rows, cuts, [by]).where("_prefix <= _cut")
-    rank = Window.partitionBy(by).orderBy(key, *ties)
-    return (picked.withColumn("_rank", F.row_number().over(rank)).where("_rank <= _size")
-            .drop("_prefix", "_cut", "_size", "_rank"))
+    rank = Window.partitionBy(by, "_prefix").orderBy(key, *ties)
+    return (picked.withColumn("_rank", F.row_number().over(rank)).where("_prefix < _cut OR _rank <= _left")
+            .drop("_prefix", "_cut", "_left", "_rank"))
 
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str) -> DataFrame:
@@ -153,8 +154,9 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str], wei
             .drop("_piece", "_before"))
 
 
-def _ranked_quantiles(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
-                      names: Sequence[str]) -> DataFrame:
+def ranked_quantiles(df: DataFrame, keys: list[str], value: str, probs: Sequence[float],
+                     names: Sequence[str]) -> DataFrame:
+    """Exact quantiles per group, ranked over many tasks; ``value`` has no NULLs."""
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_w"))
     ranks = running_totals(counts, keys, [value], "_w")
     aggs = []
@@ -187,4 +189,4 @@ def grouped_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: Seq
     if large.isEmpty():
         return plain(vals)
     return plain(attach(vals, large, keys, "left_anti")).unionByName(
-        _ranked_quantiles(attach(vals, large, keys, "left_semi"), keys, value, probs, names))
+        ranked_quantiles(attach(vals, large, keys, "left_semi"), keys, value, probs, names))

@@ -70,6 +70,34 @@ def test_first_by_hash_takes_all_of_a_small_class(skewed, spark):
     assert {r.id for r in got.collect()} == want
 
 
+@pytest.mark.parametrize("n", [0, 1, 400, 401, 700, 1100, 5000])
+def test_first_by_hash_where_many_rows_share_a_prefix(skewed, spark, n):
+    prefix = F.concat(F.lit("0000"), F.pmod("id", F.lit(3)).cast("string"))
+    keyed = skewed.withColumn("h", F.concat(prefix, scale.shuffle_key(1, "id")))
+    got = scale.first_by_hash(keyed, "key", "h", ["id"], spark.createDataFrame([(7, n)], "key long, n int"), "n")
+    pdf = keyed.toPandas()
+    assert sorted(r.id for r in got.collect()) == sorted(pdf[pdf.key == 7].sort_values("h").id.head(n))
+    assert set(got.columns) == set(keyed.columns)
+
+
+@pytest.mark.parametrize("max_group", [0, 2800, 10**6])
+def test_summary_of_columns_of_any_size(skewed, monkeypatch, max_group):
+    from groundloom.operators import composites
+
+    ranked = []
+    monkeypatch.setattr(composites, "ranked_quantiles", lambda *a, f=scale.ranked_quantiles: ranked.append(1) or f(*a))
+    px = skewed.select("id", F.when(F.col("key") != 3, F.col("value")).alias("value"), F.when(F.col("id") % 10 == 0, F.col("key"))
+                       .alias("rare"), F.lit(None).cast("double").alias("none"))
+    cols = ["id", "value", "rare", "none"]
+    got = composites.summary_stats(px, cols, max_group).toPandas().set_index("col_name").loc[cols]
+    pdf = px.toPandas().astype(float)
+    assert got["count"].tolist() == pdf[cols].count().tolist() and bool(ranked) == (max_group < 3000)
+    for name, want in (("mean", pdf.mean()), ("stddev", pdf.std()), ("min", pdf.min()), ("max", pdf.max()),
+                       ("q25", pdf.quantile(0.25)), ("q50", pdf.quantile(0.5)), ("q75", pdf.quantile(0.75))):
+        np.testing.assert_allclose(got[name].astype(float), want[cols], rtol=1e-12)
+    assert composites.summary_stats(px.where("id < 0"), cols, max_group).isEmpty()
+
+
 def test_is_small(skewed):
     assert scale.is_small(skewed, 3000) and not scale.is_small(skewed, 2999)
     assert skewed.where(F.lit(False)).isEmpty()
@@ -80,7 +108,7 @@ def test_median_composite_of_large_groups(skewed, monkeypatch, max_group):
     from groundloom.operators import composites
 
     ranked = []
-    monkeypatch.setattr(scale, "_ranked_quantiles", lambda *a, f=scale._ranked_quantiles: ranked.append(1) or f(*a))
+    monkeypatch.setattr(scale, "ranked_quantiles", lambda *a, f=scale.ranked_quantiles: ranked.append(1) or f(*a))
     px = skewed.withColumn("value", F.when(F.col("key") != 3, F.col("value")))
     got = composites.composite(px, ["key"], "median", max_group=max_group).toPandas().set_index("key")["value"]
     want = px.toPandas().groupby("key")["value"].median()
