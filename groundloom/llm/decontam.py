@@ -184,9 +184,8 @@ def uncontaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", do
     """The rows of ``docs`` without any occurrence of a window, with all their columns."""
     _, hits = occurrences(docs, items, doc_id, doc_text)
     bad = written(hits.select("doc", "key").distinct(), "contaminated")
-    keyed = docs.withColumn("_key", text_key(F.col(doc_text).cast("string")))
-    return (keyed.join(bad, keyed[doc_id].eqNullSafe(bad["doc"]) & keyed["_key"].eqNullSafe(bad["key"]), "left_anti")
-            .drop("_key"))
+    same = docs[doc_id].eqNullSafe(bad["doc"]) & text_key(docs[doc_text].cast("string")).eqNullSafe(bad["key"])
+    return docs.join(bad, same, "left_anti")
 
 
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,17 +284,20 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = written(groups.join(best, "class_key").select(
         "doc", "node", "n", (F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("node") == F.col("best.node"))).alias("stays"))
         .where("NOT stays OR n > 1"), "marked")
-    keyed = docs.withColumn("_node", text_key(F.col(text_col).cast("string")))
+    mark = "_node"
+    while mark in {c.lower() for c in docs.columns}:
+        mark += "_"
+    keyed = docs.withColumn(mark, text_key(F.col(text_col).cast("string")))
 
     def pick(part: DataFrame, how: str) -> DataFrame:
         part = checked_broadcast(part, 1_000_000)
-        return keyed.join(part, keyed[id_col].eqNullSafe(part["doc"]) & keyed["_node"].eqNullSafe(part["node"]), how)
+        return keyed.join(part, keyed[id_col].eqNullSafe(part["doc"]) & keyed[mark].eqNullSafe(part["node"]), how)
 
     out = pick(marked.select("doc", "node"), "left_anti")
     repeated = marked.where("stays").select("doc", "node")
     if not repeated.isEmpty():
-        out = out.unionByName(pick(repeated, "left_semi").dropDuplicates([id_col, "_node"]))
-    return out.drop("_node")
+        out = out.unionByName(pick(repeated, "left_semi").dropDuplicates([id_col, mark]))
+    return out.drop(mark)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,3 +106,16 @@ def test_defined_results(spark, docs, labels, items):
     assert kinds[2]["lang"] == kinds[3]["lang"] == kinds[5]["lang"] == "und" and kinds[5]["score"] == 0.0
     tokens = {r["doc_id"]: r for r in bpe.encode(docs, bpe.public_vocabulary()).collect()}
     assert tokens[2]["ids"] == [] and tokens[2]["decoded"] == "" and tokens[4]["n_tokens"] >= 60_000
+
+
+def test_stages_keep_columns_that_have_the_names_of_their_own(spark):
+    rows = [(1, "hi there"), (2, "hi there"), (3, ""), (4, None), (None, None), (1, "hi there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    extra = ["_key", "_node", "doc", "key", "node", "class_key"]
+    docs = docs.withColumns({c: F.lit(i) for i, c in enumerate(extra)})
+    items = spark.createDataFrame([("a", "hi there")], "item_id string, text string")
+    kept, clean = neardup.deduplicated(docs), decontam.uncontaminated(docs, items)
+    assert kept.columns == clean.columns == docs.columns
+    assert sorted(map(str, kept.collect())) == sorted(map(str, docs.where("doc_id IN (3, 4) OR doc_id IS NULL").unionByName(
+        docs.where("doc_id = 1").limit(1)).collect()))
+    assert sorted(map(str, clean.collect())) == sorted(map(str, docs.where("doc_id IN (3, 4) OR doc_id IS NULL").collect()))
