@@ -225,10 +225,13 @@ def _(t: Tables):
 
 # ---- projection ----------------------------------------------------------------------------
 
-_E = geodesy._E
-_SCALE = geodesy.UTM_SCALE * geodesy._RECT
-_NORTH = " + ".join(f"{a!r} * SIN({2 * k} * xi) * COSH({2 * k} * eta)" for k, a in enumerate(geodesy.ALPHA, 1))
-_EAST = " + ".join(f"{a!r} * COS({2 * k} * xi) * SINH({2 * k} * eta)" for k, a in enumerate(geodesy.ALPHA, 1))
+# Eccentricity of WGS84, 0.9996 times its rectifying radius, and the series of the transverse Mercator projection.
+_E = 0.08181919084262149
+_SCALE = 0.9996 * 6367449.145823415
+_SERIES = [8.377318206244698e-04, 7.608527773572309e-07, 1.197645503329453e-09, 2.429170607201359e-12, 5.711757677865804e-15,
+           1.4911177312583895e-17]
+_NORTH = " + ".join(f"{a!r} * SIN({2 * k} * xi) * COSH({2 * k} * eta)" for k, a in enumerate(_SERIES, 1))
+_EAST = " + ".join(f"{a!r} * COS({2 * k} * xi) * SINH({2 * k} * eta)" for k, a in enumerate(_SERIES, 1))
 
 
 @query("reproject", f"""
