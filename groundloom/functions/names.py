@@ -11,6 +11,7 @@ from groundloom.functions.indices import as_col
 ACQUISITION_TIME = r"(?<=_)\d{8}T\d{6}Z(?=_\d{8}T\d{6})"
 PROCESSING_TIME = r"(?<=\d{8}T\d{6}Z_)\d{8}T\d{6}Z(?=_S1)"
 TILE_ID = r"h(\d+)_v(\d+)"
+GEO_TILE = r"^([NS])(\d{2,})([EW])(\d{3,})"
 PRODUCT_PATTERNS = {
     "rtc_zip": r"^\w{3}_\w{2}_\d{8}T\d{6}_\w{3}_RTC\d{2}_\w{1}_\w{6}_\w{4}.zip$",
     "alos_zip": r"^[N|S]{1}\w{2}[E|W]{1}\w{3}_\w{2}_MOS.zip$",
@@ -56,33 +57,40 @@ def matches_product(name: Column | str, kind: str) -> Column:
     return as_col(name).rlike(PRODUCT_PATTERNS[kind])
 
 
+def _digits(number: Column, least: int) -> Column:
+    """The whole number with leading zeros; a longer one keeps all its digits."""
+    text = F.abs(number).cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(least)), F.lit("0"))
+
+
+def _corner_parts(tile: Column) -> list[Column]:
+    """Letter and number of the latitude and of the longitude in a tile name."""
+    ns, lat, ew, lon = (F.regexp_extract(tile, GEO_TILE, i) for i in range(1, 5))
+    return [ns, lat.cast("int"), ew, lon.cast("int")]
+
+
 def geo_tile_name(lat: Column | str, lon: Column | str) -> Column:
-    """Name such as N06W075 from the integer latitude and longitude of the upper-left corner."""
+    """Name such as N06W075 from the integer latitude and longitude of the upper-left corner.
+
+    Tiles of a grid that goes on beyond 99 or 999 have longer numbers, so no two tiles share a name.
+    """
     lat, lon = as_col(lat).cast("int"), as_col(lon).cast("int")
-    return F.concat(F.when(lat >= 0, "N").otherwise("S"), F.lpad(F.abs(lat).cast("string"), 2, "0"),
-                    F.when(lon >= 0, "E").otherwise("W"), F.lpad(F.abs(lon).cast("string"), 3, "0"))
+    return F.concat(F.when(lat >= 0, "N").otherwise("S"), _digits(lat, 2), F.when(lon >= 0, "E").otherwise("W"), _digits(lon, 3))
 
 
 def tile_corner(tile: Column | str) -> tuple[Column, Column]:
     """Latitude and longitude of the upper-left corner of a tile named like N06W075."""
-    tile = as_col(tile)
-
-    def signed(letter: int, digits: int, negative: str) -> Column:
-        value = F.substring(tile, letter + 1, digits).cast("int")
-        return F.when(F.substring(tile, letter, 1) == negative, -value).otherwise(value)
-
-    return signed(1, 2, "S"), signed(4, 3, "W")
+    ns, lat, ew, lon = _corner_parts(as_col(tile))
+    return F.when(ns == "S", -lat).otherwise(lat), F.when(ew == "W", -lon).otherwise(lon)
 
 
 def parent_grid_name(tile: Column | str) -> Column:
     """Name of the 5-degree grid that holds a 1-degree tile; 0 is always written N and E."""
-    tile = as_col(tile)
-    ns, ew = F.substring(tile, 1, 1), F.substring(tile, 4, 1)
-    lat5, lon5 = F.substring(tile, 2, 2).cast("int") / F.lit(5.0), F.substring(tile, 5, 3).cast("int") / F.lit(5.0)
+    ns, lat, ew, lon = _corner_parts(as_col(tile))
+    lat5, lon5 = lat / F.lit(5.0), lon / F.lit(5.0)
     lat = (F.when(ns == "N", F.ceil(lat5)).otherwise(F.floor(lat5)) * 5).cast("int")
     lon = (F.when(ew == "E", F.floor(lon5)).otherwise(F.ceil(lon5)) * 5).cast("int")
-    return F.concat(F.when(lat == 0, "N").otherwise(ns), F.lpad(lat.cast("string"), 2, "0"),
-                    F.when(lon == 0, "E").otherwise(ew), F.lpad(lon.cast("string"), 3, "0"))
+    return F.concat(F.when(lat == 0, "N").otherwise(ns), _digits(lat, 2), F.when(lon == 0, "E").otherwise(ew), _digits(lon, 3))
 
 
 def output_name(kind: str, **parts: Column | str) -> Column:

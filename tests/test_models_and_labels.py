@@ -159,6 +159,15 @@ def test_names(spark):
     assert got == ["N10W075", "N00E010", "N00E000", "S05W005", "N00W005"]
 
 
+def test_long_tile_numbers_keep_their_digits(spark):
+    df = spark.createDataFrame([(-100, 2), (-161, -2), (-16, -2), (160, -1234)], "la int, lo int")
+    named = df.withColumn("t", names.geo_tile_name("la", "lo"))
+    lat, lon = names.tile_corner("t")
+    got = [tuple(r) for r in named.select("t", lat, lon, names.parent_grid_name("t")).collect()]
+    assert got == [("S100E002", -100, 2, "S100E000"), ("S161W002", -161, -2, "S160W005"), ("S16W002", -16, -2, "S15W005"),
+                   ("N160W1234", 160, -1234, "N160W1235")]
+
+
 def test_tile_keys_are_exact(spark):
     files = spark.createDataFrame([("s1_tile_x_a_b_h1_v1_VV.tif",), ("s1_tile_x_a_b_h1_v10_VV.tif",), ("readme.txt",)], "name string")
     parts = catalog.file_key_parts(files)
