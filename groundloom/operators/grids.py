@@ -114,9 +114,9 @@ def resample_bilinear(px: DataFrame, src: Grid, dst: Grid, by: Sequence[str] = (
     pr, pc = F.col("pr"), F.col("pc")
     spread = _spread(px, F.ceil(rows(pr - 0.5) - 0.5), F.floor(rows(pr + 1.5) - 0.5),
                      F.ceil(cols(pc - 0.5) - 0.5), F.floor(cols(pc + 1.5) - 0.5), dst)
-    ratio = dst.res / src.res
-    away_r = F.abs((F.col("_tr") + 0.5) * ratio - (dst.y0 - src.y0) / src.res - 0.5 - pr)
-    away_c = F.abs((F.col("_tc") + 0.5) * ratio + (dst.x0 - src.x0) / src.res - 0.5 - pc)
+    # subtracted before the division, so the error does not grow with the row number
+    away_r = F.abs(F.lit(src.y0) - dst.center_y(F.col("_tr")) - (pr + 0.5) * src.res) / src.res
+    away_c = F.abs(dst.center_x(F.col("_tc")) - F.lit(src.x0) - (pc + 0.5) * src.res) / src.res
     weight = F.greatest(1 - away_r, F.lit(0.0)) * F.greatest(1 - away_c, F.lit(0.0))
     return _weighted(spread, weight, by, value, 1e-9)
 

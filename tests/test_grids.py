@@ -1,5 +1,7 @@
 """Resampling and point extraction against numpy."""
 
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -83,6 +85,17 @@ def test_bilinear(px, image, dst):
     np.testing.assert_allclose(got, want, rtol=1e-9)
 
 
+def test_bilinear_is_exact_far_from_the_corner(spark):
+    far = spark.createDataFrame([(40247, 10, 4.8931544), (40248, 9, 0.5506687), (40248, 10, 0.0444017)], "pr int, pc int, value double")
+    out = grids.resample(far, Grid(0.0, 0.0, 30.0), Grid(-10.0, 20.0, 70.0), "bilinear")
+    got = {(r.pr, r.pc): r.value for r in out.collect()}
+    total = weight = Fraction(0)
+    for r, c, v in far.collect():
+        w = ((1 - abs(Fraction(17249 * 70 + 35 - 20 - 15 - 30 * r, 30))) * (1 - abs(Fraction(4 * 70 + 35 - 10 - 15 - 30 * c, 30))))
+        total, weight = total + w * Fraction(v), weight + w
+    assert got[(17249, 4)] == pytest.approx(float(total / weight), abs=1e-13)
+
+
 def test_clip_reaches_the_scan(spark, px, tmp_path):
     path = str(tmp_path / "px")
     px.write.parquet(path)
