@@ -186,3 +186,16 @@ def test_remove_edges_clears_all_layers(spark):
     assert len(kept) == erode(mask, 1).sum()
     assert kept.vh.eq(1).all() and np.allclose(kept.inc, 45)
     assert out[out.vv.isna()][["vh", "inc"]].isna().all().all()
+
+
+def test_densify_deals_blank_cells_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near, "TASK_CELLS", 2_000)
+    monkeypatch.setattr(near, "BLOCK_ROW", 16)
+    px = spark.createDataFrame([("a", 0, 0, 1.0), ("a", 299, 99, 2.0), ("b", 3, 40, 3.0), ("b", 3, 40, None)],
+                               "frame string, pr int, pc int, value double")
+    out = near.densify(px, ["frame"])
+    assert out.dtypes == px.dtypes
+    tasks = out.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert sum(tasks) == 300 * 100 + 4 * 41 and max(tasks) < 6_000
+    assert out.select("frame", "pr", "pc").distinct().count() == sum(tasks)
+    assert sorted(tuple(r) for r in out.where("value is not null").collect()) == [("a", 0, 0, 1.0), ("a", 299, 99, 2.0), ("b", 3, 40, 3.0)]
