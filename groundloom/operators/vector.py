@@ -21,11 +21,12 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from groundloom.functions.indices import as_col
 from groundloom.functions.names import geo_tile_name
-from groundloom.scale import attach, running_totals
+from groundloom.scale import attach, dealt, running_totals
 from groundloom.session import checkpointed
 
 RUN_BLOCK = 256
 CROSSINGS = 1_000_000                            # of edges with grid rows that a task holds at once
+TASK_RUNS = 300_000
 
 
 def points_from_lonlat(df: DataFrame, x: str = "lon", y: str = "lat", out: str = "point") -> DataFrame:
@@ -284,13 +285,15 @@ class RingEdges:
 
 
 def cover_runs(polys: DataFrame, size: float, keys: Sequence[str], ring: str = "ring") -> DataFrame:
-    """Runs of cells with their centre inside the polygon, per grid row; no shuffle.
+    """Runs of cells with their centre inside the polygon, per grid row; only the polygons are dealt over the tasks, by their height.
 
     Scan conversion by edges: each edge gives its crossing with the centre line of every grid row that it spans. Sorted by polygon,
     row and place, the crossings follow one another in pairs, and each pair bounds a run. No ring is copied; the work
     is the number of edges times the rows they span, in numpy over whole Arrow batches, ``CROSSINGS`` at a time.
     """
-    source = polys.select(*keys, F.col(ring).alias("_ring"))
+    box = ring_bounds(F.col("_ring"))
+    source = dealt(polys.select(*keys, F.col(ring).alias("_ring")), F.coalesce((box["ymax"] - box["ymin"]) / float(size), F.lit(0.0)) + 1,
+                   TASK_RUNS)
     names, limit = [*keys, "y", "x0", "x1"], CROSSINGS
     schema = StructType([*source.schema.fields[:-1], *[StructField(n, LongType()) for n in names[-3:]]])
 
@@ -395,6 +398,7 @@ def containment(runs: DataFrame, key: str, threshold: float = 0.95) -> DataFrame
     The result is that of :func:`overlap_ratio` above the threshold; only the candidates of :func:`containment_candidates` are
     counted. ``runs`` must be disjoint per frame.
     """
+    runs = checkpointed(runs)                                   # read five times
     pairs = checkpointed(containment_candidates(runs, key, threshold))
     cut = _in_blocks(runs)
     mine = attach(cut, pairs, [key])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,6 +42,15 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BRO
     return n <= max_rows and (size or 0) <= max_bytes
 
 
+def dealt(df: DataFrame, work: Column, per_task: int) -> DataFrame:
+    """The rows dealt over as many tasks as they have ``work`` in all, ``per_task`` each.
+
+    A table of few bytes is read by one task, however much its rows grow into in the next step.
+    """
+    tasks = math.ceil((df.agg(F.sum(work)).first()[0] or 0) / per_task)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 salts: int = SALTS) -> DataFrame:
     """Equi join that spreads every key of ``big`` over ``salts`` tasks.

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from groundloom.functions.geodesy import reproject, reproject_ring
 from groundloom.operators import vector
-from groundloom.plans import jobs
 
 SCHEMA = "id long, ring array<struct<x: double, y: double>>"
 
@@ -207,3 +206,25 @@ def test_containment_forms_few_pairs(spark):
     want = set(zip(*np.nonzero(shared > 0.95 * (w * h)[:, None])))
     assert got == {(int(a), int(b)) for a, b in want}
     assert candidates < 0.25 * (shared > 0).sum()
+
+
+def _small_boxes(spark, n):
+    return spark.range(n).coalesce(1).select("id", vector.box_ring(F.col("id") * 3, F.lit(0), F.col("id") * 3 + 4, F.lit(50)).alias("ring"))
+
+
+def _tasks(df):
+    return df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+
+
+def test_polygons_of_few_bytes_are_covered_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(vector, "TASK_RUNS", 100)
+    counts = _tasks(vector.cover_runs(_small_boxes(spark, 40), 1.0, ["id"]))
+    assert sum(counts) == 40 * 50 and max(counts) <= 400
+
+
+def test_containment_computes_the_runs_once(spark):
+    runs = vector.dissolve(vector.cover_runs(_small_boxes(spark, 5), 1.0, ["id"]), ["id"])
+    out = vector.containment(runs, "id", 0.2)
+    assert "MapInArrow" in runs._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 5 + 8
