@@ -27,6 +27,7 @@ from groundloom.session import checkpointed
 RUN_BLOCK = 256
 CROSSINGS = 1_000_000                            # of edges with grid rows that a task holds at once
 TASK_RUNS = 300_000
+TASK_POLYGONS = 20_000
 
 
 def points_from_lonlat(df: DataFrame, x: str = "lon", y: str = "lat", out: str = "point") -> DataFrame:
@@ -133,7 +134,7 @@ def spatial_join(a: DataFrame, b: DataFrame, cell: float, a_ring: str = "ring",
     Both sides are keyed by the coarse cells of their bounding box. A pair is tested only in
     the cell of the lower-left corner of the common box, so it needs no duplicate removal.
     """
-    left, right = _cells(a, a_ring, cell, "a"), _cells(b, b_ring, cell, "b")
+    left, right = _cells(dealt(a, F.lit(1), TASK_POLYGONS), a_ring, cell, "a"), _cells(b, b_ring, cell, "b")
     pairs = attach(left, right, ["_cx", "_cy"], derived=False)
     overlap = ((F.col("_axmin") <= F.col("_bxmax")) & (F.col("_bxmin") <= F.col("_axmax"))
                & (F.col("_aymin") <= F.col("_bymax")) & (F.col("_bymin") <= F.col("_aymax")))

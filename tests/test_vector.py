@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from groundloom.functions.geodesy import reproject, reproject_ring
 from groundloom.operators import vector
+from groundloom.plans import jobs
 
 SCHEMA = "id long, ring array<struct<x: double, y: double>>"
 
@@ -222,9 +223,24 @@ def test_polygons_of_few_bytes_are_covered_by_many_tasks(spark, monkeypatch):
     assert sum(counts) == 40 * 50 and max(counts) <= 400
 
 
+def test_joined_polygons_are_dealt_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(vector, "TASK_POLYGONS", 4)
+    other = _small_boxes(spark, 1).select(F.col("ring").alias("other_ring"), F.lit(0).alias("o"))
+    joined = vector.spatial_join(_small_boxes(spark, 40).select("id", "ring"), other, 5.0)
+    assert joined.rdd.getNumPartitions() >= 10
+    assert sorted(r.id for r in joined.collect()) == [0, 1]
+
+
 def test_containment_computes_the_runs_once(spark):
     runs = vector.dissolve(vector.cover_runs(_small_boxes(spark, 5), 1.0, ["id"]), ["id"])
     out = vector.containment(runs, "id", 0.2)
     assert "MapInArrow" in runs._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.count() == 5 + 8
+
+
+def test_utm_tiles_project_each_vertex_once(spark):
+    aoi = spark.range(3).select(vector.box_ring(F.col("id") * 0.1 - 75, F.lit(1.0), F.col("id") * 0.1 - 74.9, F.lit(1.1)).alias("ring"))
+    tiles = jobs.utm_tiles(aoi, 25_000.0)
+    assert "atan2" not in tiles._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert tiles.where("mask = 1").count() > 0
