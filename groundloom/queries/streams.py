@@ -1,5 +1,7 @@
 """Queries: incremental jobs run to completion over the given tables as a stream."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from groundloom.queries.base import ORACLES, Tables, query, rounded
@@ -8,11 +10,18 @@ from groundloom.session import work_path
 from groundloom.streaming import arrivals
 
 
+FILE_ROWS = 2_000_000
+
+
 def _arriving(t: Tables, view: str, *spread: str):
-    """The rows of a view as a stream of three files, one a batch; rows of one key come in several of them."""
+    """The rows of a view as a stream of three batches; rows of one key come in several of them.
+
+    A batch has as many files as its rows need, so that no task writes or reads a third of the table.
+    """
     folder, rows = work_path(t.spark, "arriving"), t.view(view)
-    rows.repartition(3, F.xxhash64(*spread)).write.option("maxRecordsPerFile", 0).parquet(folder)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    files = max(math.ceil(rows.count() / 3 / FILE_ROWS), 1)
+    rows.repartition(3 * files, F.xxhash64(*spread)).write.option("maxRecordsPerFile", 0).parquet(folder)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 @query("stream_shots", ORACLES["process_shots"], ready=True)

@@ -13,6 +13,8 @@ from groundloom.functions.frames import scene_map
 from groundloom.operators import vector
 from groundloom.operators.grids import Grid
 from groundloom.operators.shots import process_shots
+from groundloom.queries import streams
+from groundloom.queries.base import Tables
 from groundloom.sources import features, flatstack, listing, pixels, tabular
 from groundloom.streaming import arrivals
 from tests.test_neighborhood import table
@@ -288,3 +290,19 @@ def test_scene_query_hands_over_tiles(spark, monkeypatch):
     rows = queries()["scene_map"](spark, "/root/testdata/sf0.001").count()
     largest = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").groupBy("l_shipdate").count().agg(F.max("count")).first()[0]
     assert rows and handed[0] < largest
+
+
+def test_a_batch_of_a_large_table_has_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "FILE_ROWS", 500)
+    monkeypatch.setattr(streams, "work_path", lambda spark, name: str(tmp_path / name))
+    stream = streams._arriving(Tables(spark, "/root/testdata/sf0.001"), "v_shots", "shot")
+    rows = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    files = sorted((tmp_path / "arriving").glob("*.parquet"))
+    assert len(files) == 3 * -(-rows // 1500)
+    sizes = [spark.read.parquet(str(f)).count() for f in files]
+    assert sum(sizes) == rows and max(sizes) < 1_000
+    batches = []
+    query = (stream.writeStream.foreachBatch(lambda df, i: batches.append(df.count()))
+             .option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert len(batches) == 3 and sum(batches) == rows
