@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from groundloom.functions.indices import as_col
 from groundloom.functions.names import geo_tile_name
-from groundloom.scale import attach, dealt, running_totals
+from groundloom.scale import attach, dealt, running_totals, shuffled_join
 from groundloom.session import checkpointed
 
 RUN_BLOCK = 256
@@ -368,7 +368,7 @@ def overlap_ratio(runs: DataFrame, key: str) -> DataFrame:
 
 def _meeting(cut: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     """Pieces of ``cut`` that overlap pieces (_u0, _u1) of ``other`` in a block, with the overlap as x0, x1."""
-    both = cut.join(other, on).where((F.col("x0") <= F.col("_u1")) & (F.col("_u0") <= F.col("x1")))
+    both = shuffled_join(cut, other, on).where((F.col("x0") <= F.col("_u1")) & (F.col("_u0") <= F.col("x1")))
     return both.withColumns({"x0": F.greatest("x0", "_u0"), "x1": F.least("x1", "_u1")}).drop("_u0", "_u1")
 
 
@@ -379,17 +379,16 @@ def containment_candidates(runs: DataFrame, key: str, threshold: float = 0.95) -
     floor((1 - threshold) * cells) + 1 of them. The rarest cells of each frame, those that the fewest frames cover, are taken for
     that and joined with all runs; a frame too small to cover the share is left out as well.
     """
-    own = checkpointed(runs.groupBy(key).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_own")))
-    cut = _in_blocks(runs)
+    own = runs.groupBy(key).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_size"))
+    cut = attach(_in_blocks(runs), own, [key])                  # before depth cuts the runs into many more
     depth = _segments(runs, [], F.lit(0).cast("bigint")).select("y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"), "n")
     rarest = Window.partitionBy(key).orderBy("n", "y", "x0").rowsBetween(Window.unboundedPreceding, -1)
-    pieces = attach(_meeting(cut, depth, ["y", "xb"]), own, [key])
-    need = F.floor((1 - threshold) * F.col("_own")) + 1 - F.coalesce(F.sum(F.col("x1") - F.col("x0") + 1).over(rarest), F.lit(0))
+    pieces = _meeting(cut, depth, ["y", "xb"])
+    need = F.floor((1 - threshold) * F.col("_size")) + 1 - F.coalesce(F.sum(F.col("x1") - F.col("x0") + 1).over(rarest), F.lit(0))
     prefix = (pieces.withColumn("_need", need).where("_need > 0 AND n > 1")               # alone in a cell: nobody to meet
               .withColumn("x1", F.least("x1", F.col("x0") + F.col("_need") - 1)))
-    other = attach(cut, own, [key]).select(F.col(key).alias("other"), "y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"),
-                                           F.col("_own").alias("_size"))
-    met = _meeting(prefix.select(key, "_own", "y", "xb", "x0", "x1"), other, ["y", "xb"])
+    other = cut.select(F.col(key).alias("other"), "y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"), "_size")
+    met = _meeting(prefix.select(key, F.col("_size").alias("_own"), "y", "xb", "x0", "x1"), other, ["y", "xb"])
     return met.where((F.col("other") != F.col(key)) & (F.col("_size") > threshold * F.col("_own"))).select(key, "other").distinct()
 
 
@@ -404,8 +403,8 @@ def containment(runs: DataFrame, key: str, threshold: float = 0.95) -> DataFrame
     cut = _in_blocks(runs)
     mine = attach(cut, pairs, [key])
     other = cut.select(F.col(key).alias("other"), "y", "xb", F.col("x0").alias("_u0"), F.col("x1").alias("_u1"))
-    shared = (_meeting(mine, other, ["other", "y", "xb"]).groupBy(key, "other")
-              .agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_shared")))
+    shared = checkpointed(_meeting(mine, other, ["other", "y", "xb"]).groupBy(key, "other")
+                          .agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_shared")))
     own = runs.groupBy(key).agg(F.sum(F.col("x1") - F.col("x0") + 1).alias("_own"))
     ratios = attach(shared, own, [key]).select(key, "other", (F.col("_shared") / F.col("_own")).alias("ratio"))
     return (ratios.where(F.col("ratio") > threshold)
@@ -425,8 +424,7 @@ def merge_neighbors(ratios: DataFrame, key: str, threshold: float = 0.95) -> Dat
     group = F.concat_ws(":", "_n", F.hex("_a"), F.hex("_b")).alias("group_id")
     signed = attach(near, sets, [key])
     merged = signed.where("_n > 1").select(group, F.col("other").alias(key)).distinct()
-    alone = (signed.where("_n = 1").select(group, key)
-             .join(merged.select(key).distinct(), key, "left_anti").select("group_id", key))
+    alone = shuffled_join(signed.where("_n = 1").select(group, key), merged.select(key).distinct(), [key], "left_anti").select("group_id", key)
     return merged.unionByName(alone)
 
 

@@ -51,6 +51,15 @@ def dealt(df: DataFrame, work: Column, per_task: int) -> DataFrame:
     return df.repartition(tasks) if tasks > 1 else df
 
 
+def shuffled_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join that shuffles both sides, whatever sizes Spark expects of them.
+
+    It expects them from the bytes of the files read. Where steps make many rows of a table of few bytes, a side that is far
+    too large for the driver would be broadcast.
+    """
+    return left.join(right.hint("merge"), list(on), how)
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                 salts: int = SALTS) -> DataFrame:
     """Equi join that spreads every key of ``big`` over ``salts`` tasks.
@@ -62,7 +71,7 @@ def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]),
                                           F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    return shuffled_join(left, right, [*on, "_salt"], how).drop("_salt")
 
 
 def skew_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner",
@@ -75,9 +84,9 @@ def skew_join(big: DataFrame, other: DataFrame, on: Sequence[str], how: str = "i
     on = list(on)
     hot = checkpointed(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*on))
     if hot.isEmpty():
-        return big.join(other, on, how)
+        return shuffled_join(big, other, on, how)
     hot = F.broadcast(hot)                                  # at most rows of big / hot_rows
-    usual = big.join(hot, on, "left_anti").join(other, on, how)
+    usual = shuffled_join(big.join(hot, on, "left_anti"), other, on, how)
     return usual.unionByName(salted_join(big.join(hot, on, "left_semi"), other.join(hot, on, "left_semi"),
                                          on, how, salts))
 
@@ -95,7 +104,7 @@ def attach(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inne
         small = checkpointed(small)
     if is_small(small, max_rows):
         return big.join(F.broadcast(small), list(on), how)
-    return big.join(small, list(on), how) if few_rows_each else skew_join(big, small, on, how)
+    return shuffled_join(big, small, on, how) if few_rows_each else skew_join(big, small, on, how)
 
 
 def shuffle_key(seed: int, *cols: str) -> Column:

@@ -37,6 +37,16 @@ def test_broadcast_only_within_the_bound(skewed, spark):
     assert "strategy=broadcast" in plan(20) and "strategy=broadcast" not in plan(19)
 
 
+def test_a_lookup_beyond_the_bound_is_shuffled_whatever_its_files_hold(spark):
+    """Spark expects a few bytes of these tables, and would broadcast a side by itself."""
+    big, small = spark.range(3000).selectExpr("id % 50 AS key", "id"), spark.range(50).selectExpr("id AS key", "id * 10 AS extra")
+    assert "BroadcastHashJoin" in big.join(small, ["key"])._jdf.queryExecution().executedPlan().toString()
+    for joined in (scale.attach(big, small, ["key"], max_rows=19), scale.attach(big, small, ["key"], max_rows=19, few_rows_each=True),
+                   scale.skew_join(big, small, ["key"]), scale.salted_join(big, small, ["key"], salts=4)):
+        assert "BroadcastHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert sorted(joined.select("key", "id", "extra").collect()) == sorted((i % 50, i, i % 50 * 10) for i in range(3000))
+
+
 @pytest.mark.parametrize("bound", [10, 10**6])
 def test_quantiles_of_large_groups(skewed, bound):
     got = scale.grouped_quantiles(skewed, ["key"], "value", [0.0, 0.3, 0.5, 1.0], ["a", "b", "c", "d"], bound).toPandas()

@@ -8,9 +8,11 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from groundloom import scale
 from groundloom.functions.geodesy import reproject, reproject_ring
 from groundloom.operators import vector
 from groundloom.plans import jobs
+from groundloom.session import checkpointed
 
 SCHEMA = "id long, ring array<struct<x: double, y: double>>"
 
@@ -239,6 +241,25 @@ def test_containment_computes_the_runs_once(spark):
     assert out.count() == 5 + 8
 
 
+def test_merging_neighbors_broadcasts_no_runs(spark, monkeypatch):
+    """Spark expects a few bytes of the runs of few polygons; no side that was not counted may be broadcast."""
+    plans = []
+
+    def kept(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return checkpointed(df)
+
+    runs = vector.dissolve(vector.cover_runs(_small_boxes(spark, 5), 1.0, ["id"]), ["id"])
+    want = sorted(vector.merge_neighbors(vector.containment(runs, "id", 0.2), "id", 0.2).collect())
+    assert len(want) == 13
+    for module in (vector, scale):
+        monkeypatch.setattr(module, "checkpointed", kept)
+    monkeypatch.setattr(scale, "is_small", lambda *_: False)
+    got = vector.merge_neighbors(vector.containment(runs, "id", 0.2), "id", 0.2)
+    assert sorted(kept(got).collect()) == want
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 def test_utm_tiles_project_each_vertex_once(spark):
     aoi = spark.range(3).select(vector.box_ring(F.col("id") * 0.1 - 75, F.lit(1.0), F.col("id") * 0.1 - 74.9, F.lit(1.1)).alias("ring"))
     tiles = jobs.utm_tiles(aoi, 25_000.0)
