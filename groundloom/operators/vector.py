@@ -444,8 +444,8 @@ def merged_frames(members: DataFrame, frames: DataFrame, key: str, number: str =
     """Merged frames, one row per member: its place by path and frame number, and the group's first path, number of
     members and granules in all.
     """
-    rows = members.join(frames.select(F.col("pathNumber").alias("_path"), key, F.col(number).alias("_number"),
-                                      "num_granules"), key).withColumn("_one", F.lit(1))
+    rows = shuffled_join(members, frames.select(F.col("pathNumber").alias("_path"), key, F.col(number).alias("_number"),
+                                                "num_granules"), [key]).withColumn("_one", F.lit(1))
     totals = rows.groupBy("group_id").agg(F.min("_path").alias("pathNumber"), F.count(F.lit(1)).alias("members"),
                                           F.sum("num_granules").alias("num_granules"))
     placed = running_totals(rows.select("group_id", "_path", "_number", key, "_one"), ["group_id"], ["_path", "_number", key], "_one")

@@ -241,25 +241,41 @@ def test_containment_computes_the_runs_once(spark):
     assert out.count() == 5 + 8
 
 
-def test_merging_neighbors_broadcasts_no_runs(spark, monkeypatch):
-    """Spark expects a few bytes of the runs of few polygons; no side that was not counted may be broadcast."""
+def _planned(monkeypatch):
+    """From now on no lookup counts as small. The function keeps a table and its plan, as those that are kept on the way."""
     plans = []
 
     def kept(df):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return checkpointed(df)
 
-    runs = vector.dissolve(vector.cover_runs(_small_boxes(spark, 5), 1.0, ["id"]), ["id"])
-    want = sorted(vector.merge_neighbors(vector.containment(runs, "id", 0.2), "id", 0.2).collect())
-    assert len(want) == 13
     for module in (vector, scale):
         monkeypatch.setattr(module, "checkpointed", kept)
     monkeypatch.setattr(scale, "is_small", lambda *_: False)
+    return kept, plans
+
+
+def test_merging_neighbors_broadcasts_no_runs(spark, monkeypatch):
+    """Spark expects a few bytes of the runs of few polygons; no side that was not counted may be broadcast."""
+    runs = vector.dissolve(vector.cover_runs(_small_boxes(spark, 5), 1.0, ["id"]), ["id"])
+    want = sorted(vector.merge_neighbors(vector.containment(runs, "id", 0.2), "id", 0.2).collect())
+    assert len(want) == 13
+    kept, plans = _planned(monkeypatch)
     got = vector.merge_neighbors(vector.containment(runs, "id", 0.2), "id", 0.2)
     assert sorted(kept(got).collect()) == want
     assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
 
 
+def test_merged_frames_broadcast_no_members(spark, monkeypatch):
+    members = spark.range(40).selectExpr("CONCAT('g', id % 4) AS group_id", "id AS frame")
+    frames = spark.range(40).selectExpr("id AS frame", "CAST(id % 7 AS INT) AS pathNumber", "id AS frameNumber", "3 AS num_granules")
+    want = sorted(vector.merged_frames(members, frames, "frame").collect())
+    assert len(want) == 40 and {r.members for r in want} == {10} and {r.num_granules for r in want} == {30}
+    kept, plans = _planned(monkeypatch)
+    assert sorted(kept(vector.merged_frames(members, frames, "frame")).collect()) == want
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 def test_utm_tiles_project_each_vertex_once(spark):
     aoi = spark.range(3).select(vector.box_ring(F.col("id") * 0.1 - 75, F.lit(1.0), F.col("id") * 0.1 - 74.9, F.lit(1.1)).alias("ring"))
     tiles = jobs.utm_tiles(aoi, 25_000.0)
